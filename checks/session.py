@@ -16,6 +16,7 @@ def local_session(cores: str | None = None) -> SparkSession:
         .appName("tapewright")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in RECOMMENDED_CONF.items():

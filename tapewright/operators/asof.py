@@ -1,23 +1,41 @@
 """As-of join: the last trade strictly before each quote.
 
 Quotes and trades are put in one time order and the last trade seen is carried forward, so there
-is no join and no pair of rows. As in ``rolling``, this runs within time slots; each slot that has
-quotes starts from the last trade of the slots before it, found over one row per slot.
+is no join and no pair of rows. A busy series is split into time slots; each slot that has quotes
+then starts from the last trade of the slots before it, found over one row per slot.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapewright.functions.timegrid import time_slot
-from tapewright.operators.rolling import with_known_keys
+from tapewright.operators.series import SPLIT_ROWS, Load
 from tapewright.schema import DAY_SERIES, QUOTE_VALUES
 
 # Order of rows at one instant. A trade at the quote's own instant comes after the quote.
-_CARRIED, _QUOTE, _TRADE = 0, 1, 2
+CARRIED, QUOTED, TRADED, LEFT = 0, 1, 2, 3
+
+
+def time_order(keys: Sequence[str], *within_instant: str):
+    """Rows of a series up to the current one; rows without a time come first."""
+    return (
+        Window.partitionBy(*keys)
+        .orderBy(F.asc_nulls_first("event_tm"), *within_instant)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+
+
+def last_of_instant(keys: Sequence[str], *within_instant: str) -> Column:
+    """Whether the next row in time order is of another instant or another kind (``_step``)."""
+    following = Window.partitionBy(*keys).orderBy(
+        F.asc_nulls_first("event_tm"), *within_instant
+    )
+    here = F.struct("event_tm", "_step")
+    return ~F.lead(here).over(following).eqNullSafe(here)
 
 
 def one_per_instant(
@@ -38,72 +56,117 @@ def carry_last(
     instants: DataFrame,
     keys: Sequence[str],
     values: Mapping[str, str],
-    time: str = "event_tm",
     opening: DataFrame | None = None,
 ) -> DataFrame:
-    """Quotes plus the values of the last trade strictly before each.
+    """Quotes plus the values of the last trade strictly before each, for series of any size.
 
-    Both inputs have one row for each (keys, time). ``values`` maps trade columns to output names.
-    ``opening`` (keys and further columns, one row for each keys) is attached to every quote of
-    the same keys: it rides along as a row ahead of the first slot, so it needs no join.
+    Both inputs have one row for each (keys, time), all known. ``values`` maps trade columns to
+    output names. ``opening`` (keys and further columns, one row for each keys) is attached to
+    every quote of the same keys: it rides along as a row ahead of the first slot.
     """
+    time = "event_tm"
     series = [*keys, "_slot"]
     attached = [c for c in opening.columns if c not in keys] if opening is not None else []
 
     def slotted(df: DataFrame) -> DataFrame:
         return df if "_slot" in df.columns else df.withColumn("_slot", time_slot(time))
 
-    quotes = slotted(quotes).withColumn("_side", F.lit(_QUOTE))
-    trades = slotted(with_known_keys(instants, [*keys, time]))
+    kept = quotes.columns
+    quotes, trades = slotted(quotes), slotted(instants)
     payload = F.struct(*[F.col(v).alias(out) for v, out in values.items()]).alias("_trade")
-    trade_rows = trades.select(*series, time, F.lit(_TRADE).alias("_side"), payload)
+    trade_rows = trades.select(*series, time, F.lit(TRADED).alias("_step"), payload)
 
     # One row per slot: where quotes are, and the last trade of each slot.
     slot_rows = (
         quotes.select(*series)
         .distinct()
-        .withColumn("_side", F.lit(_QUOTE))
+        .withColumn("_step", F.lit(QUOTED))
         .unionByName(
             trades.groupBy(*series)
             .agg(*[F.max_by(v, time).alias(v) for v in values])
-            .select(*series, F.lit(_TRADE).alias("_side"), payload),
+            .select(*series, F.lit(TRADED).alias("_step"), payload),
             allowMissingColumns=True,
         )
     )
+    carried = ["_trade"]
     if opening is not None:
+        carried.append("_opening")
         slot_rows = slot_rows.unionByName(
-            with_known_keys(opening, keys).select(
-                *keys,
-                F.lit(_CARRIED).alias("_side"),
-                F.struct(*attached).alias("_opening"),
+            opening.select(
+                *keys, F.lit(CARRIED).alias("_step"), F.struct(*attached).alias("_opening")
             ),
             allowMissingColumns=True,
         )
-    so_far = Window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    over_slots = so_far.partitionBy(*keys).orderBy(F.asc_nulls_first("_slot"), "_side")
-    carried = ["_trade"] + (["_opening"] if opening is not None else [])
+    over_slots = (
+        Window.partitionBy(*keys)
+        .orderBy(F.asc_nulls_first("_slot"), "_step")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     start_rows = (
         slot_rows.select(
             *series,
-            "_side",
+            "_step",
             *[F.last(c, ignorenulls=True).over(over_slots).alias(c) for c in carried],
         )
-        .filter(F.col("_side") == _QUOTE)
+        .filter(F.col("_step") == QUOTED)
         .dropna("all", subset=carried)
-        .withColumn("_side", F.lit(_CARRIED))
+        .withColumn("_step", F.lit(CARRIED))
+    )
+
+    rows = (
+        quotes.withColumn("_step", F.lit(QUOTED))
+        .unionByName(trade_rows, allowMissingColumns=True)
+        .unionByName(start_rows, allowMissingColumns=True)
+    )
+    so_far = time_order(series, "_step")
+    return (
+        rows.select(
+            *kept,
+            "_step",
+            *[F.last(c, ignorenulls=True).over(so_far).alias(c) for c in carried],
+        )
+        .filter(F.col("_step") == QUOTED)
+        .select(
+            *kept,
+            *[F.col("_trade").getField(out).alias(out) for out in values.values()],
+            *[F.col("_opening").getField(c).alias(c) for c in attached],
+        )
     )
 
-    over_rows = so_far.partitionBy(*series).orderBy(F.asc_nulls_first(time), "_side")
-    rows = quotes.unionByName(trade_rows, allowMissingColumns=True).unionByName(
-        start_rows, allowMissingColumns=True
+
+def _within_series(
+    quotes: DataFrame,
+    trades: DataFrame,
+    keys: Sequence[str],
+    values: Mapping[str, str],
+    keep_all_quotes: bool,
+) -> DataFrame:
+    """The same for whole rows, one task per series."""
+    payload = F.struct(*[F.col(v).alias(out) for v, out in values.items()])
+    rows = quotes.withColumn("_step", F.lit(QUOTED)).unionByName(
+        trades.select(
+            *keys,
+            "event_tm",
+            "event_seq_nb",
+            F.lit(TRADED).alias("_step"),
+            payload.alias("_trade"),
+        ),
+        allowMissingColumns=True,
     )
-    for c in carried:
-        rows = rows.withColumn(c, F.last(c, ignorenulls=True).over(over_rows))
-    kept = [c for c in quotes.columns if c not in ("_slot", "_side")]
-    return rows.filter(F.col("_side") == _QUOTE).select(
-        *kept,
-        *[F.col("_trade").getField(out).alias(out) for out in values.values()],
-        *[F.col("_opening").getField(c).alias(c) for c in attached],
+    order = ("_step", "event_seq_nb")
+    chosen = F.lit(True) if keep_all_quotes else last_of_instant(keys, *order)
+    return (
+        rows.select(
+            *quotes.columns,
+            "_step",
+            F.last("_trade", ignorenulls=True).over(time_order(keys, *order)).alias("_trade"),
+            chosen.alias("_chosen"),
+        )
+        .filter((F.col("_step") == QUOTED) & F.col("_chosen"))
+        .select(
+            *quotes.columns,
+            *[F.col("_trade").getField(out).alias(out) for out in values.values()],
+        )
     )
 
 
@@ -113,24 +176,41 @@ def asof_last_trade(
     keys: Sequence[str] = DAY_SERIES,
     values: Mapping[str, str] | None = None,
     keep_all_quotes: bool = False,
+    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """As-of left join of quotes to the last trade strictly before them.
 
     ``values`` maps trade columns to output names; by default the price, and the trailing average
     where the trades have it. Trades at one instant are settled by the greatest sequence number.
+    Quotes without an earlier trade, or with a null key, are kept with nulls.
 
-    Quotes at one instant of a series become one row, the one with the greatest sequence number.
-    With ``keep_all_quotes`` all stay: the distinct instants are resolved first and then joined
-    back, where adaptive execution splits an instant with very many quotes.
+    Quotes at one instant of a series become one row, the one with the greatest sequence number,
+    with its key, time, sequence number, prices and sizes. With ``keep_all_quotes`` every quote
+    stays, with all its columns.
     """
     if values is None:
         usual = {"trade_pr": "last_trade_pr", "mov_avg_trade_pr": "last_mov_avg_pr"}
         values = {v: out for v, out in usual.items() if v in trades.columns}
-    at = [*keys, "event_tm"]
-    instants = one_per_instant(with_known_keys(trades, at), keys, list(values))
-    if keep_all_quotes:
-        asked = with_known_keys(quotes, at).select(*at).distinct()
-        found = carry_last(asked, instants, keys, values)
-        return quotes.join(found, at, "left").select(*quotes.columns, *values.values())
     carried = [c for c in QUOTE_VALUES if c in quotes.columns]
-    return carry_last(one_per_instant(quotes, keys, carried), instants, keys, values)
+    if not keep_all_quotes:
+        quotes = quotes.select(*keys, "event_tm", "event_seq_nb", *carried)
+    load = Load(keys, "event_tm", split_rows, quotes, trades)
+    columns = [*quotes.columns, *values.values()]
+
+    def ordinary(quotes: DataFrame, trades: DataFrame) -> DataFrame:
+        return _within_series(quotes, trades, keys, values, keep_all_quotes).select(*columns)
+
+    def busy(quotes: DataFrame, trades: DataFrame) -> DataFrame:
+        instants = one_per_instant(trades, keys, list(values))
+        if not keep_all_quotes:
+            asked = one_per_instant(quotes, keys, carried)
+            return carry_last(asked, instants, keys, values).select(*columns)
+        # Distinct instants are resolved and joined back; adaptive execution splits an instant
+        # with very many quotes.
+        found = carry_last(quotes.select(*load.at).distinct(), instants, keys, values)
+        return quotes.join(found, load.at, "left").select(*columns)
+
+    def unknown(quotes: DataFrame) -> DataFrame:
+        return quotes if keep_all_quotes else one_per_instant(quotes, keys, carried)
+
+    return load.apply([quotes, trades], ordinary, busy, unknown)

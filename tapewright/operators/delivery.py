@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapewright.schema import DELIVERY_KEYS
@@ -14,13 +14,16 @@ def latest_delivery(events: DataFrame) -> DataFrame:
     """One row for each delivery key: the one that arrived last.
 
     Equal arrival times are settled by the greater prices and sizes, so the result depends on the
-    data alone. The rank filter is also applied before the shuffle, so a task sends at most one
-    row of each key however many copies it reads.
+    data alone. It is one aggregate, the greatest of (arrival, prices, sizes): a task sends at most
+    one row of each key to the shuffle, however many copies it reads.
     """
-    order = ["arrival_tm", *[c for c in _TIE_BREAK if c in events.columns]]
-    newest_first = Window.partitionBy(*DELIVERY_KEYS).orderBy(*[F.desc(c) for c in order])
+    others = [c for c in events.columns if c not in DELIVERY_KEYS]
+    ranking = ["arrival_tm", *[c for c in _TIE_BREAK if c in others]]
+    ranking += [c for c in others if c not in ranking]
+    latest = F.max(F.struct(*ranking)).alias("_latest")
     return (
-        events.withColumn("_rank", F.row_number().over(newest_first))
-        .filter(F.col("_rank") == 1)
-        .drop("_rank")
+        events.groupBy(*DELIVERY_KEYS)
+        .agg(latest)
+        .select(*DELIVERY_KEYS, "_latest.*")
+        .select(*events.columns)
     )

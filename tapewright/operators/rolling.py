@@ -3,11 +3,11 @@
 The rows of a series within the last ``m`` minutes of a time ``t`` are those that have entered by
 ``t`` less those that have left before it. So instead of pairing rows, every fact is entered at
 its own time and left ``m`` minutes later, and one running sum in time order gives the answer at
-every instant: the cost grows with the rows, not with the pairs.
+every row: the cost grows with the rows, not with the pairs.
 
-To spread a busy series over many tasks, the running sum is taken within a time slot and starts
-from the sum over the slots before it. Facts at one instant are added up first, before the
-shuffle, so neither a busy series nor a busy instant ends up in one task.
+A busy series is spread over many tasks: there the running sum is taken within a time slot and
+starts from the sum over the slots before it. Its facts at one instant are added up first, before
+the shuffle, so that not even a busy instant ends up in one task.
 """
 
 from __future__ import annotations
@@ -20,25 +20,98 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType
 
 from tapewright.functions.timegrid import SLOT_SECONDS, exact_mean, seconds, time_slot
+from tapewright.operators.series import SPLIT_ROWS, Load
 from tapewright.schema import DAY_SERIES, SERIES
 
 # Order of rows at one instant: sums so far, facts entering, questions asked, facts leaving.
 _BASE, _ENTER, _ASK, _LEAVE = 0, 1, 2, 3
 
 
-def with_known_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows whose keys are all given; as in a join, a null key matches nothing."""
-    for name in columns:
-        df = df.filter(F.col(name).isNotNull())
-    return df
-
-
 def _require_exact(df: DataFrame, value: str) -> None:
     dtype = df.schema[value].dataType
     if not isinstance(dtype, DecimalType | IntegralType):
         raise TypeError(f"{value} must be decimal or integral for exact running sums, not {dtype}")
 
 
+def entering_and_leaving(
+    facts: DataFrame,
+    n: Column,
+    total: Column,
+    keys: Sequence[str],
+    time: str,
+    shift: Column,
+    steps: tuple[int, int] = (_ENTER, _LEAVE),
+) -> DataFrame:
+    """Two rows for each fact: as it is, and, with its measures negated, ``shift`` later.
+
+    Adds ``_step``, ``_n`` and ``_total``; the second row has only these, the keys and the time.
+    """
+    others = [f for f in facts.schema if f.name not in (*keys, time)]
+    enter = F.struct(
+        time,
+        *[f.name for f in others],
+        F.lit(steps[0]).alias("_step"),
+        n.alias("_n"),
+        total.alias("_total"),
+    )
+    leave = F.struct(
+        (F.col(time) + shift).alias(time),
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in others],
+        F.lit(steps[1]).alias("_step"),
+        (-n).alias("_n"),
+        (-total).alias("_total"),
+    )
+    return facts.select(*keys, F.inline(F.array(enter, leave)))
+
+
+def _direction(minutes: int, ahead: bool) -> tuple[Column, int]:
+    span = int(minutes) * 60
+    return (-seconds(span), -1) if ahead else (seconds(span), 1)
+
+
+def _within_series(
+    facts: DataFrame,
+    value: str,
+    keys: Sequence[str],
+    time: str,
+    minutes: int,
+    ahead: bool = False,
+    askers: DataFrame | None = None,
+) -> DataFrame:
+    """Asking rows (by default the facts) plus ``_n`` and ``_total``, one task per series."""
+    shift, _ = _direction(minutes, ahead)
+    columns = [*keys, time] + ([value] if askers is not None else [])
+    given = facts.select(*columns) if askers is not None else facts
+    rows = entering_and_leaving(
+        given,
+        F.when(F.col(value).isNotNull(), F.lit(1)).otherwise(0),
+        F.col(value),
+        keys,
+        time,
+        shift,
+    )
+    asking = _ENTER
+    if askers is not None:
+        asking = _ASK
+        rows = rows.drop(value).unionByName(
+            askers.withColumn("_step", F.lit(_ASK)), allowMissingColumns=True
+        )
+    by_time = F.desc(time) if ahead else F.asc(time)
+    # A range frame takes in all facts of the row's own instant.
+    so_far = (
+        Window.partitionBy(*keys)
+        .orderBy(by_time, "_step")
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    kept = (facts if askers is None else askers).columns
+    return rows.select(
+        *kept,
+        "_step",
+        F.coalesce(F.sum("_n").over(so_far), F.lit(0)).alias("_n"),
+        F.sum("_total").over(so_far).alias("_total"),
+    ).filter(F.col("_step") == asking)
+
+
 def rolling_instants(
     facts: DataFrame,
     value: str,
@@ -49,53 +122,39 @@ def rolling_instants(
     probes: DataFrame | None = None,
     also: Sequence[Column] = (),
 ) -> DataFrame:
-    """Count (``n``) and sum (``total``) of ``value`` around each instant, both ends included.
+    """``_n`` and ``_total`` at each instant, for series of any size.
 
     An instant is a distinct (keys, time) of ``probes``, or of the facts themselves. ``also``
     lists further aggregates to take over the facts of one instant. The result keeps the slot
-    number in ``_slot``.
+    number in ``_slot``. Keys and times are all known.
     """
-    _require_exact(facts, value)
     span = int(minutes) * 60
     width = gcd(span, SLOT_SECONDS)
     reach = span // width
-    toward, shift = (-1, -seconds(span)) if ahead else (1, seconds(span))
+    shift, toward = _direction(minutes, ahead)
     series = [*keys, "_slot"]
 
-    known = with_known_keys(facts, [*keys, time]).withColumn("_slot", time_slot(time, width))
-    measures = [F.count(value).alias("n"), F.sum(value).alias("total")]
-    instants = known.groupBy(*series, time).agg(*measures, *also)
-    extra = [c for c in instants.columns if c not in (*series, time, "n", "total")]
-
-    # Each instant enters at its own time and leaves when the window has passed over it.
-    enter = F.struct(
-        "_slot", time, F.lit(_ENTER).alias("_step"), "n", "total", *extra
+    slotted = facts.withColumn("_slot", time_slot(time, width))
+    measures = [F.count(value).alias("_n"), F.sum(value).alias("_total")]
+    instants = slotted.groupBy(*series, time).agg(
+        F.count(value).alias("n"), F.sum(value).alias("total"), *also
     )
-    leave = F.struct(
-        (F.col("_slot") + toward * reach).alias("_slot"),
-        (F.col(time) + shift).alias(time),
-        F.lit(_LEAVE).alias("_step"),
-        (-F.col("n")).alias("n"),
-        (-F.col("total")).alias("total"),
-        *[F.lit(None).cast(instants.schema[c].dataType).alias(c) for c in extra],
+    # Each instant enters in its own slot and leaves in the slot ``reach`` further on.
+    rows = (
+        entering_and_leaving(instants, F.col("n"), F.col("total"), keys, time, shift)
+        .drop("n", "total")
+        .withColumn("_slot", time_slot(time, width))
     )
-    steps = instants.select(*keys, F.inline(F.array(enter, leave)))
 
     # What the slots before (or, looking ahead, after) hold when a slot begins.
-    slots = known.groupBy(*series).agg(*measures)
+    slots = slotted.groupBy(*series).agg(*measures)
     if probes is None:
         asking = _ENTER
         slots = slots.withColumn("_asked", F.lit(True))
     else:
         asking = _ASK
-        asked = (
-            with_known_keys(probes, [*keys, time])
-            .select(*keys, time_slot(time, width).alias("_slot"), time)
-            .distinct()
-        )
-        steps = steps.unionByName(
-            asked.withColumn("_step", F.lit(_ASK)), allowMissingColumns=True
-        )
+        asked = probes.select(*keys, time_slot(time, width).alias("_slot"), time).distinct()
+        rows = rows.unionByName(asked.withColumn("_step", F.lit(_ASK)), allowMissingColumns=True)
         slots = slots.withColumn("_asked", F.lit(False)).unionByName(
             asked.select(*series).distinct().withColumn("_asked", F.lit(True)),
             allowMissingColumns=True,
@@ -106,30 +165,60 @@ def rolling_instants(
         slots.select(
             *series,
             "_asked",
-            F.sum("n").over(around).alias("n"),
-            F.sum("total").over(around).alias("total"),
+            F.sum("_n").over(around).alias("_n"),
+            F.sum("_total").over(around).alias("_total"),
         )
-        .filter(F.col("_asked") & F.col("n").isNotNull())
+        .filter(F.col("_asked") & F.col("_n").isNotNull())
         .drop("_asked")
         .withColumn("_step", F.lit(_BASE))
     )
 
     # The base row has no time and comes first in either direction.
-    by_time = F.col(time).desc_nulls_first() if ahead else F.col(time).asc_nulls_first()
+    by_time = F.desc_nulls_first(time) if ahead else F.asc_nulls_first(time)
     so_far = (
         Window.partitionBy(*series)
         .orderBy(by_time, "_step")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        steps.unionByName(base, allowMissingColumns=True)
-        .withColumn("n", F.coalesce(F.sum("n").over(so_far), F.lit(0)))
-        .withColumn("total", F.sum("total").over(so_far))
+        rows.unionByName(base, allowMissingColumns=True)
+        .withColumn("_n", F.coalesce(F.sum("_n").over(so_far), F.lit(0)))
+        .withColumn("_total", F.sum("_total").over(so_far))
         .filter(F.col("_step") == asking)
         .drop("_step")
     )
 
 
+def _rolling(
+    askers: DataFrame | None,
+    facts: DataFrame,
+    value: str,
+    keys: Sequence[str],
+    time: str,
+    minutes: int,
+    ahead: bool,
+    split_rows: int,
+) -> DataFrame:
+    """Asking rows (by default the facts) plus ``_n`` and ``_total``; null without known keys."""
+    _require_exact(facts, value)
+    tables = [facts] if askers is None else [askers, facts]
+    load = Load(keys, time, split_rows, *tables)
+    columns = [*tables[0].columns, "_n", "_total"]
+
+    def ordinary(*share: DataFrame) -> DataFrame:
+        asking = None if askers is None else share[0]
+        return _within_series(share[-1], value, keys, time, minutes, ahead, asking).select(*columns)
+
+    def busy(*share: DataFrame) -> DataFrame:
+        asking = None if askers is None else share[0]
+        instants = rolling_instants(share[-1], value, keys, time, minutes, ahead, asking)
+        # Adaptive execution splits an instant with very many asking rows.
+        found = instants.select(*load.at, "_n", "_total")
+        return share[0].join(found, load.at, "left").select(*columns)
+
+    return load.apply(tables, ordinary, busy)
+
+
 def range_stats(
     left: DataFrame,
     right: DataFrame,
@@ -137,6 +226,7 @@ def range_stats(
     keys: Sequence[str] = DAY_SERIES,
     time: str = "event_tm",
     minutes: int = 30,
+    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """Range left join reduced to statistics.
 
@@ -145,44 +235,44 @@ def range_stats(
     their ``value``. A left row without a match, or with a null key, is kept with 0 and null.
     Right rows with a null value do not count.
     """
-    found = rolling_instants(right, value, keys, time, minutes, probes=left).select(
-        *keys,
-        time,
-        F.col("n").alias("_n"),
-        F.when(F.col("n") > 0, F.col("total")).alias("match_sum"),
-    )
-    return (
-        left.join(found, [*keys, time], "left")
-        .withColumn("matches", F.coalesce("_n", F.lit(0).cast("bigint")))
-        .select(*left.columns, "matches", "match_sum")
+    found = _rolling(left, right, value, keys, time, minutes, False, split_rows)
+    n = F.coalesce("_n", F.lit(0).cast("bigint"))
+    return found.select(
+        *left.columns, n.alias("matches"), F.when(n > 0, F.col("_total")).alias("match_sum")
     )
 
 
-def _with_average(
-    trades: DataFrame, keys: Sequence[str], minutes: int, ahead: bool, output: str
-) -> DataFrame:
-    mean = exact_mean(F.col("total"), F.col("n"), trades.schema["trade_pr"].dataType)
-    averages = rolling_instants(
-        trades, "trade_pr", keys, minutes=minutes, ahead=ahead
-    ).select(*keys, "event_tm", mean.alias(output))
-    return trades.join(averages, [*keys, "event_tm"], "left").select(*trades.columns, output)
+def average(value_type) -> Column:
+    return exact_mean(F.col("_total"), F.col("_n"), value_type)
 
 
 def trailing_avg(
-    trades: DataFrame, minutes: int = 30, keys: Sequence[str] = DAY_SERIES
+    trades: DataFrame,
+    minutes: int = 30,
+    keys: Sequence[str] = DAY_SERIES,
+    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """Trades plus ``mov_avg_trade_pr``: mean price over the last ``minutes``, both ends included.
 
     Expects trades without repeated deliveries. A trade with a null key or time has no average.
     """
-    return _with_average(trades, keys, minutes, False, "mov_avg_trade_pr")
+    mean = average(trades.schema["trade_pr"].dataType).alias("mov_avg_trade_pr")
+    return _rolling(
+        None, trades, "trade_pr", keys, "event_tm", minutes, False, split_rows
+    ).select(*trades.columns, mean)
 
 
 def leading_avg(
-    trades: DataFrame, minutes: int = 30, keys: Sequence[str] = SERIES
+    trades: DataFrame,
+    minutes: int = 30,
+    keys: Sequence[str] = SERIES,
+    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """Trades plus ``moving_average``: mean price over the coming ``minutes``, both ends included.
 
     The default keys follow a series across midnight.
     """
-    return _with_average(trades, keys, minutes, True, "moving_average")
+    mean = average(trades.schema["trade_pr"].dataType).alias("moving_average")
+    return _rolling(
+        None, trades, "trade_pr", keys, "event_tm", minutes, True, split_rows
+    ).select(*trades.columns, mean)

@@ -7,70 +7,133 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.functions.timegrid import exact_mean
-from tapewright.operators.asof import carry_last, one_per_instant
+from tapewright.functions.timegrid import seconds
+from tapewright.operators.asof import (
+    CARRIED,
+    LEFT,
+    QUOTED,
+    TRADED,
+    carry_last,
+    last_of_instant,
+    one_per_instant,
+    time_order,
+)
 from tapewright.operators.closing import add_moves, closing_price
-from tapewright.operators.rolling import rolling_instants
+from tapewright.operators.rolling import average, entering_and_leaving, rolling_instants
 from tapewright.operators.selection import day_slice, previous_day
-from tapewright.schema import DAY_SERIES, ENRICHED_SCHEMA, QUOTE_VALUES
+from tapewright.operators.series import SPLIT_ROWS, Load, with_known_keys
+from tapewright.schema import DAY_SERIES, ENRICHED_SCHEMA, PRICE, QUOTE_VALUES
 from tapewright.sources.tables import read_quotes, read_trades, write_by_day
 
+_AT = (*DAY_SERIES, "event_tm")
 _LAST_TRADE = {"trade_pr": "last_trade_pr", "mov_avg_trade_pr": "last_mov_avg_pr"}
+_ENRICHED = (*_AT, "event_seq_nb", *QUOTE_VALUES, *_LAST_TRADE.values(), "close_pr")
 
 
-def _trade_instants(trades: DataFrame, minutes: int) -> DataFrame:
-    """One row per instant of a series: price of its last trade, and the trailing average."""
-    mean = exact_mean(F.col("total"), F.col("n"), trades.schema["trade_pr"].dataType)
+def _ordinary(
+    quotes: DataFrame, trades: DataFrame, close: DataFrame, minutes: int, keep_all_quotes: bool
+) -> DataFrame:
+    """All three lookups in one time order of quotes, trades and the opening close.
+
+    One shuffle by series and one sort: the running sum gives the average at each trade, and the
+    last trade and the close are carried to the quotes after them. Of trades at one instant the
+    last in order is carried, whose sum takes in the whole instant.
+    """
+    trade_rows = entering_and_leaving(
+        trades.select(*_AT, "event_seq_nb", "trade_pr"),
+        F.lit(1),
+        F.col("trade_pr"),
+        DAY_SERIES,
+        "event_tm",
+        seconds(minutes * 60),
+        (TRADED, LEFT),
+    )
+    rows = (
+        quotes.withColumn("_step", F.lit(QUOTED))
+        .unionByName(trade_rows, allowMissingColumns=True)
+        .unionByName(close.withColumn("_step", F.lit(CARRIED)), allowMissingColumns=True)
+    )
+    order = ("_step", "event_seq_nb")
+    so_far = time_order(DAY_SERIES, *order)
+    chosen = F.lit(True) if keep_all_quotes else last_of_instant(DAY_SERIES, *order)
+    summed = rows.withColumns(
+        {
+            "_n": F.sum("_n").over(so_far),
+            "_total": F.sum("_total").over(so_far),
+            "close_pr": F.last("close_pr", ignorenulls=True).over(so_far),
+            "_chosen": chosen,
+        }
+    )
+    trade = F.struct(
+        F.col("trade_pr").alias("last_trade_pr"), average(PRICE).alias("last_mov_avg_pr")
+    )
+    carried = F.last(F.when(F.col("_step") == TRADED, trade), ignorenulls=True)
     return (
-        rolling_instants(
-            trades,
-            "trade_pr",
-            DAY_SERIES,
-            minutes=minutes,
-            also=[F.max_by("trade_pr", "event_seq_nb").alias("trade_pr")],
-        )
-        .withColumn("mov_avg_trade_pr", mean)
-        .drop("n", "total")
+        summed.withColumn("_trade", carried.over(so_far))
+        .filter((F.col("_step") == QUOTED) & F.col("_chosen"))
+        .select("*", "_trade.*")
+        .select(*_ENRICHED)
     )
 
 
+def _busy(
+    quotes: DataFrame, trades: DataFrame, close: DataFrame, minutes: int, keep_all_quotes: bool
+) -> DataFrame:
+    """The same in time slots, for series of any size."""
+    instants = rolling_instants(
+        trades,
+        "trade_pr",
+        DAY_SERIES,
+        minutes=minutes,
+        also=[F.max_by("trade_pr", "event_seq_nb").alias("trade_pr")],
+    ).withColumn("mov_avg_trade_pr", average(PRICE))
+    asked = (
+        quotes.select(*_AT).distinct()
+        if keep_all_quotes
+        else one_per_instant(quotes, DAY_SERIES, QUOTE_VALUES)
+    )
+    found = carry_last(asked, instants, DAY_SERIES, _LAST_TRADE, opening=close)
+    if keep_all_quotes:
+        found = quotes.join(found, list(_AT), "left")
+    return found.select(*_ENRICHED)
+
+
 def enrich_quotes(
     trades: DataFrame,
     quotes: DataFrame,
     date: str | dt.date | None = None,
     minutes: int = 30,
     keep_all_quotes: bool = False,
+    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """Enriched quotes of ``date``, or of every day at once where no date is given.
 
     Trades and quotes are taken as deduplicated. The last trade and its average never cross
-    midnight; the close is that of the calendar day before. No step joins the quotes to anything:
-    last trade and close are both carried forward in time order.
+    midnight; the close is that of the calendar day before. Quotes at one instant of a series
+    become one row unless ``keep_all_quotes``. No step joins the quotes of an ordinary series to
+    anything: last trade, average and close are all carried forward in time order.
     """
     closing_trades = trades
     if date is not None:
         closing_trades = day_slice(trades, previous_day(date))
         trades = day_slice(trades, date)
         quotes = day_slice(quotes, date)
-    close = closing_price(closing_trades, DAY_SERIES).withColumn(
+    close = closing_price(with_known_keys(closing_trades, DAY_SERIES), DAY_SERIES).withColumn(
         "trade_dt", F.date_add("trade_dt", 1)
     )
-    instants = _trade_instants(trades, minutes)
-    at = [*DAY_SERIES, "event_tm"]
-    if keep_all_quotes:
-        found = carry_last(quotes.select(*at).distinct(), instants, DAY_SERIES, _LAST_TRADE,
-                           opening=close)
-        joined = quotes.alias("q").join(
-            found.alias("f"), [F.col(f"q.{c}").eqNullSafe(F.col(f"f.{c}")) for c in at], "left"
-        ).select("q.*", *[f"f.{c}" for c in [*_LAST_TRADE.values(), "close_pr"]])
-    else:
-        joined = carry_last(
-            one_per_instant(quotes, DAY_SERIES, QUOTE_VALUES),
-            instants,
-            DAY_SERIES,
-            _LAST_TRADE,
-            opening=close,
-        )
+    quotes = quotes.select(*_AT, "event_seq_nb", *QUOTE_VALUES)
+
+    def ordinary(quotes: DataFrame, trades: DataFrame) -> DataFrame:
+        return _ordinary(quotes, trades, close, minutes, keep_all_quotes)
+
+    def busy(quotes: DataFrame, trades: DataFrame) -> DataFrame:
+        return _busy(quotes, trades, close, minutes, keep_all_quotes)
+
+    def unknown(quotes: DataFrame) -> DataFrame:
+        return quotes if keep_all_quotes else one_per_instant(quotes, DAY_SERIES, QUOTE_VALUES)
+
+    load = Load(DAY_SERIES, "event_tm", split_rows, quotes, trades)
+    joined = load.apply([quotes, trades], ordinary, busy, unknown)
     return add_moves(joined).select(*ENRICHED_SCHEMA.names)
 
 
