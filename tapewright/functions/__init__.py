@@ -3,8 +3,9 @@
 from tapewright.functions.text import (
     clock_time,
     decimal_price,
-    json_record,
     is_json_line,
+    json_record,
+    json_records,
     plain_date,
     whole_number,
 )
@@ -17,6 +18,7 @@ __all__ = [
     "exact_mean",
     "is_json_line",
     "json_record",
+    "json_records",
     "plain_date",
     "seconds",
     "time_slot",

@@ -57,16 +57,19 @@ def is_json_line(line: Column) -> Column:
     return line.startswith("{")
 
 
-def json_record(line: Column) -> Column:
-    """The line's JSON object as a struct of texts, or null unless the line is one whole object.
+def json_records(line: Column) -> Column:
+    """The line's JSON object as the first of two elements, the second being empty.
 
     Parsers stop at the end of the first value, so a line with text after its object would pass.
-    Reading it as the first of two elements of an array makes any such text a syntax error or a
-    third element.
+    As an element of an array, any such text is a syntax error or a further element.
     """
-    records = F.from_json(
+    return F.from_json(
         F.concat(F.lit("["), line, F.lit(",{}]")),
         _JSON_RECORDS,
         {"allowSingleQuotes": "false"},
     )
+
+
+def json_record(records: Column) -> Column:
+    """The object as a struct of texts, or null unless the line is one whole object."""
     return F.when(F.size(records) == 2, F.get(records, F.lit(0)))

@@ -12,6 +12,7 @@ from tapewright.functions.text import (
     decimal_price,
     is_json_line,
     json_record,
+    json_records,
     plain_date,
     whole_number,
 )
@@ -69,9 +70,9 @@ def parse_events(lines: DataFrame, keep_raw: bool = False) -> DataFrame:
     json_line = is_json_line(F.col("value"))
     split_up = lines.select(
         "value",
-        F.when(json_line, json_record(F.col("value"))).alias("record"),
+        F.when(json_line, json_records(F.col("value"))).alias("records"),
         F.when(~json_line, F.split("value", ",")).alias("cells"),
-    )
+    ).select("value", json_record(F.col("records")).alias("record"), "cells")
 
     def text(position: int, key: str) -> Column:
         return F.coalesce(F.get("cells", F.lit(position)), F.col("record").getField(key))

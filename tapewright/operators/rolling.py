@@ -135,10 +135,10 @@ def rolling_instants(
     series = [*keys, "_slot"]
 
     slotted = facts.withColumn("_slot", time_slot(time, width))
-    measures = [F.count(value).alias("_n"), F.sum(value).alias("_total")]
     instants = slotted.groupBy(*series, time).agg(
         F.count(value).alias("n"), F.sum(value).alias("total"), *also
     )
+    total_type = instants.schema["total"].dataType
     # Each instant enters in its own slot and leaves in the slot ``reach`` further on.
     rows = (
         entering_and_leaving(instants, F.col("n"), F.col("total"), keys, time, shift)
@@ -146,30 +146,50 @@ def rolling_instants(
         .withColumn("_slot", time_slot(time, width))
     )
 
-    # What the slots before (or, looking ahead, after) hold when a slot begins.
-    slots = slotted.groupBy(*series).agg(*measures)
+    # What the slots before (or, looking ahead, after) hold when a slot begins: the same running
+    # sum once more, over one entering and one leaving row for each slot.
+    def slot_row(slots_on: int, step: int, n: Column, total: Column) -> Column:
+        return F.struct(
+            (F.col("_slot") + toward * slots_on).alias("_slot"),
+            F.lit(step).alias("_step"),
+            n.alias("_n"),
+            total.alias("_total"),
+        )
+
+    slots = slotted.groupBy(*series).agg(
+        F.count(value).alias("n"), F.sum(value).alias("total")
+    )
+    n, total = F.col("n"), F.col("total")
+    moves = [
+        slot_row(1, _BASE, n, total),
+        slot_row(reach + 1, _BASE, -n, -total),
+    ]
     if probes is None:
         asking = _ENTER
-        slots = slots.withColumn("_asked", F.lit(True))
+        moves.append(slot_row(0, _ASK, F.lit(0).cast("bigint"), F.lit(None).cast(total_type)))
+        slot_rows = slots.select(*keys, F.inline(F.array(*moves)))
     else:
         asking = _ASK
         asked = probes.select(*keys, time_slot(time, width).alias("_slot"), time).distinct()
         rows = rows.unionByName(asked.withColumn("_step", F.lit(_ASK)), allowMissingColumns=True)
-        slots = slots.withColumn("_asked", F.lit(False)).unionByName(
-            asked.select(*series).distinct().withColumn("_asked", F.lit(True)),
+        slot_rows = slots.select(*keys, F.inline(F.array(*moves))).unionByName(
+            asked.select(*series).distinct().withColumn("_step", F.lit(_ASK)),
             allowMissingColumns=True,
         )
-    frame = (1, reach) if ahead else (-reach, -1)
-    around = Window.partitionBy(*keys).orderBy("_slot").rangeBetween(*frame)
+    by_slot = F.desc("_slot") if ahead else F.asc("_slot")
+    before = (
+        Window.partitionBy(*keys)
+        .orderBy(by_slot, "_step")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     base = (
-        slots.select(
+        slot_rows.select(
             *series,
-            "_asked",
-            F.sum("_n").over(around).alias("_n"),
-            F.sum("_total").over(around).alias("_total"),
+            "_step",
+            F.sum("_n").over(before).alias("_n"),
+            F.sum("_total").over(before).alias("_total"),
         )
-        .filter(F.col("_asked") & F.col("_n").isNotNull())
-        .drop("_asked")
+        .filter((F.col("_step") == _ASK) & (F.col("_n") != 0))
         .withColumn("_step", F.lit(_BASE))
     )
 

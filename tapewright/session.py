@@ -23,17 +23,22 @@ RECOMMENDED_CONF = {
 }
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused folder path under the shared scratch folder.
 
-    The folder is the cluster's ``spark.checkpoint.dir``. Where that is unset, a local session
-    gets a temporary folder; a session on a cluster is refused, as no machine-local folder would
-    be seen by every executor.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``. Where that is unset, a
+    local session gets a temporary folder; a session on a cluster is refused, as no machine-local
+    folder would be seen by every executor.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="tapewright-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="tapewright-")
+        root = _LOCAL_FOLDERS[application]
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
