@@ -97,9 +97,15 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same deliveries as feed lines: JSON for even event ids, CSV for odd ones."""
     rows = deliveries(source_events(spark, sf_dir))
     kind = F.col("event_id") % 4
-    day = F.date_format("trade_dt", "yyyy-MM-dd")
-    time = F.date_format("event_tm", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    arrival = F.date_format("arrival_tm", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    day = F.col("trade_dt").cast("string")
+
+    def clock(name: str) -> Column:
+        """All six fraction digits, which the cast leaves off where they are zero."""
+        shortest = F.col(name).cast("string")
+        dotted = F.when(F.length(shortest) == 19, F.concat(shortest, F.lit("."))).otherwise(shortest)
+        return F.rpad(dotted, 26, "0")
+
+    time, arrival = clock("event_tm"), clock("arrival_tm")
     price = F.col("price").cast("string")
     ask = (F.col("price") + F.lit("0.05").cast("decimal(9,2)")).cast("string")
 
