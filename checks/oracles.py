@@ -98,9 +98,10 @@ _SIDES = (
     "CAST(bid_pr AS DOUBLE) AS bid_pr, bid_size, CAST(ask_pr AS DOUBLE) AS ask_pr, ask_size"
 )
 _QUOTE = f'{_AT}, rec_type, arrival_tm, {_SIDES}, "partition"'
-_EVENT = (
-    f"{_AT}, rec_type, arrival_tm, CAST(trade_pr AS DOUBLE) AS trade_pr, {_SIDES}, \"partition\""
-)
+_EVENT = f"""{_DATE}, symbol, exchange, event_tm, CAST(event_seq_nb AS DOUBLE) AS event_seq_nb,
+  rec_type, arrival_tm, CAST(trade_pr AS DOUBLE) AS trade_pr,
+  CAST(bid_pr AS DOUBLE) AS bid_pr, CAST(bid_size AS DOUBLE) AS bid_size,
+  CAST(ask_pr AS DOUBLE) AS ask_pr, CAST(ask_size AS DOUBLE) AS ask_size, "partition\""""
 
 
 def _mean(total: str, n: str) -> str:

@@ -42,6 +42,14 @@ def shown(df: DataFrame) -> DataFrame:
     return df.select(*[plain(name) for name in df.columns])
 
 
+def shown_events(df: DataFrame) -> DataFrame:
+    """The same for tables of trades, quotes and bad lines together: whole numbers, null in some
+    rows, as doubles, since data frames of the two engines mark a null integer differently."""
+    shown_df = shown(df)
+    whole = [name for name, dtype in shown_df.dtypes if dtype == "int"]
+    return shown_df.withColumns({name: F.col(name).cast("double") for name in whole})
+
+
 def trades_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tw.preprocess(typed_events(spark, sf_dir))[0]
 
@@ -92,12 +100,12 @@ def _stored_events(spark: SparkSession, sf_dir: str) -> str:
 
 @query
 def read_events(spark, sf_dir):
-    return shown(tw.read_events(spark, _stored_events(spark, sf_dir)))
+    return shown_events(tw.read_events(spark, _stored_events(spark, sf_dir)))
 
 
 @query
 def read_events_of_partitions(spark, sf_dir):
-    return shown(tw.read_events(spark, _stored_events(spark, sf_dir), [TRADE, QUOTE]))
+    return shown_events(tw.read_events(spark, _stored_events(spark, sf_dir), [TRADE, QUOTE]))
 
 
 # Parsing
@@ -152,7 +160,7 @@ def quarantine_bad_lines(spark, sf_dir):
 
 @query
 def parse_events(spark, sf_dir):
-    return shown(_parsed(spark, sf_dir))
+    return shown_events(_parsed(spark, sf_dir))
 
 
 @query
@@ -173,7 +181,7 @@ def parse_times(spark, sf_dir):
 
 @query
 def drop_bad(spark, sf_dir):
-    return shown(tw.drop_bad(typed_events(spark, sf_dir)))
+    return shown_events(tw.drop_bad(typed_events(spark, sf_dir)))
 
 
 @query
@@ -265,7 +273,7 @@ def event_counts(spark, sf_dir):
 
 @query
 def latest_delivery(spark, sf_dir):
-    return shown(tw.latest_delivery(tw.drop_bad(typed_events(spark, sf_dir))))
+    return shown_events(tw.latest_delivery(tw.drop_bad(typed_events(spark, sf_dir))))
 
 
 @query
@@ -340,7 +348,7 @@ def ingest(spark, sf_dir):
     source, target = scratch_path(spark, "feed"), scratch_path(spark, "events")
     event_lines(spark, sf_dir).write.text(source)
     tw.run_ingest(spark, source, target)
-    return shown(tw.read_events(spark, target))
+    return shown_events(tw.read_events(spark, target))
 
 
 @query
