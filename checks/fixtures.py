@@ -102,8 +102,8 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     def clock(name: str) -> Column:
         """All six fraction digits, which the cast leaves off where they are zero."""
         shortest = F.col(name).cast("string")
-        dotted = F.when(F.length(shortest) == 19, F.concat(shortest, F.lit("."))).otherwise(shortest)
-        return F.rpad(dotted, 26, "0")
+        whole = F.length(shortest) == 19
+        return F.rpad(F.when(whole, F.concat(shortest, F.lit("."))).otherwise(shortest), 26, "0")
 
     time, arrival = clock("event_tm"), clock("arrival_tm")
     price = F.col("price").cast("string")

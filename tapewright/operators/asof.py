@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapewright.functions.timegrid import time_slot
-from tapewright.operators.series import SPLIT_ROWS, Load
+from tapewright.operators.series import SPLIT_ROWS, Load, with_known
 from tapewright.schema import DAY_SERIES, QUOTE_VALUES
 
 # Order of rows at one instant. A trade at the quote's own instant comes after the quote.
@@ -60,8 +60,8 @@ def carry_last(
 ) -> DataFrame:
     """Quotes plus the values of the last trade strictly before each, for series of any size.
 
-    Both inputs have one row for each (keys, time), all known. ``values`` maps trade columns to
-    output names. ``opening`` (keys and further columns, one row for each keys) is attached to
+    Both inputs have one row for each (keys, time); keys, and times of trades, are known.
+    ``values`` maps trade columns to output names. ``opening`` (keys and further columns, one row for each keys) is attached to
     every quote of the same keys: it rides along as a row ahead of the first slot.
     """
     time = "event_tm"
@@ -194,7 +194,9 @@ def asof_last_trade(
     carried = [c for c in QUOTE_VALUES if c in quotes.columns]
     if not keep_all_quotes:
         quotes = quotes.select(*keys, "event_tm", "event_seq_nb", *carried)
-    load = Load(keys, "event_tm", split_rows, quotes, trades)
+    trades = with_known(trades, ["event_tm"])
+    load = Load(keys, split_rows, quotes, trades)
+    at = [*keys, "event_tm"]
     columns = [*quotes.columns, *values.values()]
 
     def ordinary(quotes: DataFrame, trades: DataFrame) -> DataFrame:
@@ -207,8 +209,8 @@ def asof_last_trade(
             return carry_last(asked, instants, keys, values).select(*columns)
         # Distinct instants are resolved and joined back; adaptive execution splits an instant
         # with very many quotes.
-        found = carry_last(quotes.select(*load.at).distinct(), instants, keys, values)
-        return quotes.join(found, load.at, "left").select(*columns)
+        found = carry_last(quotes.select(*at).distinct(), instants, keys, values)
+        return quotes.join(found, at, "left").select(*columns)
 
     def unknown(quotes: DataFrame) -> DataFrame:
         return quotes if keep_all_quotes else one_per_instant(quotes, keys, carried)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType
 
 from tapewright.functions.timegrid import SLOT_SECONDS, exact_mean, seconds, time_slot
-from tapewright.operators.series import SPLIT_ROWS, Load
+from tapewright.operators.series import SPLIT_ROWS, Load, with_known
 from tapewright.schema import DAY_SERIES, SERIES
 
 # Order of rows at one instant: sums so far, facts entering, questions asked, facts leaving.
@@ -84,8 +84,8 @@ def _within_series(
     given = facts.select(*columns) if askers is not None else facts
     rows = entering_and_leaving(
         given,
-        F.when(F.col(value).isNotNull(), F.lit(1)).otherwise(0),
-        F.col(value),
+        F.when(F.col(time).isNotNull() & F.col(value).isNotNull(), 1).otherwise(0),
+        F.when(F.col(time).isNotNull(), F.col(value)),
         keys,
         time,
         shift,
@@ -96,7 +96,8 @@ def _within_series(
         rows = rows.drop(value).unionByName(
             askers.withColumn("_step", F.lit(_ASK)), allowMissingColumns=True
         )
-    by_time = F.desc(time) if ahead else F.asc(time)
+    # Rows without a time come first in either direction, count for nothing and find nothing.
+    by_time = F.desc_nulls_first(time) if ahead else F.asc_nulls_first(time)
     # A range frame takes in all facts of the row's own instant.
     so_far = (
         Window.partitionBy(*keys)
@@ -222,7 +223,8 @@ def _rolling(
     """Asking rows (by default the facts) plus ``_n`` and ``_total``; null without known keys."""
     _require_exact(facts, value)
     tables = [facts] if askers is None else [askers, facts]
-    load = Load(keys, time, split_rows, *tables)
+    at = [*keys, time]
+    load = Load(keys, split_rows, *tables)
     columns = [*tables[0].columns, "_n", "_total"]
 
     def ordinary(*share: DataFrame) -> DataFrame:
@@ -230,11 +232,12 @@ def _rolling(
         return _within_series(share[-1], value, keys, time, minutes, ahead, asking).select(*columns)
 
     def busy(*share: DataFrame) -> DataFrame:
-        asking = None if askers is None else share[0]
-        instants = rolling_instants(share[-1], value, keys, time, minutes, ahead, asking)
+        asking = None if askers is None else with_known(share[0], [time])
+        timed = with_known(share[-1], [time])
+        instants = rolling_instants(timed, value, keys, time, minutes, ahead, asking)
         # Adaptive execution splits an instant with very many asking rows.
-        found = instants.select(*load.at, "_n", "_total")
-        return share[0].join(found, load.at, "left").select(*columns)
+        found = instants.select(*at, "_n", "_total")
+        return share[0].join(found, at, "left").select(*columns)
 
     return load.apply(tables, ordinary, busy)
 

@@ -26,37 +26,30 @@ def _all_known(columns: Sequence[str]) -> str:
     return " AND ".join(f"`{c}` IS NOT NULL" for c in columns)
 
 
-def with_known_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows whose keys are all given. As in a join, a null key matches nothing."""
+def with_known(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows that have all of ``columns``. As in a join, a null key or time matches nothing."""
     return df.filter(_all_known(columns))
 
 
-def with_unknown_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def with_unknown(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.filter(f"NOT ({_all_known(columns)})")
 
 
 class Load:
-    """What some tables that share series hold, measured when constructed."""
+    """How many rows each series of some tables holds, measured when constructed."""
 
-    def __init__(
-        self, keys: Sequence[str], time: str, split_rows: int, *tables: DataFrame
-    ) -> None:
+    def __init__(self, keys: Sequence[str], split_rows: int, *tables: DataFrame) -> None:
         self.keys = list(keys)
-        self.at = [*keys, time]
-        rows = reduce(DataFrame.union, [t.select(*self.at) for t in tables])
-        counts = rows.groupBy(*self.keys).agg(
-            F.count(F.lit(1)).alias("rows"), F.count(time).alias("timed")
-        )
+        rows = reduce(DataFrame.union, [t.select(*self.keys) for t in tables])
+        counts = rows.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("rows"))
         known = F.expr(_all_known(self.keys))
         measured = counts.agg(
-            F.max(F.when(known, F.col("timed"))).alias("busiest"),
-            F.sum(F.when(known, F.col("rows") - F.col("timed")).otherwise(F.col("rows"))).alias(
-                "unknown"
-            ),
+            F.max(F.when(known, F.col("rows"))).alias("busiest"),
+            F.sum(F.when(~known, F.col("rows"))).alias("unknown"),
         ).first()
         self._has_busy = (measured["busiest"] or 0) > split_rows
         self._has_unknown = bool(measured["unknown"])
-        busy = counts.filter(known & (F.col("timed") > split_rows)).select(*self.keys)
+        busy = counts.filter(known & (F.col("rows") > split_rows)).select(*self.keys)
         self._busy = F.broadcast(busy)
 
     def apply(
@@ -67,8 +60,8 @@ class Load:
         unknown: Callable[[DataFrame], DataFrame] = lambda df: df,
     ) -> DataFrame:
         """Union of ``ordinary`` and ``busy`` over the rows with known keys of ``tables``, each
-        given its share, and of the first table's rows without known keys."""
-        known = [with_known_keys(t, self.at) for t in tables]
+        given its share, and of ``unknown`` over the first table's rows without known keys."""
+        known = [with_known(t, self.keys) for t in tables]
         if not self._has_busy:
             result = ordinary(*known)
         else:
@@ -76,6 +69,6 @@ class Load:
                 *[t.join(self._busy, self.keys, "left_anti") for t in known]
             ).unionByName(busy(*[t.join(self._busy, self.keys, "left_semi") for t in known]))
         if self._has_unknown:
-            rest = unknown(with_unknown_keys(tables[0], self.at))
+            rest = unknown(with_unknown(tables[0], self.keys))
             result = result.unionByName(rest, allowMissingColumns=True)
         return result

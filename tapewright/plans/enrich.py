@@ -21,7 +21,7 @@ from tapewright.operators.asof import (
 from tapewright.operators.closing import add_moves, closing_price
 from tapewright.operators.rolling import average, entering_and_leaving, rolling_instants
 from tapewright.operators.selection import day_slice, previous_day
-from tapewright.operators.series import SPLIT_ROWS, Load, with_known_keys
+from tapewright.operators.series import SPLIT_ROWS, Load, with_known
 from tapewright.schema import DAY_SERIES, ENRICHED_SCHEMA, PRICE, QUOTE_VALUES
 from tapewright.sources.tables import read_quotes, read_trades, write_by_day
 
@@ -94,7 +94,9 @@ def _busy(
     )
     found = carry_last(asked, instants, DAY_SERIES, _LAST_TRADE, opening=close)
     if keep_all_quotes:
-        found = quotes.join(found, list(_AT), "left")
+        same = [quotes[c] == found[c] for c in DAY_SERIES]
+        same.append(quotes["event_tm"].eqNullSafe(found["event_tm"]))
+        found = quotes.join(found, same, "left").drop(*[found[c] for c in _AT])
     return found.select(*_ENRICHED)
 
 
@@ -109,7 +111,7 @@ def enrich_quotes(
     """Enriched quotes of ``date``, or of every day at once where no date is given.
 
     Trades and quotes are taken as deduplicated. The last trade and its average never cross
-    midnight; the close is that of the calendar day before. Quotes at one instant of a series
+    midnight; the close is that of the calendar day before (also for a quote without a time). Quotes at one instant of a series
     become one row unless ``keep_all_quotes``. No step joins the quotes of an ordinary series to
     anything: last trade, average and close are all carried forward in time order.
     """
@@ -118,7 +120,7 @@ def enrich_quotes(
         closing_trades = day_slice(trades, previous_day(date))
         trades = day_slice(trades, date)
         quotes = day_slice(quotes, date)
-    close = closing_price(with_known_keys(closing_trades, DAY_SERIES), DAY_SERIES).withColumn(
+    close = closing_price(with_known(closing_trades, DAY_SERIES), DAY_SERIES).withColumn(
         "trade_dt", F.date_add("trade_dt", 1)
     )
     quotes = quotes.select(*_AT, "event_seq_nb", *QUOTE_VALUES)
@@ -132,7 +134,8 @@ def enrich_quotes(
     def unknown(quotes: DataFrame) -> DataFrame:
         return quotes if keep_all_quotes else one_per_instant(quotes, DAY_SERIES, QUOTE_VALUES)
 
-    load = Load(DAY_SERIES, "event_tm", split_rows, quotes, trades)
+    trades = with_known(trades, ["event_tm"])
+    load = Load(DAY_SERIES, split_rows, quotes, trades)
     joined = load.apply([quotes, trades], ordinary, busy, unknown)
     return add_moves(joined).select(*ENRICHED_SCHEMA.names)
 

@@ -73,9 +73,9 @@ def test_busy_series_are_spread_by_time_slot(spark):
 
 
 def test_load_brings_one_row_to_the_driver(spark):
-    load = series.Load(["symbol"], "event_tm", 3, make_trades(spark), make_quotes(spark))
+    load = series.Load(["symbol"], 3, make_trades(spark), make_quotes(spark))
     assert load._has_busy and load._has_unknown
-    empty = series.Load(["symbol"], "event_tm", 3, make_trades(spark).limit(0))
+    empty = series.Load(["symbol"], 3, make_trades(spark).limit(0))
     assert not load._busy.isEmpty() and not empty._has_busy and not empty._has_unknown
 
 
