@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 
 # SQL type names, Spark's and DuckDB's, that mean the same.
 TYPES = {
+    "boolean": "BOOLEAN",
     "int": "INTEGER",
     "bigint": "BIGINT",
     "string": "VARCHAR",
