@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.llm import decontaminate, htmltext, language, tokencount, urlfilter
+from tapewright.llm import bpe, decontaminate, htmltext, language, pii, tokencount, urlfilter
 from tapewright.llm.columns import read
 
 URL_RULES = [
@@ -19,6 +19,7 @@ URL_RULES = [
     urlfilter.Rule("block", "com", "/de/"),
 ]
 BYTE_BPE = "byte_bpe_50k.json"
+WORD_BPE = "word_bpe_49k.json"
 TOKEN_LIMIT = 512
 FOLDS = 5
 
@@ -51,6 +52,37 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.train(docs), keep=["doc_id"])
+
+    def listed(spans: Column) -> Column:
+        part = F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"]))
+        return F.concat_ws(",", part)
+
+    base = F.filter("pii", lambda x: x["base"])
+    return found.select(
+        "doc_id",
+        *(
+            F.size(F.filter(base, lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}")
+            for k in pii.KINDS
+        ),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("pii")).alias("spans"),
+    )
+
+
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(WORD_BPE)
+    ids = bpe.encode(read(spark, sf_dir, "documents"), path, keep=["doc_id"])
+    return bpe.decode(ids, path).select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
     return F.crc32(text.cast("binary")) % FOLDS == 0
@@ -70,7 +102,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_decontamination": decontamination,
         "op4_url_filter": url_filter,
+        "op5_personal_data": personal_data,
         "op7_token_counts": token_counts,
+        "op8_bpe_round_trip": bpe_round_trip,
         "op9_language_id": language_id,
         "op10_html_text": html_text,
     }
