@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import os
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 from tapewright.session import RECOMMENDED_CONF
 
 
+ROOT = Path(__file__).resolve().parent.parent
+
+
 def local_session(cores: str | None = None) -> SparkSession:
     cores = cores or os.environ.get("BENCH_CPUS", "8")
     builder = (
@@ -18,6 +22,7 @@ def local_session(cores: str | None = None) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.executorEnv.PYTHONPATH", str(ROOT))
     )
     for key, value in RECOMMENDED_CONF.items():
         builder = builder.config(key, value)
