@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.llm import bpe, decontaminate, htmltext, language, pii, tokencount, urlfilter
+from tapewright.llm import bpe, decontaminate, htmltext, language, neighbours, pii, tokencount, urlfilter
 from tapewright.llm.columns import read
 
 URL_RULES = [
@@ -21,9 +21,16 @@ URL_RULES = [
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 TOKEN_LIMIT = 512
+QUERY_EVERY = 20
 FOLDS = 5
 
 
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(
+        read(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % QUERY_EVERY == 0
+    )
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), keep=["doc_id"]
@@ -100,6 +107,7 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_nearest_vectors": nearest_vectors,
         "op3_decontamination": decontamination,
         "op4_url_filter": url_filter,
         "op5_personal_data": personal_data,
