@@ -27,11 +27,11 @@ SAMPLE_ROWS = 20_000
 LIST_ROWS = 160  # vectors of a list, as planned
 MAX_LISTS = 4_096
 REPLICAS, REPLICA_RATIO = 4, 1.15
-APART = 0.6  # of its distance: a further list this close to a chosen one is passed over
+APART = 0.3  # of its distance: a further list this close to a chosen one is passed over
 PROBES, PROBE_RATIO = 80, 1.25
 BLOCK_ROWS = 16_384  # more vectors of a list are worked on in blocks
 BLOCK_QUERIES = 4_096
-DEGREE, BEAM = 16, 96
+DEGREE, BEAM, ASSIGN_BEAM = 16, 96, 48
 
 
 @dataclass
@@ -141,7 +141,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def _chosen(model: Centroids, lifted: np.ndarray) -> list[list[int]]:
     """Lists of each vector: the nearest, and near ones that no nearer chosen one stands for."""
-    ids, far = model.search(lifted, 4 * REPLICAS)
+    ids, far = model.search(lifted, ASSIGN_BEAM)
     out = []
     for row, gaps in zip(ids.tolist(), far.tolist(), strict=True):
         own = [row[0]]
