@@ -62,5 +62,38 @@ GROUP BY page_id, host, path
 """
 
 
+JACCARD = f"""
+WITH RECURSIVE doc AS (
+    SELECT doc_id, list_filter(regexp_split_to_array({LOWER.format("coalesce(text, '')")},
+           '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws
+    FROM documents
+), shingle AS (
+    SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(2, len(ws) - 3))) AS i
+          FROM doc WHERE len(ws) > 0)
+), size AS (
+    SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), overlap AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both
+    FROM shingle AS a JOIN shingle AS b ON a.g = b.g AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+), link AS (
+    SELECT x, y FROM overlap
+    JOIN size AS s ON s.doc_id = x JOIN size AS t ON t.doc_id = y
+    WHERE 100 * n_both >= 75 * (s.n + t.n - n_both)
+), near AS (
+    SELECT x, y FROM link UNION ALL SELECT y, x FROM link
+), reach(doc_id, seen) AS (
+    SELECT DISTINCT x, x FROM near
+    UNION
+    SELECT reach.doc_id, near.y FROM reach JOIN near ON near.x = reach.seen
+)
+SELECT doc.doc_id, coalesce(size.n, 0) AS n_shingles,
+       coalesce((SELECT min(seen) FROM reach WHERE reach.doc_id = doc.doc_id), doc.doc_id)
+           AS component_id
+FROM doc LEFT JOIN size USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": DECONTAMINATION, "op4_url_filter": URL_FILTER}
+    return {"op3_decontamination": DECONTAMINATION, "op4_url_filter": URL_FILTER, "op6_jaccard_join": JACCARD}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.llm import bpe, decontaminate, htmltext, language, neighbours, pii, tokencount, urlfilter
+from tapewright.llm import bpe, decontaminate, htmltext, jaccard, language, neighbours, pii, tokencount, urlfilter
 from tapewright.llm.columns import read
 
 URL_RULES = [
@@ -79,6 +79,10 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(read(spark, sf_dir, "documents"))
+
+
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(WORD_BPE)
     ids = bpe.encode(read(spark, sf_dir, "documents"), path, keep=["doc_id"])
@@ -111,6 +115,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_decontamination": decontamination,
         "op4_url_filter": url_filter,
         "op5_personal_data": personal_data,
+        "op6_jaccard_join": jaccard_join,
         "op7_token_counts": token_counts,
         "op8_bpe_round_trip": bpe_round_trip,
         "op9_language_id": language_id,
