@@ -9,6 +9,29 @@ WORDS = (
     + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []::VARCHAR[])"
 )
 
+LM_SCORES = f"""
+WITH doc AS (
+    SELECT doc_id, {WORDS.format("text")} AS ws FROM documents
+), word AS (
+    SELECT doc_id, unnest(ws) AS w FROM doc
+), place AS (
+    SELECT doc_id, CASE WHEN i = 1 THEN '' ELSE ws[i - 1] END AS v, ws[i] AS w
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM doc)
+), pairs AS (
+    SELECT v, w, count(*) AS n FROM place GROUP BY v, w
+), befores AS (
+    SELECT w AS v, count(*) AS n FROM word GROUP BY w
+    UNION ALL SELECT '', count(*) FROM doc WHERE len(ws) > 0
+), scored AS (
+    SELECT doc_id, sum(CAST(round(ln(pairs.n) * 1048576) AS BIGINT)
+                       - CAST(round(ln(befores.n) * 1048576) AS BIGINT)) AS units
+    FROM place JOIN pairs USING (v, w) JOIN befores USING (v) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+       CASE WHEN len(ws) > 0 THEN CAST(units AS DOUBLE) / (1048576.0::DOUBLE * len(ws)) END AS score
+FROM doc LEFT JOIN scored USING (doc_id)
+"""
+
 DECONTAMINATION = f"""
 WITH item AS (
     SELECT item_id, {WORDS.format("text")} AS ws FROM benchmark
@@ -96,4 +119,4 @@ FROM doc LEFT JOIN size USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": DECONTAMINATION, "op4_url_filter": URL_FILTER, "op6_jaccard_join": JACCARD}
+    return {"op1_lm_scores": LM_SCORES, "op3_decontamination": DECONTAMINATION, "op4_url_filter": URL_FILTER, "op6_jaccard_join": JACCARD}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.llm import bpe, decontaminate, htmltext, jaccard, language, neighbours, pii, tokencount, urlfilter
+from tapewright.llm import bpe, decontaminate, htmltext, jaccard, language, neighbours, ngrams, pii, tokencount, urlfilter
 from tapewright.llm.columns import read
 
 URL_RULES = [
@@ -25,6 +25,10 @@ QUERY_EVERY = 20
 FOLDS = 5
 
 
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.score(read(spark, sf_dir, "documents"))
+
+
 def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(
         read(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % QUERY_EVERY == 0
@@ -111,6 +115,7 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_lm_scores": lm_scores,
         "op2_nearest_vectors": nearest_vectors,
         "op3_decontamination": decontamination,
         "op4_url_filter": url_filter,
