@@ -11,6 +11,7 @@ of some text that holds both; if no window agrees, the last one is the two parts
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,21 +41,49 @@ def tokenizer(path: str):
     return found
 
 
+# Latin text with ordinary white space, whose splitting is spelled out below. Digits beyond 0-9 in
+# this range: superscripts and fractions.
+_OTHER = re.compile("[^\\t\\n\\r\\x20-\\x7e\\xa1-\u012f\u0131-\u024f]")
+_SPLIT = re.compile(
+    "'s|'t|'re|'ve|'m|'ll|'d|[^\\W\\d_\xb2\xb3\xb9\xbc-\xbe]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|(?:[^\\w\\s]|_)+"
+)
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte: itself if it is visible, else one beyond 255."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = iter(range(0x100, 0x200))
+    return [chr(b if b in visible else next(hidden)) for b in range(256)]
+
+
 class PieceEncoder:
-    """Ids of whole texts from the ids of their pieces between spaces.
+    """Ids of whole texts from the ids of their pieces, each distinct piece encoded once.
 
-    Right for vocabularies whose tokens hold no white space and whose splitting never looks across
-    it (as ``word_bpe_49k.json``); pieces are cut at space, tab, line feed and carriage return.
+    For vocabularies that split text as ``word_bpe_49k.json`` does: tokens hold no white space, and
+    the splitting never looks across it. Latin text is split into the vocabulary's own pre-tokens,
+    any other text at space, tab, line feed and carriage return, and the library does the rest.
     """
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
 
+    def _pre_token(self, piece: str) -> bytes:
+        if not piece.isascii():
+            piece = "".join([self.letters[b] for b in piece.encode()])
+        return np.array([t.id for t in self.tokenizer.model.tokenize(piece)], "<u4").tobytes()
+
     def encode(self, text: str) -> bytes:
-        for c in "\n\t\r":
-            text = text.replace(c, " ")
-        pieces = text.split(" ")
+        latin = not _OTHER.search(text) and not any(s in text for s in self.special)
+        if latin:
+            pieces = _SPLIT.findall(text.lower())
+        else:
+            for c in "\n\t\r":
+                text = text.replace(c, " ")
+            # marked, as a piece between spaces is not a pre-token
+            pieces = [f" {p}" for p in text.split(" ")]
         known = self.known
         new = {p for p in pieces if p not in known}
         extra = {}
@@ -63,12 +92,18 @@ class PieceEncoder:
                 known.clear()
                 new = set(pieces)
             order = list(new)
-            encoded = self.tokenizer.encode_batch(order, add_special_tokens=False)
-            for p, e in zip(order, encoded, strict=True):
+            if latin:
+                encoded = map(self._pre_token, order)
+            else:
+                found = self.tokenizer.encode_batch(
+                    [p[1:] for p in order], add_special_tokens=False
+                )
+                encoded = (np.array(e.ids, "<u4").tobytes() for e in found)
+            for p, ids in zip(order, encoded, strict=True):
                 into = known if len(p) <= CACHED_CHARS else extra
-                into[p] = np.array(e.ids, "<u4").tobytes()
+                into[p] = ids
         if extra:
-            return b"".join(extra[p] if p in extra else known[p] for p in pieces)
+            return b"".join([extra[p] if p in extra else known[p] for p in pieces])
         return b"".join(map(known.__getitem__, pieces))
 
 
@@ -175,18 +210,15 @@ def _encode_long(docs: DataFrame, path: str, text: str, part_chars: int) -> Data
     def start():
         tok = tokenizer(path)
 
-        def compute(parts, at):
-            made = [
-                tokens_of(tok, p, n)
-                for p, n in zip(parts.to_pylist(), at.to_pylist(), strict=True)
-            ]
-            return [[x[k].astype("<i8").tobytes() for x in made] for k in range(3)]
+        def compute(parts):
+            made = [tokens_of(tok, p) for p in parts.to_pylist()]
+            return [[x[k].astype("<i4").tobytes() for x in made] for k in range(3)]
 
         return compute
 
     encoded = add_columns(
         parts,
-        ["part", "at"],
+        ["part"],
         "ids binary, starts binary, ends binary",
         start,
         ["digest", "at", "part"],
@@ -196,8 +228,14 @@ def _encode_long(docs: DataFrame, path: str, text: str, part_chars: int) -> Data
         # the rows of one text
         group = group.sort_values("at")
         tokens = [
-            tuple(np.frombuffer(x, "<i8") for x in row)
-            for row in zip(group["ids"], group["starts"], group["ends"], strict=True)
+            (
+                np.frombuffer(ids, "<i4").astype(np.int64),
+                np.frombuffer(starts, "<i4") + np.int64(at),
+                np.frombuffer(ends, "<i4") + np.int64(at),
+            )
+            for at, ids, starts, ends in zip(
+                group["at"], group["ids"], group["starts"], group["ends"], strict=True
+            )
         ]
         ids = joined(tokenizer(path), group["part"].tolist(), tokens)
         out = group.iloc[:1][["digest"]].copy()
@@ -246,12 +284,14 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", into: str = "decoded",
     def start():
         tok = tokenizer(path)
         plain = tok.decoder is None
-        names = {i: s for s, i in tok.get_vocab(with_added_tokens=True).items()}
+        vocabulary = {i: s for s, i in tok.get_vocab(with_added_tokens=True).items()}
+        names = [vocabulary.get(i) for i in range(max(vocabulary, default=-1) + 1)]
+        whole = None not in names
 
         def text(raw: bytes | None) -> str:
             numbers = np.frombuffer(raw or b"", "<u4").tolist()
-            if plain:  # without a decoder the library puts a space between tokens
-                return " ".join([names[i] for i in numbers if i in names])
+            if plain and whole:  # without a decoder the library puts a space between tokens
+                return " ".join(map(names.__getitem__, numbers))
             return tok.decode(numbers, skip_special_tokens=False)
 
         return lambda ids: [[text(x) for x in ids.to_pylist()]]

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 # Largest Arrow batch sent to a Python worker; a single longer text still goes through whole.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

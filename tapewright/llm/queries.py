@@ -72,12 +72,13 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat_ws(",", part)
 
     base = F.filter("pii", lambda x: x["base"])
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     return found.select(
         "doc_id",
-        *(
-            F.size(F.filter(base, lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}")
-            for k in pii.KINDS
-        ),
+        *(number(kind) for kind in pii.KINDS),
         F.sha2(listed(base), 256).alias("base_sha256"),
         listed(F.col("pii")).alias("spans"),
     )
