@@ -24,7 +24,7 @@ from tapewright.llm.columns import add_columns, bounded_batches, col
 PART_CHARS = 1 << 15
 WINDOW_CHARS = 64
 AGREE = 4  # tokens in a row that must be the same
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 300_000
 CACHED_CHARS = 64
 
 # ids, start and end of each token, as code points of the text
@@ -41,11 +41,12 @@ def tokenizer(path: str):
     return found
 
 
-# Latin text with ordinary white space, whose splitting is spelled out below. Digits beyond 0-9 in
-# this range: superscripts and fractions.
+# Latin text with ordinary white space, whose splitting is spelled out below.
 _OTHER = re.compile("[^\\t\\n\\r\\x20-\\x7e\\xa1-\u012f\u0131-\u024f]")
+_LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u024f"  # of lower-cased text
+_NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 _SPLIT = re.compile(
-    "'s|'t|'re|'ve|'m|'ll|'d|[^\\W\\d_\xb2\xb3\xb9\xbc-\xbe]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|(?:[^\\w\\s]|_)+"
+    f"[{_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d|[{_NUMBERS}]|[^\\t\\n\\r {_LETTERS}{_NUMBERS}]+"
 )
 
 
