@@ -4,10 +4,12 @@ import pytest
 
 import __spark_entry__ as entry_module
 from checks.compare import differences, duckdb_over
+from checks.oracles import oracle_sql
+from checks.queries import queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = queries()
+ORACLES = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +26,11 @@ def test_query_matches_sql(spark, duck, name):
     assert differences(QUERIES[name](spark, SF_DIR), duck, ORACLES[name]) == []
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
+
+
 def test_entry(spark):
     result = entry_module.entry(spark)
     assert result.count() > 0
