@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,9 @@ CACHED_CHARS = 64
 Tokens = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
+@lru_cache(4)
 def tokenizer(path: str):
+    """One for each worker; loading takes longer than most texts."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
