@@ -33,8 +33,7 @@ LEAST = Fraction(3, 4)
 FIRST_EIGHTHS = 3
 BUCKET_BYTES = 24 << 20  # text of the documents whose shingles meet in one bucket, on average
 BLOCK_SHINGLES = 1 << 21
-# Documents of a block that share a shingle: from so many on, they are counted and not listed, and
-# the shingle is of the last class, which holds all of at least so many documents.
+# Documents of a block that share a shingle: from so many on, they are counted and not listed.
 FREQUENT = 64
 PARTS = 8  # fragments in which overlaps are counted
 BROADCAST_IDS = 2_000_000
@@ -86,7 +85,7 @@ def _binary(data: np.ndarray, counts: np.ndarray) -> pa.Array:
 
 
 _BLOCKS = "bucket int, ids binary, sizes binary, counts binary, hashes binary, common binary, often binary"
-_FOUND = "doc_id long, n long, single long, hashes binary, classes binary"
+_FOUND = "doc_id long, n long, single long, hashes binary"
 
 
 def _blocks(docs: DataFrame, eighths: tuple[int, int], buckets: int, size: int) -> DataFrame:
@@ -185,7 +184,7 @@ def _blocks(docs: DataFrame, eighths: tuple[int, int], buckets: int, size: int)
 
 
 def _counted(table: pa.Table) -> pa.Table:
-    """For one bucket: each document's shingles of one document only, and its others by class."""
+    """For one bucket: how many shingles each document has alone, and which it shares."""
 
     def whole(name: str, kind: str, rows=None) -> list[np.ndarray]:
         values = table[name].to_pylist()
@@ -225,9 +224,8 @@ def _counted(table: pa.Table) -> pa.Table:
         hit = distinct[place] == common
         df = df.copy()
         np.add.at(df, place[hit], joined(whole("often", "<i8", listed), "<i8")[hit])
-    classes = np.zeros(len(hashes), np.uint8)
-    classes[order] = np.minimum(df[group], FREQUENT) if len(group) else 0
-    shared = classes > 1
+    shared = np.zeros(len(hashes), bool)
+    shared[order] = df[group] > 1
     n_shared = np.bincount(owner[shared], minlength=len(ids))
     out = [
         pa.RecordBatch.from_arrays(
@@ -236,9 +234,8 @@ def _counted(table: pa.Table) -> pa.Table:
                 pa.array(np.zeros(len(ids), np.int64)),
                 pa.array(per - n_shared),
                 _binary(hashes[shared], n_shared),
-                _binary(classes[shared], n_shared),
             ],
-            ["doc_id", "n", "single", "hashes", "classes"],
+            ["doc_id", "n", "single", "hashes"],
         )
     ]
     # what came with its documents goes on as it is
@@ -252,16 +249,15 @@ def _counted(table: pa.Table) -> pa.Table:
                     pa.array(n),
                     pa.array(np.zeros(len(own), np.int64)),
                     _binary(values, per),
-                    _binary(np.full(len(values), FREQUENT, np.uint8), per),
                 ],
-                ["doc_id", "n", "single", "hashes", "classes"],
+                ["doc_id", "n", "single", "hashes"],
             )
         )
     return pa.Table.from_batches(out)
 
 
 def _fragment(docs: DataFrame, eighths: tuple[int, int], text_bytes: int, size: int) -> DataFrame:
-    """``doc_id``, ``n``, ``single``, ``hashes``, ``classes`` of each document over one fragment."""
+    """``doc_id``, ``n``, ``largest``, ``single`` and ``hashes`` of each document over a fragment."""
     share = text_bytes * (eighths[1] - eighths[0]) / 8
     buckets = int(max(16, min(60_000, -(-share // BUCKET_BYTES))))
     found = (
@@ -272,7 +268,6 @@ def _fragment(docs: DataFrame, eighths: tuple[int, int], text_bytes: int, size:
         F.max("n").alias("largest"),
         F.sum("single").alias("single"),
         F.collect_list("hashes").alias("hashes"),
-        F.collect_list("classes").alias("classes"),
     )
 
 
@@ -282,26 +277,15 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _in_order():
-    """Sets from what both fragments gave: shared shingles, rarest class first, and their number."""
+def _merged():
+    """Sets from what both fragments gave: shared shingles, sorted, and their number."""
 
-    def flat(lists) -> list[np.ndarray]:
-        return [
-            np.concatenate([np.frombuffer(x, kind) for x in own]) if own else np.zeros(0, kind)
-            for own, kind in lists
+    def compute(first, second):
+        sets = [
+            np.unique(np.concatenate([np.frombuffer(x, "<u8") for x in [*(a or []), *(b or []), b""]]))
+            for a, b in zip(first.to_pylist(), second.to_pylist(), strict=True)
         ]
-
-    def compute(h1, c1, h2, c2):
-        sets, lengths, prefixes = [], [], []
-        for a, b, c, d in zip(*(x.to_pylist() for x in (h1, c1, h2, c2)), strict=True):
-            hashes, classes = flat([((a or []) + (c or []), "<u8"), ((b or []) + (d or []), "u1")])
-            hashes, at = np.unique(hashes, return_index=True)
-            classes = classes[at]
-            order = np.argsort(classes, kind="stable")
-            sets.append(hashes.tobytes())
-            lengths.append(len(hashes))
-            prefixes.append(hashes[order].tobytes())
-        return [sets, lengths, prefixes]
+        return [[x.tobytes() for x in sets], [len(x) for x in sets]]
 
     return compute
 
@@ -381,8 +365,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
 
     first = _fragment(named, (0, FIRST_EIGHTHS), text_bytes, size)
     alive = F.col("single") <= _spare_of("n")
-    kept = [F.when(alive, F.col(c)).alias(c) for c in ("hashes", "classes")]
-    first = _written(first.select("doc_id", "n", "largest", "single", *kept), "fragment")
+    kept = F.when(alive, F.col("hashes")).alias("hashes")
+    first = _written(first.select("doc_id", "n", "largest", "single", kept), "fragment")
     alive_ids = first.where("hashes IS NOT NULL").select("doc_id")
     left = alive_ids.count()
     # few enough ids are sent to every task; else the texts are joined to them by id
@@ -392,15 +376,14 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
         "doc_id",
         F.col("single").alias("single_2"),
         F.col("hashes").alias("hashes_2"),
-        F.col("classes").alias("classes_2"),
     )
     both = first.where("hashes IS NOT NULL").join(second, "doc_id")
     both = both.withColumn("single", F.col("single") + F.col("single_2"))
     sets = add_columns(
         both.where(F.col("single") <= _spare_of("n")),
-        ["hashes", "classes", "hashes_2", "classes_2"],
-        "tokens binary, n_shared long, prefix binary",
-        _in_order,
+        ["hashes", "hashes_2"],
+        "tokens binary, n_shared long",
+        _merged,
         ["doc_id", "single"],
     )
     sets = sets.withColumn("size", F.col("single") + F.col("n_shared")).where(
@@ -416,7 +399,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     reps = (
         sets.join(rep_of.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
         .withColumnRenamed("doc_id", "rep")
-        .select("rep", "size", "single", "tokens", "prefix")
+        .select("rep", "size", "tokens")
     )
     links = _class_links(reps)
     edges = links.unionByName(
@@ -445,39 +428,63 @@ def _spare_of(n: str):
     return F.col(n) - F.floor((F.col(n) * p + q - 1) / q)
 
 
-def _class_links(reps: DataFrame) -> DataFrame:
-    """Links between different sets that give the same components as all links."""
+def _prefixes(reps: DataFrame) -> DataFrame:
+    """``rep``, ``size``, ``shingle``, ``left``: a set's rarest shingles, one of which a partner has.
 
-    def start():
-        def compute(size, single, prefix):
-            return [
-                [
-                    np.frombuffer(p, "<i8")[: max(0, _spare(n) + 1 - s)].tolist()
-                    for n, s, p in zip(
-                        size.to_pylist(), single.to_pylist(), prefix.to_pylist(), strict=True
-                    )
-                ]
-            ]
+    ``left`` is how many shingles of the set are no rarer than this one, itself among them.
 
-        return compute
+    Rare is what few different sets hold, now that copies are one: the shingles of a large group
+    come before those of a passage that more documents have, and a shingle of one set only is its
+    own. Sets with too many of these have no prefix left and no partner.
+    """
+    spark = reps.sparkSession
+
+    def listed():
+        return lambda tokens: [[np.frombuffer(t, "<i8") for t in tokens.to_pylist()]]
 
-    met = add_columns(
-        reps, ["size", "single", "prefix"], "shingles array<long>", start, ["rep", "size"]
-    ).select("rep", "size", F.explode("shingles").alias("shingle"))
-    met = _written(met, "prefixes")
+    held = _written(
+        add_columns(reps, ["tokens"], "shingles array<long>", listed, ["rep", "size"]).select(
+            "rep", "size", F.explode("shingles").alias("shingle")
+        ),
+        "held",
+    )
+    # most shingles of a set that has partners are held by several sets
+    counts = held.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    rare = F.array_sort(F.collect_list(F.struct("df", "shingle")))
+    kept = F.floor((F.col("size") * LEAST.numerator + LEAST.denominator - 1) / LEAST.denominator)
+    # of the spare ones and one more, those of this set alone come first
+    least = (F.size("rare") - kept + 1).cast("int")
+    ordered = held.join(counts, "shingle").groupBy("rep", "size").agg(rare.alias("rare"))
+    prefix = F.slice("rare", F.lit(1), F.greatest(least, F.lit(0)))
+    path = scratch_path(spark, "prefixes")
+    own = F.col("size") - F.size("rare")
+    ordered.select("rep", "size", own.alias("own"), F.posexplode(prefix).alias("at", "x")).select(
+        "rep", "size", (F.col("size") - F.col("own") - F.col("at")).alias("left"), "x.shingle"
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _class_links(reps: DataFrame) -> DataFrame:
+    """Links between different sets that give the same components as all links."""
+    met = _prefixes(reps)
     sets = _written(reps.select("rep", "tokens"), "classes")
     p, q = LEAST.numerator, LEAST.denominator
 
-    def close(x: str, y: str):
-        return (q * F.col(x) >= p * F.col(y)) & (q * F.col(y) >= p * F.col(x))
+    def close():
+        """Whether sets that have this shingle as the rarest in common can be similar enough."""
+        most = F.least("left_a", "left_b")
+        return (p + q) * most >= p * (F.col("n_a") + F.col("n_b"))
 
     leader = met.groupBy("shingle").agg(
-        F.min("rep").alias("a"), F.min_by("size", "rep").alias("n_a"), F.count("*").alias("m")
+        F.min("rep").alias("a"),
+        F.min_by("size", "rep").alias("n_a"),
+        F.min_by("left", "rep").alias("left_a"),
+        F.count("*").alias("m"),
     )
     pairs = (
-        met.withColumnsRenamed({"rep": "b", "size": "n_b"})
+        met.withColumnsRenamed({"rep": "b", "size": "n_b", "left": "left_b"})
         .join(leader.where("m > 1"), "shingle")
-        .where((F.col("a") < F.col("b")) & close("n_a", "n_b"))
+        .where((F.col("a") < F.col("b")) & close())
         .select("a", "b", "n_a", "n_b")
         .distinct()
     )
@@ -492,18 +499,21 @@ def _class_links(reps: DataFrame) -> DataFrame:
         .select("shingle")
     )
     met = _written(met.join(mixed, "shingle", "left_semi"), "mixed")
-    x = met.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("rep", "size", "component")))
-    y = met.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("rep", "size", "component")))
-    rest = (
-        x.join(y, "shingle")
-        .where((F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b")))
-        .where(close("size_a", "size_b"))
-        .select(
-            F.col("rep_a").alias("a"),
-            F.col("rep_b").alias("b"),
-            F.col("size_a").alias("n_a"),
-            F.col("size_b").alias("n_b"),
+    sides = [
+        met.select(
+            "shingle",
+            F.col("rep").alias(side),
+            F.col("size").alias(f"n_{side}"),
+            F.col("left").alias(f"left_{side}"),
+            F.col("component").alias(f"component_{side}"),
         )
+        for side in "ab"
+    ]
+    rest = (
+        sides[0]
+        .join(sides[1], "shingle")
+        .where((F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b")) & close())
+        .select("a", "b", "n_a", "n_b")
         .distinct()
         .join(pairs.select("a", "b"), ["a", "b"], "left_anti")
     )
