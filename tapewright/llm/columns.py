@@ -43,17 +43,20 @@ def add_columns(
     out. No row is dropped or moved.
     """
     bounded_batches(df.sparkSession)
-    inputs = [col(x) if isinstance(x, str) else x for x in inputs]
+    inputs = list(inputs)
     added = T._parse_datatype_string(fields)
     names = {f.name.lower() for f in added}
     kept = [c for c in keep if c.lower() not in names]
+    # a kept column that is an input too is sent to the worker once
+    sent = [*inputs, *(c for c in kept if c not in [x for x in inputs if isinstance(x, str)])]
     source = df.select(
-        *(c.alias(f"in_{i}") for i, c in enumerate(inputs)),
-        *(col(c).alias(f"keep_{i}") for i, c in enumerate(kept)),
+        *((col(x) if isinstance(x, str) else x).alias(f"c_{i}") for i, x in enumerate(sent))
     )
     n = len(inputs)
+    names_sent = [x if isinstance(x, str) else None for x in sent]
+    places = [names_sent.index(c) for c in kept]
     schema = T.StructType(
-        [T.StructField(c, source.schema[n + i].dataType) for i, c in enumerate(kept)]
+        [T.StructField(c, source.schema[i].dataType) for c, i in zip(kept, places, strict=True)]
         + list(added)
     )
     arrow_schema = to_arrow_schema(added)
@@ -62,7 +65,7 @@ def add_columns(
         compute = start()
         for batch in batches:
             made = compute(*batch.columns[:n])
-            arrays = list(batch.columns[n:]) + [
+            arrays = [batch.column(i) for i in places] + [
                 x if isinstance(x, pa.Array) else pa.array(x, f.type)
                 for x, f in zip(made, arrow_schema, strict=True)
             ]

@@ -20,7 +20,7 @@ MAX_LANGUAGES = 1_000
 SMOOTHING = 0.5
 # Log probabilities are whole numbers of this size, so that sums do not depend on their order.
 UNIT = 1.0 / (1 << 20)
-_PIECE = 1 << 20  # code points worked on at a time
+_PIECE = 1 << 18  # code points worked on at a time
 
 
 @dataclass(frozen=True)
