@@ -44,7 +44,7 @@ def baseline_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
         F.when(F.col("user_id") % 2 == 0, "NYSE").otherwise("NASDAQ").alias("exchange"),
         F.col("ts").alias("event_tm"),
         F.col("event_id").cast("int").alias("event_seq_nb"),
-        F.col("value").cast("decimal(9,2)").cast("decimal(17,14)").alias("price"),
+        F.col("value").cast("decimal(9,2)").cast("decimal(24,14)").alias("price"),
         is_trade.alias("is_trade"),
     )
     trades = rows.filter("is_trade").drop("is_trade").withColumnRenamed("price", "trade_pr")

@@ -22,8 +22,7 @@ def deliveries(events: DataFrame) -> DataFrame:
     twin at the same instant with a greater sequence number.
     """
     rec_type = (
-        F.when(F.col("value") >= 900, BAD)
-        .when(F.col("event_type").isin("purchase", "signup"), TRADE)
+        F.when(F.col("event_type").isin("purchase", "signup"), TRADE)
         .when(F.col("event_type").isin("click", "view"), QUOTE)
         .otherwise(BAD)
     )
@@ -73,8 +72,8 @@ def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = deliveries(source_events(spark, sf_dir))
     good = F.col("rec_type") != BAD
     trade, quote = F.col("rec_type") == TRADE, F.col("rec_type") == QUOTE
-    price = F.col("price").cast("decimal(17,14)")
-    ask = (F.col("price") + F.lit("0.05").cast("decimal(9,2)")).cast("decimal(17,14)")
+    price = F.col("price").cast("decimal(24,14)")
+    ask = (F.col("price") + F.lit("0.05").cast("decimal(9,2)")).cast("decimal(24,14)")
     columns = {
         "trade_pr": F.when(trade, price),
         "bid_pr": F.when(quote, price),

@@ -11,8 +11,7 @@ from checks.fixtures import DATE
 _DELIVERIES = """
 base AS (
   SELECT *,
-    CASE WHEN value >= 900 THEN 'B'
-         WHEN event_type IN ('purchase', 'signup') THEN 'T'
+    CASE WHEN event_type IN ('purchase', 'signup') THEN 'T'
          WHEN event_type IN ('click', 'view') THEN 'Q'
          ELSE 'B' END AS rec_type,
     CAST(event_id % 1000000000 AS INTEGER) AS seq,
@@ -105,9 +104,14 @@ _EVENT = f"""{_DATE}, symbol, exchange, event_tm, CAST(event_seq_nb AS DOUBLE) A
 
 
 def _mean(total: str, n: str) -> str:
-    """Mean of cents, rounded half up at six decimals, by whole numbers only."""
-    micros = f"CAST({total} * 100 AS HUGEINT) * 10000"
-    return f"CAST((2 * {micros} + {n}) // (2 * {n}) AS DOUBLE) / 1000000"
+    """Mean of cents as text, rounded half up at eighteen decimals, by whole numbers only."""
+    parts = f"(CAST({total} * 100 AS HUGEINT) * 10000000000000000)"
+    mean = f"((2 * {parts} + {n}) // (2 * {n}))"
+    one = "CAST(1000000000000000000 AS HUGEINT)"
+    return (
+        f"CAST({mean} // {one} AS VARCHAR) || '.' "
+        f"|| lpad(CAST({mean} % {one} AS VARCHAR), 18, '0')"
+    )
 
 
 def _text(x: str) -> str:
@@ -219,7 +223,7 @@ def oracle_sql() -> dict[str, str]:
     enrich = _with(enrich_ctes, f"SELECT {enriched}")
     previous = f"CAST('{DATE}' AS DATE) - 1"
 
-    return {
+    found = {
         "read_raw_lines": lines,
         "read_lines_by_prefix_and_suffix": lines,
         "read_lines_of_part_files": lines,
@@ -344,3 +348,13 @@ def oracle_sql() -> dict[str, str]:
         "enrich_quotes": enrich,
         "enrich_quotes_of_day": f"{enrich} WHERE q.trade_dt = CAST('{DATE}' AS DATE)",
     }
+    # in time slots or not, the rows are the same
+    busy = (
+        "trailing_avg",
+        "leading_avg",
+        "range_stats",
+        "asof_last_trade",
+        "asof_last_trade_all_quotes",
+        "enrich_quotes",
+    )
+    return found | {f"{name}_busy": found[name] for name in busy}

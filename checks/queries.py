@@ -1,6 +1,7 @@
 """One query for each operator, over whole tables. ``checks.oracles`` has the same in SQL.
 
-Dates are shown as text and prices as doubles, so that both engines give one and the same value.
+Dates and averages are shown as text and prices as doubles, so that both engines give one and the
+same value. The ``_busy`` queries work on all but the smallest series in time slots.
 """
 
 from __future__ import annotations
@@ -28,13 +29,13 @@ def query(fn: Query) -> Query:
 
 
 def shown(df: DataFrame) -> DataFrame:
-    """Averages and prices as doubles (averages to six decimals), dates as text."""
+    """Prices as doubles, averages as text with all their decimals, dates as text."""
 
     def plain(name: str) -> Column:
         dtype = df.schema[name].dataType
         column = F.col(name)
         if isinstance(dtype, DecimalType):
-            column = (F.round(column, 6) if dtype.scale > 14 else column).cast("double")
+            column = column.cast("string" if dtype.scale > 14 else "double")
         elif isinstance(dtype, DateType):
             column = column.cast("string")
         return column.alias(name)
@@ -220,11 +221,10 @@ def lookup_symbols(spark, sf_dir):
 # Joins
 
 
-@query
-def range_stats(spark, sf_dir):
+def _shown_stats(spark, sf_dir, **options):
     """Trades in the thirty minutes up to each quote."""
     quotes, trades = quotes_of(spark, sf_dir), trades_of(spark, sf_dir)
-    stats = tw.range_stats(quotes, trades, "trade_pr")
+    stats = tw.range_stats(quotes, trades, "trade_pr", **options)
     return shown(
         stats.select(
             "trade_dt", *SERIES, "event_tm", "event_seq_nb", "matches",
@@ -233,6 +233,11 @@ def range_stats(spark, sf_dir):
     )
 
 
+@query
+def range_stats(spark, sf_dir):
+    return _shown_stats(spark, sf_dir)
+
+
 @query
 def asof_last_trade(spark, sf_dir):
     quotes, trades = quotes_of(spark, sf_dir), trades_of(spark, sf_dir)
@@ -321,6 +326,42 @@ def write_enriched_by_day(spark, sf_dir):
     return shown(tw.read_enriched(spark, target))
 
 
+# Busy series: the slot branch of each operator, for all series with more rows than given
+
+
+@query
+def trailing_avg_busy(spark, sf_dir):
+    return shown(tw.trailing_avg(trades_of(spark, sf_dir), split_rows=12))
+
+
+@query
+def leading_avg_busy(spark, sf_dir):
+    return shown(tw.leading_avg(trades_of(spark, sf_dir), split_rows=40))
+
+
+@query
+def range_stats_busy(spark, sf_dir):
+    return _shown_stats(spark, sf_dir, split_rows=30)
+
+
+@query
+def asof_last_trade_busy(spark, sf_dir):
+    quotes, trades = quotes_of(spark, sf_dir), trades_of(spark, sf_dir)
+    return shown(tw.asof_last_trade(quotes, trades, split_rows=30))
+
+
+@query
+def asof_last_trade_all_quotes_busy(spark, sf_dir):
+    quotes, trades = quotes_of(spark, sf_dir), trades_of(spark, sf_dir)
+    return shown(tw.asof_last_trade(quotes, trades, keep_all_quotes=True, split_rows=30))
+
+
+@query
+def enrich_quotes_busy(spark, sf_dir):
+    quotes, trades = quotes_of(spark, sf_dir), trades_of(spark, sf_dir)
+    return shown(tw.enrich_quotes(trades, quotes, split_rows=30))
+
+
 # Job history
 
 

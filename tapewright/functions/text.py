@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tapewright.schema import PRICE
+
 # Fixed formats of the feed: calendar date, and date plus time with one to six fraction digits.
 # One- or two-digit months, days, hours, minutes and seconds are all accepted.
 DATE_FORMAT = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}\z"
 TIME_FORMAT = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}\.\d{1,6}\z"
 
+PLAIN_NUMBER = r"^-?[0-9]+(\.[0-9]+)?\z"
+LONG_NUMBER = r"[0-9.]{16,}"
+PRICE_KEYS = ("price", "bid_pr", "ask_pr")
+
 # JSON keys of a line. All are read as text: numbers and quoted numbers then convert alike.
 JSON_KEYS = (
     "trade_dt",
@@ -49,8 +55,24 @@ def whole_number(text: Column) -> Column:
 
 
 def decimal_price(text: Column) -> Column:
-    """DECIMAL(17,14) rounded half up, or null where the text is no number of that range."""
-    return text.try_cast("decimal(17,14)")
+    """A price rounded half up, or null where the text is no number of that range."""
+    return text.try_cast(PRICE)
+
+
+def exact_prices(line: Column) -> Column:
+    """The prices of a JSON line read as decimals, where one has too many digits for a double.
+
+    A JSON number becomes text by way of a double, which keeps 15 digits. Such numbers are rare, so
+    the line is read once more only where it holds a long run of digits.
+    """
+    fields = ",".join(f"{key}:{PRICE.simpleString()}" for key in PRICE_KEYS)
+    return F.when(line.rlike(LONG_NUMBER), F.from_json(line, f"struct<{fields}>"))
+
+
+def json_price(text: Column, exact: Column) -> Column:
+    """The price of a text, or the exact one where there is one and the text is a plain number."""
+    plain = text.rlike(PLAIN_NUMBER) & exact.isNotNull()
+    return F.when(plain, exact).otherwise(decimal_price(text))
 
 
 def is_json_line(line: Column) -> Column:
@@ -58,18 +80,25 @@ def is_json_line(line: Column) -> Column:
 
 
 def json_records(line: Column) -> Column:
-    """The line's JSON object as the first of two elements, the second being empty.
+    """The line's JSON object as the first of two elements; the second holds a hash of the line.
 
     Parsers stop at the end of the first value, so a line with text after its object would pass.
-    As an element of an array, any such text is a syntax error or a further element.
+    As an element of an array, such text is a syntax error or a further element, and a line that
+    closes the array itself cannot know the hash that is looked for behind its object.
     """
+    closing = F.concat(F.lit(',{"symbol":"'), _mark(line), F.lit('"}]'))
     return F.from_json(
-        F.concat(F.lit("["), line, F.lit(",{}]")),
+        F.concat(F.lit("["), line, closing),
         _JSON_RECORDS,
         {"allowSingleQuotes": "false"},
     )
 
 
-def json_record(records: Column) -> Column:
+def _mark(line: Column) -> Column:
+    return F.xxhash64(line).cast("string")
+
+
+def json_record(records: Column, line: Column) -> Column:
     """The object as a struct of texts, or null unless the line is one whole object."""
-    return F.when(F.size(records) == 2, F.get(records, F.lit(0)))
+    closed = F.get(records, F.lit(1)).getField("symbol").eqNullSafe(_mark(line))
+    return F.when((F.size(records) == 2) & closed, F.get(records, F.lit(0)))

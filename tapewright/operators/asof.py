@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapewright.functions.order import sequence_order
 from tapewright.functions.timegrid import time_slot
 from tapewright.operators.series import SPLIT_ROWS, Load, with_known
 from tapewright.schema import DAY_SERIES, QUOTE_VALUES
@@ -43,11 +44,13 @@ def one_per_instant(
 ) -> DataFrame:
     """One row for each (keys, time): the one with the greatest sequence number.
 
-    Reduced within each task before the shuffle.
+    An unknown number is the smallest, and ties are settled by the values. Reduced within each
+    task before the shuffle.
     """
+    order = sequence_order(values)
     return df.groupBy(*keys, time).agg(
         F.max("event_seq_nb").alias("event_seq_nb"),
-        *[F.max_by(v, "event_seq_nb").alias(v) for v in values if v != "event_seq_nb"],
+        *[F.max_by(v, order).alias(v) for v in values if v != "event_seq_nb"],
     )
 
 
@@ -143,17 +146,19 @@ def _within_series(
 ) -> DataFrame:
     """The same for whole rows, one task per series."""
     payload = F.struct(*[F.col(v).alias(out) for v, out in values.items()])
-    rows = quotes.withColumn("_step", F.lit(QUOTED)).unionByName(
+    carried = [c for c in QUOTE_VALUES if c in quotes.columns]
+    asking = quotes.withColumns({"_step": F.lit(QUOTED), "_order": sequence_order(carried)})
+    rows = asking.unionByName(
         trades.select(
             *keys,
             "event_tm",
-            "event_seq_nb",
             F.lit(TRADED).alias("_step"),
+            sequence_order(list(values)).alias("_order"),
             payload.alias("_trade"),
         ),
         allowMissingColumns=True,
     )
-    order = ("_step", "event_seq_nb")
+    order = ("_step", "_order")
     chosen = F.lit(True) if keep_all_quotes else last_of_instant(keys, *order)
     return (
         rows.select(
@@ -177,12 +182,14 @@ def asof_last_trade(
     values: Mapping[str, str] | None = None,
     keep_all_quotes: bool = False,
     split_rows: int = SPLIT_ROWS,
+    load: Load | None = None,
 ) -> DataFrame:
     """As-of left join of quotes to the last trade strictly before them.
 
     ``values`` maps trade columns to output names; by default the price, and the trailing average
-    where the trades have it. Trades at one instant are settled by the greatest sequence number.
-    Quotes without an earlier trade, or with a null key, are kept with nulls.
+    where the trades have it. Trades at one instant are settled by the greatest sequence number,
+    an unknown one being the smallest, and then by their values. ``load`` (of ``keys``) is measured
+    if it is not given. Quotes without an earlier trade, or with a null key, are kept with nulls.
 
     Quotes at one instant of a series become one row, the one with the greatest sequence number,
     with its key, time, sequence number, prices and sizes. With ``keep_all_quotes`` every quote
@@ -195,7 +202,7 @@ def asof_last_trade(
     if not keep_all_quotes:
         quotes = quotes.select(*keys, "event_tm", "event_seq_nb", *carried)
     trades = with_known(trades, ["event_tm"])
-    load = Load(keys, split_rows, quotes, trades)
+    load = load or Load(keys, split_rows, quotes, trades)
     at = [*keys, "event_tm"]
     columns = [*quotes.columns, *values.values()]
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapewright.functions.order import instant_order
 from tapewright.schema import PRICE_MOVE, SERIES
 
 
@@ -14,10 +15,10 @@ def closing_price(trades: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
     """Last trade price of each series: ``keys`` plus ``close_pr``.
 
     Give one day of trades, or several with ``trade_dt`` among the keys. Trades at one instant are
-    settled by the greatest sequence number. Each task reduces its rows to one per series before
-    the shuffle.
+    settled by the greatest sequence number, an unknown one being the smallest. Each task reduces
+    its rows to one per series before the shuffle, by hash and without a sort.
     """
-    latest = F.max_by("trade_pr", F.struct("event_tm", "event_seq_nb", "trade_pr"))
+    latest = F.max_by("trade_pr", instant_order("event_tm", ["trade_pr"]))
     return trades.groupBy(*keys).agg(latest.alias("close_pr"))
 
 

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tapewright.functions.text import (
     clock_time,
     decimal_price,
+    exact_prices,
     is_json_line,
+    json_price,
     json_record,
     json_records,
     plain_date,
@@ -72,7 +74,7 @@ def parse_events(lines: DataFrame, keep_raw: bool = False) -> DataFrame:
         "value",
         F.when(json_line, json_records(F.col("value"))).alias("records"),
         F.when(~json_line, F.split("value", ",")).alias("cells"),
-    ).select("value", json_record(F.col("records")).alias("record"), "cells")
+    ).select("value", json_record(F.col("records"), F.col("value")).alias("record"), "cells")
 
     def text(position: int, key: str) -> Column:
         return F.coalesce(F.get("cells", F.lit(position)), F.col("record").getField(key))
@@ -80,6 +82,7 @@ def parse_events(lines: DataFrame, keep_raw: bool = False) -> DataFrame:
     texts = split_up.select(
         "value",
         "record",
+        F.when(F.col("record").isNotNull(), exact_prices(F.col("value"))).alias("exact"),
         *[text(pos, key).alias(name) for name, pos, key in _COMMON_FIELDS],
         *[text(pos, key).alias(name) for name, pos, key in _QUOTE_FIELDS + _TRADE_FIELDS],
     )
@@ -88,9 +91,13 @@ def parse_events(lines: DataFrame, keep_raw: bool = False) -> DataFrame:
     quote_names = [name for name, _, _ in _QUOTE_FIELDS]
     trade_names = [name for name, _, _ in _TRADE_FIELDS]
 
+    key_of = {name: key for name, _, key in _QUOTE_FIELDS + _TRADE_FIELDS}
+
     def typed(name: str) -> Column:
         convert = _CONVERSIONS.get(name)
         value = F.col(name) if convert is None else convert(F.col(name))
+        if convert is decimal_price:
+            value = json_price(F.col(name), F.col("exact").getField(key_of[name]))
         if name in quote_names:
             value = F.when(is_quote, value)
         elif name in trade_names:

@@ -219,12 +219,13 @@ def _rolling(
     minutes: int,
     ahead: bool,
     split_rows: int,
+    load: Load | None = None,
 ) -> DataFrame:
     """Asking rows (by default the facts) plus ``_n`` and ``_total``; null without known keys."""
     _require_exact(facts, value)
     tables = [facts] if askers is None else [askers, facts]
     at = [*keys, time]
-    load = Load(keys, split_rows, *tables)
+    load = load or Load(keys, split_rows, *tables)
     columns = [*tables[0].columns, "_n", "_total"]
 
     def ordinary(*share: DataFrame) -> DataFrame:
@@ -250,15 +251,17 @@ def range_stats(
     time: str = "event_tm",
     minutes: int = 30,
     split_rows: int = SPLIT_ROWS,
+    load: Load | None = None,
 ) -> DataFrame:
     """Range left join reduced to statistics.
 
     For each left row, ``matches`` is the number of right rows of the same keys whose time is
     within ``minutes`` up to the left row's time (both ends included) and ``match_sum`` the sum of
     their ``value``. A left row without a match, or with a null key, is kept with 0 and null.
-    Right rows with a null value do not count.
+    Right rows with a null value do not count. Values are decimal or integral, so that sums are
+    exact; others raise ``TypeError``. ``load`` (of ``keys``) is measured if it is not given.
     """
-    found = _rolling(left, right, value, keys, time, minutes, False, split_rows)
+    found = _rolling(left, right, value, keys, time, minutes, False, split_rows, load)
     n = F.coalesce("_n", F.lit(0).cast("bigint"))
     return found.select(
         *left.columns, n.alias("matches"), F.when(n > 0, F.col("_total")).alias("match_sum")
@@ -274,14 +277,17 @@ def trailing_avg(
     minutes: int = 30,
     keys: Sequence[str] = DAY_SERIES,
     split_rows: int = SPLIT_ROWS,
+    load: Load | None = None,
 ) -> DataFrame:
     """Trades plus ``mov_avg_trade_pr``: mean price over the last ``minutes``, both ends included.
 
     Expects trades without repeated deliveries. A trade with a null key or time has no average.
+    Prices are decimal or integral; others raise ``TypeError``. ``load`` (of ``keys``) is measured
+    if it is not given.
     """
     mean = average(trades.schema["trade_pr"].dataType).alias("mov_avg_trade_pr")
     return _rolling(
-        None, trades, "trade_pr", keys, "event_tm", minutes, False, split_rows
+        None, trades, "trade_pr", keys, "event_tm", minutes, False, split_rows, load
     ).select(*trades.columns, mean)
 
 
@@ -290,12 +296,14 @@ def leading_avg(
     minutes: int = 30,
     keys: Sequence[str] = SERIES,
     split_rows: int = SPLIT_ROWS,
+    load: Load | None = None,
 ) -> DataFrame:
     """Trades plus ``moving_average``: mean price over the coming ``minutes``, both ends included.
 
-    The default keys follow a series across midnight.
+    The default keys follow a series across midnight. Prices are decimal or integral;
+    others raise ``TypeError``. ``load`` (of ``keys``) is measured if it is not given.
     """
     mean = average(trades.schema["trade_pr"].dataType).alias("moving_average")
     return _rolling(
-        None, trades, "trade_pr", keys, "event_tm", minutes, True, split_rows
+        None, trades, "trade_pr", keys, "event_tm", minutes, True, split_rows, load
     ).select(*trades.columns, mean)

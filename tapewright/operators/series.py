@@ -6,9 +6,13 @@ worked on in time slots instead, at the price of more shuffles.
 
 Which of the two a table needs is measured first: one job counts the rows of each series (reading
 the key columns only, reduced in each task) and brings a single row to the driver. Where no series
-is busy, which is the usual case, the slot branch is not planned at all. Otherwise the list of
-busy series is broadcast to separate them without a shuffle; it can hold at most (all rows /
-``SPLIT_ROWS``) keys, a million for every 10^12 rows.
+is busy, which is the usual case, the slot branch is not planned at all. Otherwise the busy series
+are separated by joins with their list, of at most (all rows / ``SPLIT_ROWS``) keys; the same job
+counts them, and only a list of up to ``BROADCAST_KEYS`` is broadcast. Both branches give the same result, so a series may be
+counted as busy or not as one likes.
+
+One :class:`Load` can be measured from stored tables and given to every operator over them;
+``Load.light`` says without any job that no series is busy.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPLIT_ROWS = 1_000_000
+BROADCAST_KEYS = 1_000_000
 
 
 def _all_known(columns: Sequence[str]) -> str:
@@ -44,13 +49,23 @@ class Load:
         counts = rows.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("rows"))
         known = F.expr(_all_known(self.keys))
         measured = counts.agg(
-            F.max(F.when(known, F.col("rows"))).alias("busiest"),
-            F.sum(F.when(~known, F.col("rows"))).alias("unknown"),
+            F.count(F.when(known & (F.col("rows") > split_rows), 1)).alias("busy"),
         ).first()
-        self._has_busy = (measured["busiest"] or 0) > split_rows
-        self._has_unknown = bool(measured["unknown"])
-        busy = counts.filter(known & (F.col("rows") > split_rows)).select(*self.keys)
-        self._busy = F.broadcast(busy)
+        self._has_busy = measured["busy"] > 0
+        self._busy = counts.filter(known & (F.col("rows") > split_rows)).select(*self.keys)
+        if measured["busy"] <= BROADCAST_KEYS:
+            self._busy = F.broadcast(self._busy)
+        else:
+            # The branches meet in a union. Where adaptive execution turns one of their joins by
+            # key into a broadcast, the union must not pass for partitioned by that key.
+            tables[0].sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
+
+    @classmethod
+    def light(cls, keys: Sequence[str]) -> Load:
+        """No series is busy; nothing is measured."""
+        load = cls.__new__(cls)
+        load.keys, load._has_busy, load._busy = list(keys), False, None
+        return load
 
     def apply(
         self,
@@ -68,7 +83,7 @@ class Load:
             result = ordinary(
                 *[t.join(self._busy, self.keys, "left_anti") for t in known]
             ).unionByName(busy(*[t.join(self._busy, self.keys, "left_semi") for t in known]))
-        if self._has_unknown:
-            rest = unknown(with_unknown(tables[0], self.keys))
-            result = result.unionByName(rest, allowMissingColumns=True)
-        return result
+        if not any(tables[0].schema[k].nullable for k in self.keys):
+            return result
+        rest = unknown(with_unknown(tables[0], self.keys))
+        return result.unionByName(rest, allowMissingColumns=True)

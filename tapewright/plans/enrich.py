@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapewright.functions.order import sequence_order
 from tapewright.functions.timegrid import seconds
 from tapewright.operators.asof import (
     CARRIED,
@@ -40,8 +41,8 @@ def _ordinary(
     last in order is carried, whose sum takes in the whole instant.
     """
     trade_rows = entering_and_leaving(
-        trades.select(*_AT, "event_seq_nb", "trade_pr"),
-        F.lit(1),
+        trades.select(*_AT, "trade_pr", sequence_order(["trade_pr"]).alias("_order")),
+        F.when(F.col("trade_pr").isNotNull(), 1).otherwise(0),
         F.col("trade_pr"),
         DAY_SERIES,
         "event_tm",
@@ -49,11 +50,11 @@ def _ordinary(
         (TRADED, LEFT),
     )
     rows = (
-        quotes.withColumn("_step", F.lit(QUOTED))
+        quotes.withColumns({"_step": F.lit(QUOTED), "_order": sequence_order(QUOTE_VALUES)})
         .unionByName(trade_rows, allowMissingColumns=True)
         .unionByName(close.withColumn("_step", F.lit(CARRIED)), allowMissingColumns=True)
     )
-    order = ("_step", "event_seq_nb")
+    order = ("_step", "_order")
     so_far = time_order(DAY_SERIES, *order)
     chosen = F.lit(True) if keep_all_quotes else last_of_instant(DAY_SERIES, *order)
     summed = rows.withColumns(
@@ -85,7 +86,7 @@ def _busy(
         "trade_pr",
         DAY_SERIES,
         minutes=minutes,
-        also=[F.max_by("trade_pr", "event_seq_nb").alias("trade_pr")],
+        also=[F.max_by("trade_pr", sequence_order(["trade_pr"])).alias("trade_pr")],
     ).withColumn("mov_avg_trade_pr", average(PRICE))
     asked = (
         quotes.select(*_AT).distinct()
@@ -107,13 +108,15 @@ def enrich_quotes(
     minutes: int = 30,
     keep_all_quotes: bool = False,
     split_rows: int = SPLIT_ROWS,
+    load: Load | None = None,
 ) -> DataFrame:
     """Enriched quotes of ``date``, or of every day at once where no date is given.
 
     Trades and quotes are taken as deduplicated. The last trade and its average never cross
     midnight; the close is that of the calendar day before (also for a quote without a time). Quotes at one instant of a series
     become one row unless ``keep_all_quotes``. No step joins the quotes of an ordinary series to
-    anything: last trade, average and close are all carried forward in time order.
+    anything: last trade, average and close are all carried forward in time order. ``load`` (of
+    trading day, symbol and exchange) is measured if it is not given.
     """
     closing_trades = trades
     if date is not None:
@@ -135,7 +138,7 @@ def enrich_quotes(
         return quotes if keep_all_quotes else one_per_instant(quotes, DAY_SERIES, QUOTE_VALUES)
 
     trades = with_known(trades, ["event_tm"])
-    load = Load(DAY_SERIES, split_rows, quotes, trades)
+    load = load or Load(DAY_SERIES, split_rows, quotes, trades)
     joined = load.apply([quotes, trades], ordinary, busy, unknown)
     return add_moves(joined).select(*ENRICHED_SCHEMA.names)
 
@@ -147,9 +150,11 @@ def run_enrich(
     date: str | dt.date | None = None,
     files: int | None = None,
     only_days_present: bool = False,
+    minutes: int = 30,
+    keep_all_quotes: bool = False,
 ) -> None:
     """Store enriched quotes under ``target`` from the ``trade`` and ``quote`` under ``source``."""
     enriched = enrich_quotes(
-        read_trades(spark, f"{source}/trade"), read_quotes(spark, f"{source}/quote"), date
+        read_trades(spark, f"{source}/trade"), read_quotes(spark, f"{source}/quote"), date, minutes, keep_all_quotes
     )
     write_by_day(enriched, target, files, only_days_present)

@@ -20,6 +20,10 @@ def run_ingest(
     target: str,
     glob: str = "*.txt",
     recursive: bool = True,
+    keep_raw: bool = False,
 ) -> None:
-    """Read feed files under ``source`` and store their events under ``target``."""
-    write_events(ingest(read_raw_lines(spark, source, glob, recursive)), target)
+    """Read feed files under ``source`` and store their events under ``target``.
+
+    With ``keep_raw`` the text of bad lines is stored with them, in a column ``raw_line``.
+    """
+    write_events(ingest(read_raw_lines(spark, source, glob, recursive), keep_raw), target)

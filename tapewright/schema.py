@@ -1,7 +1,7 @@
 """Table layouts of the feed: common events, trades, quotes, enriched quotes, job status.
 
 Every time is TIMESTAMP_NTZ (wall time, never shifted by the session zone) and every price is
-DECIMAL(17,14). All columns are nullable: a bad line is kept as nulls plus its partition mark.
+DECIMAL(24,14). All columns are nullable: a bad line is kept as nulls plus its partition mark.
 """
 
 from __future__ import annotations
@@ -25,9 +25,9 @@ DATE = DateType()
 TIME = TimestampNTZType()
 TEXT = StringType()
 INT = IntegerType()
-PRICE = DecimalType(17, 14)
-MEAN_PRICE = DecimalType(21, 18)
-PRICE_MOVE = DecimalType(18, 14)
+PRICE = DecimalType(24, 14)
+MEAN_PRICE = DecimalType(28, 18)
+PRICE_MOVE = DecimalType(25, 14)
 
 
 def _struct(**columns) -> StructType:

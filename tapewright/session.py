@@ -18,6 +18,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # partitioned writes keep one open file per partition value instead of sorting the task
     "spark.sql.maxConcurrentOutputFileWriters": "16",
+    # a union is not taken for partitioned by key, which adaptive execution may undo below it
+    "spark.sql.unionOutputPartitioning": "false",
     # times are wall times; nothing here depends on the zone, but printed output does
     "spark.sql.session.timeZone": "UTC",
 }

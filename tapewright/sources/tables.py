@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tapewright.schema import ENRICHED_SCHEMA, EVENT_SCHEMA, QUOTE_SCHEMA, TRADE_SCHEMA
 
@@ -17,10 +17,17 @@ def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def read_events(
-    spark: SparkSession, path: str, rec_types: Sequence[str] | None = None
+    spark: SparkSession,
+    path: str,
+    rec_types: Sequence[str] | None = None,
+    keep_raw: bool = False,
 ) -> DataFrame:
-    """Events, optionally of chosen partitions only: the other folders are not read."""
-    events = _read(spark, path, EVENT_SCHEMA)
+    """Events, optionally of chosen partitions only: the other folders are not read.
+
+    With ``keep_raw`` also ``raw_line``, null where it was not stored.
+    """
+    schema = StructType([*EVENT_SCHEMA, StructField("raw_line", StringType())])
+    events = _read(spark, path, schema if keep_raw else EVENT_SCHEMA)
     if rec_types is None:
         return events
     return events.filter(F.col("partition").isin(list(rec_types)))

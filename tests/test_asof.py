@@ -1,13 +1,22 @@
 """As-of join and enrichment against pairing every quote with every earlier trade."""
 
 import datetime as dt
+from collections import Counter
 from decimal import Decimal
 
 import pytest
 from frames import make_quotes, make_trades
 from test_rolling import HALF_HOUR, SPLITS, in_window, key, mean
 
-from tapewright import asof_last_trade, closing_price, enrich_quotes, price_moves
+from tapewright import (
+    asof_last_trade,
+    closing_price,
+    enrich_quotes,
+    leading_avg,
+    price_moves,
+    range_stats,
+    trailing_avg,
+)
 from tapewright.schema import DAY_SERIES, ENRICHED_SCHEMA, QUOTE_SCHEMA, SERIES, TRADE_SCHEMA
 
 
@@ -56,7 +65,7 @@ def test_null_value_of_the_last_trade_is_not_skipped(spark):
     trades = spark.createDataFrame(
         [("A", "N", at(1), 1, Decimal(5)), ("A", "N", at(2), 2, None)],
         "symbol string, exchange string, event_tm timestamp_ntz, event_seq_nb int, "
-        "trade_pr decimal(17,14)",
+        "trade_pr decimal(24,14)",
     )
     quotes = spark.createDataFrame(
         [("A", "N", at(2), 8), ("A", "N", at(3), 9)],
@@ -113,6 +122,49 @@ def test_enrich(spark, keep_all, split_rows):
     assert found == expected
 
 
+@pytest.mark.parametrize("seed", [3, 8])
+def test_ordinary_and_busy_series_agree(spark, seed):
+    """Null prices, and null and equal sequence numbers, give the same rows on either branch."""
+    trades = make_trades(spark, seed, untidy=True)
+    quotes = make_quotes(spark, seed + 20, untidy=True)
+    for run in (
+        lambda n: trailing_avg(trades, split_rows=n),
+        lambda n: leading_avg(trades, split_rows=n),
+        lambda n: range_stats(quotes, trades, "trade_pr", split_rows=n),
+        lambda n: asof_last_trade(quotes, trailing_avg(trades), split_rows=n),
+        lambda n: asof_last_trade(quotes, trades, keep_all_quotes=True, split_rows=n),
+        lambda n: enrich_quotes(trades, quotes, split_rows=n),
+        lambda n: enrich_quotes(trades, quotes, keep_all_quotes=True, split_rows=n),
+    ):
+        ordinary = Counter(run(SPLITS[0]).collect())
+        assert ordinary
+        for split_rows in SPLITS[1:]:
+            assert Counter(run(split_rows).collect()) == ordinary
+
+
+def test_null_prices_and_sequence_numbers(spark):
+    """A null price is in no mean; a null sequence number comes before all others."""
+    at = dt.datetime(2024, 1, 15, 10)
+    minute = dt.timedelta(minutes=1)
+    trades = spark.createDataFrame(
+        [
+            trade(at, 1, 100),
+            (at.date(), "T", "A", "N", at + minute, 2, at, None, "T"),
+            trade(at + 2 * minute, 3, 200),
+            trade(at + 2 * minute, None, 900),
+            trade(at, None, 7, "B"),
+        ],
+        TRADE_SCHEMA,
+    )
+    quotes = spark.createDataFrame(
+        [quote(at + 3 * minute, None, 5, "A"), quote(at + 3 * minute, None, 6, "B")], QUOTE_SCHEMA
+    )
+    for split_rows in SPLITS:
+        rows = enrich_quotes(trades, quotes, split_rows=split_rows).collect()
+        found = {r["symbol"]: (r["bid_pr"], r["last_trade_pr"], r["last_mov_avg_pr"]) for r in rows}
+        assert found == {"A": (5, 200, 400), "B": (6, 7, 7)}
+
+
 def trade(time, seq, price, symbol="A"):
     return (time.date(), "T", symbol, "N", time, seq, time, Decimal(price), "T")
 

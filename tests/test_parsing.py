@@ -63,7 +63,9 @@ BAD_LINES = {
     "price null": json_line(price="null"),
     "quote without a bid": json_quote(bid_pr=None),
     "quote with a trade price only": json_line(event_type='"Q"'),
-    "price of a thousand": json_line(price="1000"),
+    "price of eleven digits": json_line(price="12345678901"),
+    "array closed before junk": json_line() + ",{}] junk",
+    "array closed before an object": json_line() + ",{}],[{}",
     "price not a number": json_line(price="NaN"),
     "price text NaN": json_line(price='"NaN"'),
     "price with underscore": CSV_TRADE.replace("78.93", "1_000"),
@@ -173,3 +175,13 @@ def test_other_record_types(spark):
     assert sorted(r["partition"] for r in good.collect()) == ["Q", "T", "X"]
     assert split_trades(good).count() == 1
     assert split_quotes(good).count() == 1
+
+
+@pytest.mark.parametrize("quotes", ["", '"'], ids=["number", "text"])
+@pytest.mark.parametrize(
+    "price",
+    ["999.12345678901237", "999.00000000000001", "1000", "1234567890.12345678901234", "-5.5"],
+)
+def test_prices_are_exact(parse, price, quotes):
+    row = parse(json_line(price=f"{quotes}{price}{quotes}"))[0]
+    assert row["trade_pr"] == Decimal(price)

@@ -105,7 +105,7 @@ def test_window_ends_are_inclusive(spark):
             ("A", "N", dt.datetime(2024, 1, 15, 10, 30, 0, 1), 3, Decimal(5)),
         ],
         "symbol string, exchange string, event_tm timestamp_ntz, event_seq_nb int, "
-        "trade_pr decimal(17,14)",
+        "trade_pr decimal(24,14)",
     )
     for split_rows in SPLITS:
         rows = trailing_avg(trades, keys=SERIES, split_rows=split_rows).collect()
