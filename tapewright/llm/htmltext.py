@@ -36,6 +36,11 @@ IMPLIED = {
     "tfoot": (frozenset(["tbody", "thead", "tfoot", "caption"]), frozenset(["table"])),
     "option": (frozenset(["option"]), frozenset(["select", "datalist"])),
 }
+# What may stand in the head. Any other start tag and any text ends an open head.
+HEAD_PARTS = frozenset(
+    "base basefont bgsound link meta noframes noscript script style template title".split()
+)
+BEFORE_BODY = frozenset(["#root", "html", "head"])
 # A closing tag looks no further out than these.
 SCOPE = frozenset(["table", "td", "th", "caption", "html", "body"])
 
@@ -75,29 +80,46 @@ def _invisible(attrs: dict[str, str]) -> bool:
 
 
 def parse(source: str) -> Node:
-    """The tree of a page. Missing end tags are implied, and stray ones passed over."""
+    """The tree of a page. Missing end tags are implied, and stray ones passed over.
+
+    An open head ends where the body begins: at <body>, or at what may not stand in a head.
+    """
     root = Node("#root")
     stack = [root]
     at = 0
     lowered = None
     depth_of: dict[str, int] = {}  # open elements of each name
+    head_seen = in_body = False
 
     def pop_to(i: int) -> None:
         for node in stack[i:]:
             depth_of[node.tag] -= 1
         del stack[i:]
 
+    def begin_body() -> None:
+        nonlocal in_body
+        in_body = True
+        if stack[-1].tag == "head":
+            pop_to(len(stack) - 1)
+
+    def add_text(text: str) -> None:
+        if not in_body and stack[-1].tag in BEFORE_BODY and text.strip(" \t\n\r\f"):
+            begin_body()
+        stack[-1].children.append(text)
+
     for m in _TOKEN.finditer(source):
         if m.start() < at:
             continue
         if m.start() > at:
-            stack[-1].children.append(source[at : m.start()])
+            add_text(source[at : m.start()])
         at = m.end()
         closing, name, rest = m.group(1, 2, 3) if m.group(2) else m.group(4, 5, 6)
         if name is None:
             continue
         name = name.lower()
         if closing:
+            if not in_body and stack[-1].tag in BEFORE_BODY and name in ("body", "html", "br"):
+                begin_body()
             if not depth_of.get(name):
                 if name == "p":
                     stack[-1].children.append(Node("p"))
@@ -111,6 +133,15 @@ def parse(source: str) -> Node:
                 if stack[i].tag in SCOPE and name not in SCOPE and name not in IMPLIED:
                     break
             continue
+        if name == "head":
+            if in_body or head_seen or stack[-1].tag not in BEFORE_BODY:
+                continue
+            head_seen = True
+        elif not in_body and stack[-1].tag in BEFORE_BODY and name not in HEAD_PARTS:
+            if name != "html":
+                begin_body()
+            elif stack[-1].tag == "head":
+                continue
         attrs = _attrs(rest) if rest and _MAYBE_HIDDEN.search(rest) else {}
         if name in CLOSES_P and depth_of.get("p"):
             for i in range(len(stack) - 1, 0, -1):
@@ -142,7 +173,7 @@ def parse(source: str) -> Node:
             stack.append(node)
             depth_of[name] = depth_of.get(name, 0) + 1
     if at < len(source):
-        stack[-1].children.append(source[at:])
+        add_text(source[at:])
     return root
 
 

@@ -188,6 +188,24 @@ def test_broken_pages(page, text):
     assert htmltext.visible_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<html><head><title>x</title><body><p>text", "text"),
+        ("<html><head><title>x</title><meta charset=utf-8><p>text", "text"),
+        ("<head><title>x</title>\n text <b>more</b>", "text more"),
+        ("<head><style>a{}</style><link rel=x></body>text", "text"),
+        ("<head><script>a</script><template><p>no</p></template><html lang=en> <!-- --> <h1>a</h1>b", "a\n\nb"),
+        ("<head><title>x</title></head><body>a<head><title>no</title>b</head>c", "abc"),
+        ("<head></head><head><p>text", "text"),
+        ("text<head>more", "textmore"),
+        ("<head><title>x</title></head> <body>text", "text"),
+    ],
+)
+def test_head_ends_where_the_body_begins(page, text):
+    assert htmltext.visible_text(page) == text
+
+
 def test_deep_nesting_keeps_all_text():
     deep = "<ul><li>" * 3_000 + "x" + "<table><tr><td>" * 500 + "y" + "<div>" * 20_000 + "z"
     assert re.sub(r"[\s-]", "", htmltext.visible_text(deep)) == "xyz"
