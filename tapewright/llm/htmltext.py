@@ -10,10 +10,19 @@ from pyspark.sql import DataFrame
 from tapewright.llm.columns import add_columns
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# What a browser does not render: the head's parts, fallback content, suggestions of a datalist.
 HIDDEN = frozenset(
-    "script style head template noscript title svg math iframe object audio video canvas select "
-    "datalist textarea".split()
+    "script style head template noscript title iframe object audio video canvas datalist".split()
 )
+# The same inside drawings and formulas.
+HIDDEN_IN = {
+    "svg": frozenset(["desc", "metadata"]),
+    "math": frozenset(["annotation", "annotation-xml", "mphantom"]),
+}
+# Parts of formulas whose children stand above or beside each other.
+SPREAD = frozenset("mfrac mroot msub msup msubsup munder mover munderover mtr".split())
+HTML_INSIDE = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+CHOICE = frozenset(["select", "optgroup", "option"])
 RAW = frozenset("script style textarea title iframe noscript".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset "
@@ -54,14 +63,15 @@ _INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 # Lists and tables inside so many others are laid out as plain blocks.
 MAX_NESTING = 60
-_MAYBE_HIDDEN = re.compile(r"hidden|style|colspan|start|type", re.I)
+_MAYBE_HIDDEN = re.compile(r"hidden|style|colspan|rowspan|start|type", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "hidden")
+    __slots__ = ("tag", "attrs", "children", "hidden", "block")
 
     def __init__(self, tag: str, attrs: dict[str, str] | None = None, hidden: bool = False):
         self.tag, self.attrs, self.children, self.hidden = tag, attrs or {}, [], hidden
+        self.block = tag in BLOCK
 
 
 def _attrs(text: str) -> dict[str, str]:
@@ -74,9 +84,7 @@ def _attrs(text: str) -> dict[str, str]:
 
 
 def _invisible(attrs: dict[str, str]) -> bool:
-    if "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true":
-        return True
-    return bool(_INVISIBLE.search(attrs.get("style", "")))
+    return "hidden" in attrs or bool(_INVISIBLE.search(attrs.get("style", "")))
 
 
 def parse(source: str) -> Node:
@@ -86,6 +94,7 @@ def parse(source: str) -> Node:
     """
     root = Node("#root")
     stack = [root]
+    drawn = [""]  # svg or math where the content of an open element is part of it, not HTML
     at = 0
     lowered = None
     depth_of: dict[str, int] = {}  # open elements of each name
@@ -94,7 +103,7 @@ def parse(source: str) -> Node:
     def pop_to(i: int) -> None:
         for node in stack[i:]:
             depth_of[node.tag] -= 1
-        del stack[i:]
+        del stack[i:], drawn[i:]
 
     def begin_body() -> None:
         nonlocal in_body
@@ -142,7 +151,12 @@ def parse(source: str) -> Node:
                 begin_body()
             elif stack[-1].tag == "head":
                 continue
-        attrs = _attrs(rest) if rest and _MAYBE_HIDDEN.search(rest) else {}
+        attrs = _attrs(rest) if rest and (name in CHOICE or _MAYBE_HIDDEN.search(rest)) else {}
+        if name in ("select", "input", "textarea", "optgroup") and depth_of.get("select"):
+            at_select = max(i for i, x in enumerate(stack) if x.tag == "select")
+            pop_to(at_select + (name == "optgroup"))
+            if name == "select":
+                continue
         if name in CLOSES_P and depth_of.get("p"):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == "p":
@@ -159,18 +173,27 @@ def parse(source: str) -> Node:
                         break
                     if stack[i].tag in limit:
                         break
+        inside = drawn[-1]
         node = Node(name, attrs, name in HIDDEN or bool(attrs) and _invisible(attrs))
+        if inside:
+            node.hidden = node.hidden or name in HIDDEN_IN[inside]
+            node.block = node.block or name in ("text", "mtr")
         stack[-1].children.append(node)
+        if rest.endswith("/") and (inside or name in HIDDEN_IN):
+            continue
         if name in RAW:
             lowered = source.lower() if lowered is None else lowered
             end = lowered.find(f"</{name}", at)
             if end < 0 or len(lowered) != len(source):
                 close = re.compile(f"</{re.escape(name)}", re.I).search(source, at)
                 end = close.start() if close else len(source)
+            if name == "textarea":
+                node.children.append(source[at:end])
             stop = source.find(">", end)
             at = len(source) if stop < 0 else stop + 1
         elif name not in VOID:
             stack.append(node)
+            drawn.append(name if name in HIDDEN_IN else "" if name in HTML_INSIDE else inside)
             depth_of[name] = depth_of.get(name, 0) + 1
     if at < len(source):
         add_text(source[at:])
@@ -215,6 +238,45 @@ class _Lines:
         self.gap = True
 
 
+def _typed(node: Node) -> str:
+    """The text in a textarea, as it stands there."""
+    text = html.unescape("".join(x for x in node.children if isinstance(x, str)))
+    return text.replace("\r\n", "\n").strip("\n")
+
+
+def _choice(node: Node) -> list:
+    """What a select shows: all options of a list box, else the chosen one."""
+    size = node.attrs.get("size", "")
+    box = "multiple" in node.attrs or bool(re.fullmatch(r"[0-9]{1,9}", size)) and int(size) > 1
+    shown: list = []
+    chosen = first = None
+    todo = [(x, False) for x in reversed(node.children)]
+    while todo:
+        item, off = todo.pop()
+        if isinstance(item, str) or item.hidden and (box or item.tag != "option"):
+            continue
+        off = off or "disabled" in item.attrs
+        label = item.attrs.get("label", "").strip()
+        if item.tag == "option":
+            option = Node("div")
+            option.children = [html.escape(label)] if label else item.children
+            shown.append(option)
+            if "selected" in item.attrs:
+                chosen = option
+            if first is None and not off:
+                first = option
+        else:
+            if item.tag == "optgroup" and label:
+                group = Node("div")
+                group.children = [html.escape(label)]
+                shown.append(group)
+            todo.extend((x, off) for x in reversed(item.children))
+    if box:
+        return shown
+    option = chosen or first
+    return [" ", *option.children, " "] if option else []
+
+
 def _lines(children: list, nested: int = 0) -> list[str]:
     """Lines of some siblings inside ``nested`` lists and tables; other depth is no limit."""
     out = _Lines()
@@ -257,13 +319,24 @@ def _lines(children: list, nested: int = 0) -> list[str]:
             if rows:
                 out.put(rows)
             out.gap = True
+        elif tag == "textarea":
+            out.end_line()
+            raw = _typed(item)
+            if raw.strip():
+                out.put([x.rstrip() for x in raw.split("\n")])
+        elif tag == "select":
+            ends.append(None)
+            todo.append(iter(_choice(item)))
         else:
-            if tag in BLOCK:
+            if item.block:
                 out.space() if tag in SPACED else out.end_line()
                 ends.append(out.space if tag in SPACED else out.end_line)
             else:
                 ends.append(None)
-            todo.append(iter(item.children))
+            inner = item.children
+            if tag in SPREAD:
+                inner = [y for x in inner for y in (x, " ")]
+            todo.append(iter(inner))
     out.end_line()
     return out.lines
 
@@ -277,7 +350,11 @@ def _raw_text(node: Node) -> list[str]:
         elif not item.hidden:
             if item.tag == "br":
                 out.append("\n")
-            todo.extend(reversed(item.children))
+            if item.tag == "textarea":
+                out.append(html.escape(_typed(item)))
+            else:
+                inner = _choice(item) if item.tag == "select" else item.children
+                todo.extend(reversed(inner))
     return out
 
 
@@ -309,14 +386,20 @@ def _list(node: Node, nested: int) -> list[str]:
 
 
 def _table(node: Node, nested: int) -> list[str]:
-    """Rows of cells, padded so that columns line up; a caption goes above."""
+    """Rows of cells, padded so that columns line up; a caption goes above.
+
+    A cell over several rows or columns stands in the first, and the others stay empty.
+    """
     captions: list[str] = []
     rows: list[list[str]] = []
     todo = list(reversed(node.children))
     stray: list = []
+    down: dict[int, int] = {}  # rows for which a cell above still takes a column
     while todo:
         item = todo.pop()
-        if isinstance(item, str):
+        if item is None:
+            down.clear()  # no cell goes beyond its group of rows
+        elif isinstance(item, str):
             stray.append(item)
         elif item.hidden:
             continue
@@ -324,18 +407,30 @@ def _table(node: Node, nested: int) -> list[str]:
             captions.extend(_lines(item.children, nested))
         elif item.tag == "tr":
             cells: list[str] = []
+            begun: dict[int, int] = {}
             for cell in item.children:
                 if isinstance(cell, str):
                     stray.append(cell)
                 elif not cell.hidden and cell.tag in ("td", "th"):
+                    while down.get(len(cells)):
+                        cells.append("")
+                    at = len(cells)
                     cells.append(" ".join(x for x in _lines(cell.children, nested) if x))
                     span = cell.attrs.get("colspan", "1")
                     extra = int(span) - 1 if re.fullmatch(r"[0-9]{1,3}", span) else 0
                     cells.extend([""] * max(0, extra))
+                    span = cell.attrs.get("rowspan", "1")
+                    more = int(span) - 1 if re.fullmatch(r"[0-9]{1,5}", span) else 0
+                    if more:  # 0 means to the end of the group
+                        begun |= dict.fromkeys(range(at, len(cells)), more if more > 0 else 1 << 30)
                 elif not cell.hidden:
                     stray.append(cell)
             rows.append(cells)
+            down = {i: n - 1 for i, n in down.items() if n > 1} | begun
         elif item.tag in ("tbody", "thead", "tfoot", "colgroup", "form"):
+            if item.tag[0] == "t":
+                down.clear()
+                todo.append(None)
             todo.extend(reversed(item.children))
         else:
             stray.append(item)
@@ -360,7 +455,10 @@ def visible_text(source: str | None) -> str:
 def extract(pages: DataFrame, html_column: str = "html", keep=None) -> DataFrame:
     """The kept columns (default: all) with ``text``, the page as a reader would see it.
 
-    Scripts, styles, the head and hidden elements give nothing. Null and empty pages give an empty
+    What a browser does not render gives nothing: scripts, styles, the head, templates, fallback
+    content, titles and descriptions of drawings, elements hidden by ``hidden`` or their own style,
+    and the options of a drop-down list that are not chosen. Attributes are not text, but for the
+    labels of options. Null and empty pages give an empty
     text. A column already called ``text`` is replaced. Each page is rendered whole, by itself.
     """
 

@@ -206,6 +206,33 @@ def test_head_ends_where_the_body_begins(page, text):
     assert htmltext.visible_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("a <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> b", "a x=1 2 b"),
+        ("<math><semantics><mi>y</mi><annotation>no</annotation></semantics></math>", "y"),
+        ("<svg><title>no</title><desc>no<b>no</b></desc><path/><text>one</text><text>two</text></svg>", "one\ntwo"),
+        ("<svg><title/><style/><text>one</text></svg><p>two", "one\n\ntwo"),
+        ("<svg/><math/>x<text>y</text>", "xy"),
+        ("<select><option>a<option selected>b &amp;lt;<option>c</select>d", "b &lt; d"),
+        ("<select><option disabled>a<option>b</select>", "b"),
+        ("<select><option hidden disabled selected>Choose<option>b</select>", "Choose"),
+        ("<select multiple><optgroup label=G><option>a<option label='&lt;B'>b</select>c", "G\na\n<B\nc"),
+        ("<select size=2><option>a<optgroup label=G><option>b<optgroup label=H></select>", "a\nG\nb\nH"),
+        ("<select><option>a<input>b", "a b"),
+        ("x<textarea>\none\n  two &lt;p&gt;<p></textarea>y", "x\none\n  two <p><p>\ny"),
+        ("<pre>a <textarea>&amp;lt;</textarea><select><option>b<option>c</select></pre>", "a &lt; b"),
+        ("<p>a <i aria-hidden='true'>b</i>", "a b"),
+        ("<p>a <i hidden>b</i><datalist><option>no</datalist>", "a"),
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a  b\n   c\nd  e"),
+        ("<table><tr><td>a<td rowspan=2 colspan=2>b<td>c<tr><td>d<td>e</table>", "a  b    c\nd       e"),
+        ("<table><tbody><tr><td rowspan=0>a<td>b<tr><td>c<tbody><tr><td>d<td>e</table>", "a  b\n   c\nd  e"),
+    ],
+)
+def test_what_a_browser_shows(page, text):
+    assert htmltext.visible_text(page) == text
+
+
 def test_deep_nesting_keeps_all_text():
     deep = "<ul><li>" * 3_000 + "x" + "<table><tr><td>" * 500 + "y" + "<div>" * 20_000 + "z"
     assert re.sub(r"[\s-]", "", htmltext.visible_text(deep)) == "xyz"
