@@ -1,20 +1,24 @@
 """Token counts by a byte-level BPE vocabulary, without any shuffle of pre-tokens.
 
 Two tiers: a broadcast table of frequent pre-token lengths, then a cache in each worker for what
-the table misses, filled by the tokenizer itself.
+the table misses, filled by the tokenizer itself. The table comes from the whole corpus: each task
+keeps bounded counts of its pre-tokens, and these are merged in a tree of tasks.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
+from collections import Counter
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tapewright.llm.columns import add_columns, bounded_batches, col
 
 TABLE_ENTRIES = 65_536
-SAMPLE_ROWS = 2_000
+# Pre-tokens counted at once; what has more than one in so many of all places stays counted.
+COUNTED = 2 * TABLE_ENTRIES
 CACHE_ENTRIES = 500_000
 CACHED_CHARS = 64
 
@@ -76,25 +80,48 @@ def counter(path: str, table: dict[str, int]):
     return count
 
 
-def frequent_lengths(docs: DataFrame, path: str, text: str = "text") -> dict[str, int]:
-    """Token counts of the most frequent pre-tokens of a sample of SAMPLE_ROWS rows.
+def _bounded(seen: Counter, room: int) -> Counter:
+    """At most ``room`` counts, each less what the largest one left out had (Misra-Gries)."""
+    if len(seen) <= room:
+        return seen
+    least = sorted(seen.values(), reverse=True)[room]
+    return Counter({p: n - least for p, n in seen.items() if n > least})
+
+
+def frequent_lengths(
+    docs: DataFrame, path: str, text: str = "text", room: int | None = None
+) -> dict[str, int]:
+    """Token counts of the most frequent pre-tokens of all rows and whole texts.
 
     Only a head start for the workers: any table gives the same counts. It has at most
-    TABLE_ENTRIES entries of at most CACHED_CHARS characters.
+    TABLE_ENTRIES entries of at most CACHED_CHARS characters. ``room`` (default: COUNTED) bounds
+    the counts that a task holds and sends on.
     """
     bounded_batches(docs.sparkSession)
-    rows = (
-        docs.select(F.substring(col(text), 1, 4096).alias("text"))
-        .where("text IS NOT NULL")
-        .limit(SAMPLE_ROWS)
-        .toPandas()
+    room = room or COUNTED
+
+    def count(batches):
+        seen: Counter = Counter()
+        for batch in batches:
+            for value in batch.column(0).to_pylist():
+                if value:
+                    seen.update([p for p in _PIECE.findall(value) if len(p) <= CACHED_CHARS])
+                    if len(seen) > 2 * room:
+                        seen = _bounded(seen, room)
+        made = pickle.dumps(dict(_bounded(seen, room)))
+        yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["counts"])
+
+    def merged(a: Counter, b: Counter) -> Counter:
+        a.update(b)
+        return _bounded(a, room)
+
+    seen = (
+        docs.select(col(text).alias("text"))
+        .mapInArrow(count, "counts binary")
+        .rdd.treeAggregate(Counter(), lambda a, row: merged(a, pickle.loads(row[0])), merged, depth=3)
     )
-    seen: dict[str, int] = {}
-    for value in rows["text"]:
-        for piece in _PIECE.findall(value):
-            if len(piece) <= CACHED_CHARS and not _ODD.search(piece):
-                seen[piece] = seen.get(piece, 0) + 1
-    pieces = sorted(seen, key=lambda p: (-seen[p], p))[:TABLE_ENTRIES]
+    pieces = sorted((p for p in seen if not _ODD.search(p)), key=lambda p: (-seen[p], p))
+    pieces = pieces[:TABLE_ENTRIES]
     encoded = _tokenizer(path).encode_batch(pieces, add_special_tokens=False)
     return {p: len(e.ids) for p, e in zip(pieces, encoded, strict=True)}
 

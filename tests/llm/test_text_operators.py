@@ -268,6 +268,20 @@ def test_counts_of_odd_texts():
     assert small.count("the the cat sat on the mat the") == 8
 
 
+def test_frequent_pieces_of_the_whole_corpus(spark):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    first = spark.range(2_500).selectExpr("'early' AS text")
+    texts = ["x" * 5_000 + " far away", None, "", "late " * 50]
+    rest = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = tokencount.frequent_lengths(first.union(rest), path)
+    assert {"early", " far", " away", "late", " late"} <= found.keys()
+    assert tokencount.frequent_lengths(first.limit(0), path) == {}
+    many = spark.range(0, 3_000, 1, 6).selectExpr("concat('a b ', id) AS text")
+    assert {"a", " b"} <= tokencount.frequent_lengths(many, path, room=16).keys()
+
+
 @pytest.fixture(scope="module")
 def words():
     import public_tokenizers
