@@ -2,9 +2,10 @@
 
 The tagger is a bidirectional LSTM over characters with CRF transitions, trained in numpy from
 labelled spans (matches of the exact patterns in a bounded sample of rows). It reads overlapping
-windows at fixed places of the whole text; the spans decoded in all windows of a text are then
-reconciled together. A span of any kind holds a digit or an ``@``, so windows without either are
-known to be empty and are not read.
+windows at fixed places of the whole text; parts of a span that windows cut are joined, and the
+sure and plausible spans decoded in all windows of a text are then reconciled together. A span of
+any kind holds a digit or an ``@``, so windows without either are read only where a span goes on
+into them.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 128, 64
 TRAIN_ROWS = 3_000
 TRAIN_WINDOWS = 1_600
+TEXT_WINDOWS = 8  # of one text, in training
 MIN_SCORE = 0.9
 
 TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
@@ -378,11 +380,12 @@ def train(
     text: str = "text",
     max_rows: int = TRAIN_ROWS,
     max_windows: int = TRAIN_WINDOWS,
+    text_windows: int = TEXT_WINDOWS,
 ) -> Tagger | None:
     """Fit on windows of a sample of about ``max_rows`` of the rows that hold a digit or ``@``.
 
-    Labels are the matches of the exact patterns. Each sampled text gives its first 8 windows at
-    most, and training takes ``max_windows`` windows at most, those with spans first.
+    Labels are the matches of the exact patterns. Each sampled text gives ``text_windows``
+    windows at most and training takes ``max_windows`` at most, those with spans first.
     """
     bounded_batches(docs.sparkSession)
     rows = docs.select(col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
@@ -398,7 +401,7 @@ def train(
                 [
                     [
                         {"w": w, "spans": [{"k": k, "a": a, "b": b} for k, a, b in s]}
-                        for w, s in sorted(own, key=lambda x: not x[1])[:8]
+                        for w, s in sorted(own, key=lambda x: not x[1])[:text_windows]
                     ]
                     for own in made
                 ]
@@ -440,30 +443,65 @@ def _reconcile(found: list[tuple[str, int, int, float]]) -> list[tuple[str, int,
     return chosen[::-1]
 
 
+def _joined(parts: list[tuple]) -> list[tuple[str, int, int, float]]:
+    """Whole spans out of the parts of them that windows hold.
+
+    A part is a kind, place and score, and whether its window cuts it on the left and right. Parts
+    of a kind that meet where they are cut become one span, as sure as the least sure part.
+    """
+    out, edges = [], []
+    for part in parts:
+        if part[4] or part[5]:
+            edges.append(part)
+        else:
+            out.append(part[:4])
+    held = None
+    for part in [*sorted(edges, key=lambda x: x[:3]), None]:
+        if part and held and part[0] == held[0] and held[5] and part[4] and part[1] <= held[2]:
+            k, a, b, s, left, right = held
+            right = part[5] if part[2] >= b else right
+            held = (k, a, max(b, part[2]), min(s, part[3]), left, right)
+            continue
+        if held and not held[4] and not held[5]:
+            out.append(held[:4])
+        held = part
+    return out
+
+
 def find_spans(texts: list[str], tagger: Tagger | None) -> list[list[tuple[str, int, int, bool]]]:
     """All spans of each text, by kind and place; the flag tells exact matches from added spans."""
     base = [base_spans(t) for t in texts]
     added: list[list] = [[] for _ in texts]
     if tagger is not None:
         places = [(i, at) for i, t in enumerate(texts) for at in _window_starts(t)]
-        for a in range(0, len(places), 256):
-            part = places[a : a + 256]
-            tagged = tagger.spans([texts[i][at : at + WINDOW] for i, at in part])
-            for (i, at), spans in zip(part, tagged, strict=True):
-                size = len(texts[i])
-                # a span at the edge of a window is cut; a neighbour window holds it whole
-                added[i] += [
-                    (k, at + x, at + y, s)
-                    for k, x, y, s in spans
-                    if (x or not at) and (y < WINDOW or at + y == size)
-                ]
+        read = set(places)
+        while places:
+            further = []
+            for a in range(0, len(places), 256):
+                part = places[a : a + 256]
+                tagged = tagger.spans([texts[i][at : at + WINDOW] for i, at in part])
+                for (i, at), spans in zip(part, tagged, strict=True):
+                    size = len(texts[i])
+                    for k, x, y, s in spans:
+                        left, right = x == 0 and at > 0, y == WINDOW and at + y < size
+                        added[i].append((k, at + x, at + y, s, left, right))
+                        # a cut span goes on in the neighbour window, with a digit or without
+                        for cut, to in ((left, at - STRIDE), (right, at + STRIDE)):
+                            if cut and (i, to) not in read:
+                                read.add((i, to))
+                                further.append((i, to))
+            places = further
     out = []
     for text, own, more in zip(texts, base, added, strict=True):
         spans = [(k, a, b, True) for k, a, b in own]
-        for k, a, b, s in _reconcile(more):
-            clear = all(b <= x or y <= a for _, x, y in own)
-            if clear and s >= MIN_SCORE and _plausible(k, text[a:b]):
-                spans.append((k, a, b, False))
+        good = [
+            (k, a, b, s)
+            for k, a, b, s in _joined(more)
+            if s >= MIN_SCORE
+            and all(b <= x or y <= a for _, x, y in own)
+            and _plausible(k, text[a:b])
+        ]
+        spans += [(k, a, b, False) for k, a, b, _ in _reconcile(good)]
         out.append(sorted(spans, key=lambda x: (KINDS.index(x[0]), x[1])))
     return out
 

@@ -153,6 +153,43 @@ def test_trie_with_many_rules():
     assert urlfilter.Trie(rules).match("a.h.x", "/" + "p" * 17 + "q/") == rules[17]
 
 
+class FixedTagger:
+    """Tags given places of one text in whatever window shows a part of them."""
+
+    def __init__(self, text, spans):
+        self.text, self.found = text, spans
+
+    def spans(self, windows):
+        out = []
+        for w in windows:
+            at = self.text.index(w)
+            parts = [(k, max(0, a - at), min(len(w), b - at), s) for k, a, b, s in self.found]
+            out.append([p for p in parts if p[1] < p[2]])
+        return out
+
+
+def test_long_spans_are_joined_over_windows(monkeypatch):
+    monkeypatch.setattr(pii, "_plausible", lambda kind, text: True)
+    monkeypatch.setattr(pii, "base_spans", lambda text: [])
+    r = random.Random(4)
+    text = "".join(r.choice("abcdefgh") for _ in range(900)) + "@"
+    for a, b in [(30, 901), (840, 901), (500, 901), (700, 890)]:
+        found = pii.find_spans([text], FixedTagger(text, [("email", a, b, 0.95)]))
+        assert found == [[("email", a, b, False)]]
+
+
+def test_bad_spans_do_not_displace_good_ones(monkeypatch):
+    monkeypatch.setattr(pii, "_plausible", lambda kind, text: kind != "card")
+    monkeypatch.setattr(pii, "base_spans", lambda text: [("ip", 40, 50)])
+    text = "x1" * 40
+    tagger = FixedTagger(
+        text,
+        [("card", 0, 30, 0.99), ("email", 5, 25, 0.95), ("phone", 30, 45, 0.99), ("email", 31, 39, 0.92)],
+    )
+    found = pii.find_spans([text], tagger)[0]
+    assert found == [("email", 5, 25, False), ("email", 31, 39, False), ("ip", 40, 50, True)]
+
+
 # --- html -------------------------------------------------------------------------------------
 
 
