@@ -118,5 +118,84 @@ FROM doc LEFT JOIN size USING (doc_id)
 """
 
 
+_WHOLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0"
+
+
+def _assignment(round_: int) -> str:
+    """The distances to the centroids of a round, and each vector's nearest."""
+    return f"""far{round_} AS (
+    SELECT row_id, c, sum((comp.x - m.x) * (comp.x - m.x)) AS distance
+    FROM comp JOIN mean{round_} AS m USING (i) GROUP BY row_id, c
+), own{round_} AS (
+    SELECT row_id, arg_min(c, (distance, c)) AS c, min(distance) AS distance
+    FROM far{round_} GROUP BY row_id
+)"""
+
+
+def _update(round_: int) -> str:
+    """The means of a round's clusters, rounded down; an empty cluster stays."""
+    return f"""mean{round_ + 1} AS (
+    SELECT c, i, coalesce((total - ((total % n) + n) % n) // n, m.x) AS x
+    FROM mean{round_} AS m LEFT JOIN (
+        SELECT c, i, sum(x) AS total, count(*) AS n
+        FROM comp JOIN own{round_} USING (row_id) GROUP BY c, i
+    ) USING (c, i)
+)"""
+
+
+CENTROID_CLUSTERS = f"""
+WITH kept AS (
+    SELECT row_number() OVER () AS row_id, vec_id,
+           list_transform(embedding, lambda e: CAST(floor(64 * CAST(e AS DOUBLE)) AS HUGEINT)) AS x
+    FROM embeddings WHERE {_WHOLE} AND len(embedding) = 64
+), comp AS (
+    SELECT row_id, unnest(range(1, 65)) AS i, unnest(x) AS x FROM kept
+), mean0 AS (
+    SELECT c, i, x FROM comp JOIN (
+        SELECT row_id, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c FROM kept
+        WHERE vec_id IS NOT NULL QUALIFY c < 16
+    ) USING (row_id)
+), {", ".join(f"{_assignment(r)}, {_update(r)}" for r in range(3))}, {_assignment(3)}, named AS (
+    SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256
+    FROM mean3 GROUP BY c
+)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+       CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM own3 JOIN kept USING (row_id) JOIN named USING (c)
+"""
+
+HARD_NEGATIVES = f"""
+WITH kept AS (
+    SELECT DISTINCT vec_id,
+           CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda e: floor(256 * CAST(e AS DOUBLE))) AS x
+    FROM embeddings
+    WHERE {_WHOLE} AND len(embedding) > 0 AND label IS NOT NULL AND vec_id IS NOT NULL
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+           CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+    FROM kept AS a JOIN kept AS b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+), positive AS (
+    SELECT anchor_id, vec_id, score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER)
+           AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positive AS p JOIN scored AS n USING (anchor_id)
+WHERE NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_lm_scores": LM_SCORES, "op3_decontamination": DECONTAMINATION, "op4_url_filter": URL_FILTER, "op6_jaccard_join": JACCARD}
+    return {
+        "op1_lm_scores": LM_SCORES,
+        "op3_decontamination": DECONTAMINATION,
+        "op4_url_filter": URL_FILTER,
+        "op6_jaccard_join": JACCARD,
+        "op12_centroid_clusters": CENTROID_CLUSTERS,
+        "op13_hard_negatives": HARD_NEGATIVES,
+    }

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.llm import bpe, decontaminate, htmltext, jaccard, language, neighbours, ngrams, pii, tokencount, urlfilter
+from tapewright.llm import (
+    bpe,
+    covertree,
+    decontaminate,
+    htmltext,
+    jaccard,
+    kmeans,
+    language,
+    licences,
+    neighbours,
+    ngrams,
+    pii,
+    tokencount,
+    urlfilter,
+)
 from tapewright.llm.columns import read
 
 URL_RULES = [
@@ -22,6 +36,7 @@ BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 TOKEN_LIMIT = 512
 QUERY_EVERY = 20
+ANCHOR_EVERY = 50
 FOLDS = 5
 
 
@@ -114,6 +129,32 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(read(spark, sf_dir, "pages"), keep=["page_id"])
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(read(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.concat_ws(",", "base_labels").alias("base_labels"),
+        F.concat_ws(",", "labels").alias("labels"),
+        "score",
+    )
+
+
+def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans.described(kmeans.cluster(read(spark, sf_dir, "embeddings")))
+
+
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return covertree.hard_negatives(
+        read(spark, sf_dir, "embeddings").withColumn("label", moved),
+        is_anchor=F.col("vec_id") % ANCHOR_EVERY == 0,
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm_scores": lm_scores,
@@ -126,4 +167,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bpe_round_trip": bpe_round_trip,
         "op9_language_id": language_id,
         "op10_html_text": html_text,
+        "op11_license_scan": license_scan,
+        "op12_centroid_clusters": centroid_clusters,
+        "op13_hard_negatives": hard_negatives,
     }
