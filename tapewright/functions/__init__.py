@@ -4,8 +4,11 @@ from tapewright.functions.text import (
     clock_time,
     decimal_price,
     is_json_line,
+    is_one_object,
+    json_doubtful,
+    json_price,
     json_record,
-    json_records,
+    json_texts,
     plain_date,
     whole_number,
 )
@@ -17,8 +20,11 @@ __all__ = [
     "decimal_price",
     "exact_mean",
     "is_json_line",
+    "is_one_object",
+    "json_doubtful",
+    "json_price",
     "json_record",
-    "json_records",
+    "json_texts",
     "plain_date",
     "seconds",
     "time_slot",

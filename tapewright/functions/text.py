@@ -12,11 +12,11 @@ from tapewright.schema import PRICE
 DATE_FORMAT = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}\z"
 TIME_FORMAT = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}\.\d{1,6}\z"
 
-PLAIN_NUMBER = r"^-?[0-9]+(\.[0-9]+)?\z"
-LONG_NUMBER = r"[0-9.]{16,}"
 PRICE_KEYS = ("price", "bid_pr", "ask_pr")
+# A price given as a text that is empty or more than digits and points, or a price given twice.
+ODD_PRICE = r'(price|bid_pr|ask_pr)"\s*:(?:\s*"(?:[0-9.]*[^0-9."]|")|.*"\1"\s*:)'
 
-# JSON keys of a line. All are read as text: numbers and quoted numbers then convert alike.
+# JSON keys of a line.
 JSON_KEYS = (
     "trade_dt",
     "file_tm",
@@ -32,7 +32,16 @@ JSON_KEYS = (
     "ask_size",
 )
 
-_JSON_RECORDS = "array<struct<" + ",".join(f"{key}:string" for key in JSON_KEYS) + ">>"
+
+# Prices are read as decimals, which takes a number's own digits: as text it would pass through a
+# double. All else is read as text, so that numbers and quoted numbers convert alike.
+_JSON_RECORD = "struct<{}>".format(
+    ",".join(f"{k}:{PRICE.simpleString() if k in PRICE_KEYS else 'string'}" for k in JSON_KEYS)
+)
+_JSON_TEXTS = "array<struct<{}>>".format(
+    ",".join(f"{k}:string" for k in ("symbol", *PRICE_KEYS))
+)
+_JSON_OPTIONS = {"allowSingleQuotes": "false"}
 
 
 def plain_date(text: Column) -> Column:
@@ -59,46 +68,51 @@ def decimal_price(text: Column) -> Column:
     return text.try_cast(PRICE)
 
 
-def exact_prices(line: Column) -> Column:
-    """The prices of a JSON line read as decimals, where one has too many digits for a double.
+def is_json_line(line: Column) -> Column:
+    return line.startswith("{")
 
-    A JSON number becomes text by way of a double, which keeps 15 digits. Such numbers are rare, so
-    the line is read once more only where it holds a long run of digits.
-    """
-    fields = ",".join(f"{key}:{PRICE.simpleString()}" for key in PRICE_KEYS)
-    return F.when(line.rlike(LONG_NUMBER), F.from_json(line, f"struct<{fields}>"))
 
+def json_record(line: Column) -> Column:
+    """The line's first JSON object: prices as decimals, all else as text."""
+    return F.from_json(line, _JSON_RECORD, _JSON_OPTIONS)
 
-def json_price(text: Column, exact: Column) -> Column:
-    """The price of a text, or the exact one where there is one and the text is a plain number."""
-    plain = text.rlike(PLAIN_NUMBER) & exact.isNotNull()
-    return F.when(plain, exact).otherwise(decimal_price(text))
 
+def json_doubtful(line: Column) -> Column:
+    """Whether a JSON line may be more than its first object, or may hold an odd price.
 
-def is_json_line(line: Column) -> Column:
-    return line.startswith("{")
+    A line whose first closing brace is its last character has nothing after its object. This is so
+    for nearly every line; the others take the longer way of :func:`json_texts`.
+    """
+    alone = F.locate("}", line) == F.length(F.rtrim(line))
+    return ~alone | line.rlike(ODD_PRICE)
 
 
-def json_records(line: Column) -> Column:
-    """The line's JSON object as the first of two elements; the second holds a hash of the line.
+def json_texts(line: Column) -> Column:
+    """The line's object as the first of two elements; the second holds a hash of the line.
 
     Parsers stop at the end of the first value, so a line with text after its object would pass.
     As an element of an array, such text is a syntax error or a further element, and a line that
     closes the array itself cannot know the hash that is looked for behind its object.
     """
     closing = F.concat(F.lit(',{"symbol":"'), _mark(line), F.lit('"}]'))
-    return F.from_json(
-        F.concat(F.lit("["), line, closing),
-        _JSON_RECORDS,
-        {"allowSingleQuotes": "false"},
-    )
+    return F.from_json(F.concat(F.lit("["), line, closing), _JSON_TEXTS, _JSON_OPTIONS)
 
 
 def _mark(line: Column) -> Column:
     return F.xxhash64(line).cast("string")
 
 
-def json_record(records: Column, line: Column) -> Column:
-    """The object as a struct of texts, or null unless the line is one whole object."""
-    closed = F.get(records, F.lit(1)).getField("symbol").eqNullSafe(_mark(line))
-    return F.when((F.size(records) == 2) & closed, F.get(records, F.lit(0)))
+def is_one_object(texts: Column, line: Column) -> Column:
+    """Whether the line read by :func:`json_texts` is one object and nothing else."""
+    closed = F.get(texts, F.lit(1)).getField("symbol").eqNullSafe(_mark(line))
+    return F.coalesce((F.size(texts) == 2) & closed, F.lit(False))
+
+
+def json_price(exact: Column, text: Column) -> Column:
+    """``exact``, the price read as a decimal, unless it came from a text that says something else.
+
+    A decimal read from a text leaves out commas and refuses blanks. A number's text has passed
+    through a double, so the two are the same price if they are the same double.
+    """
+    same = exact.cast("double") == text.try_cast("double")
+    return F.when(same, exact).otherwise(decimal_price(text))

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from tapewright.functions.text import (
     clock_time,
     decimal_price,
-    exact_prices,
     is_json_line,
+    is_one_object,
+    json_doubtful,
     json_price,
     json_record,
-    json_records,
+    json_texts,
     plain_date,
     whole_number,
 )
@@ -69,35 +70,49 @@ def parse_events(lines: DataFrame, keep_raw: bool = False) -> DataFrame:
 
     The plan is one narrow projection over the scan: no shuffle and no Python worker.
     """
-    json_line = is_json_line(F.col("value"))
+    line = F.col("value")
+    json_line = is_json_line(line)
     split_up = lines.select(
         "value",
-        F.when(json_line, json_records(F.col("value"))).alias("records"),
+        F.when(json_line, json_record(line)).alias("record"),
+        F.when(json_line & json_doubtful(line), json_texts(line)).alias("texts"),
+        F.when(json_line, json_doubtful(line)).otherwise(False).alias("doubtful"),
         F.when(~json_line, F.split("value", ",")).alias("cells"),
-    ).select("value", json_record(F.col("records"), F.col("value")).alias("record"), "cells")
+    )
+    whole = ~F.col("doubtful") | is_one_object(F.col("texts"), line)
+    read = split_up.select(
+        "value",
+        F.when(whole, F.col("record")).alias("record"),
+        F.when(F.col("doubtful"), F.get("texts", F.lit(0))).alias("texts"),
+        "cells",
+    )
 
     def text(position: int, key: str) -> Column:
         return F.coalesce(F.get("cells", F.lit(position)), F.col("record").getField(key))
 
-    texts = split_up.select(
-        "value",
-        "record",
-        F.when(F.col("record").isNotNull(), exact_prices(F.col("value"))).alias("exact"),
-        *[text(pos, key).alias(name) for name, pos, key in _COMMON_FIELDS],
-        *[text(pos, key).alias(name) for name, pos, key in _QUOTE_FIELDS + _TRADE_FIELDS],
-    )
+    def price(position: int, key: str) -> Column:
+        exact = F.col("record").getField(key)
+        of_json = F.when(F.col("texts").isNull(), exact).otherwise(
+            json_price(exact, F.col("texts").getField(key))
+        )
+        of_cell = decimal_price(F.get("cells", F.lit(position)))
+        return F.when(F.col("record").isNotNull(), of_json).otherwise(of_cell)
+
+    fields = [
+        (price if _CONVERSIONS.get(name) is decimal_price else text)(pos, key).alias(name)
+        for name, pos, key in _COMMON_FIELDS + _QUOTE_FIELDS + _TRADE_FIELDS
+    ]
+    texts = read.select("value", "record", *fields)
 
     is_quote = F.col("rec_type").eqNullSafe(QUOTE)
     quote_names = [name for name, _, _ in _QUOTE_FIELDS]
     trade_names = [name for name, _, _ in _TRADE_FIELDS]
 
-    key_of = {name: key for name, _, key in _QUOTE_FIELDS + _TRADE_FIELDS}
-
     def typed(name: str) -> Column:
         convert = _CONVERSIONS.get(name)
-        value = F.col(name) if convert is None else convert(F.col(name))
-        if convert is decimal_price:
-            value = json_price(F.col(name), F.col("exact").getField(key_of[name]))
+        value = F.col(name)
+        if convert not in (None, decimal_price):
+            value = convert(value)
         if name in quote_names:
             value = F.when(is_quote, value)
         elif name in trade_names:

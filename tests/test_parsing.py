@@ -1,7 +1,7 @@
 """Edge lines of the parser (FIXTURES.md section 4)."""
 
 import datetime as dt
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 
@@ -177,11 +177,66 @@ def test_other_record_types(spark):
     assert split_quotes(good).count() == 1
 
 
+DIGITS = "12345678901234"
+
+
 @pytest.mark.parametrize("quotes", ["", '"'], ids=["number", "text"])
 @pytest.mark.parametrize(
     "price",
-    ["999.12345678901237", "999.00000000000001", "1000", "1234567890.12345678901234", "-5.5"],
+    [
+        "999.12345678901237",
+        "999.00000000000001",
+        "1000",
+        "1234567890.12345678901234",
+        "9999999999.99999999999999",
+        "-9999999999.99999999999999",
+        "-5.5",
+        "0",
+        "1e3",
+        "12.5E-3",
+        "1.234567890123456789e9",
+        # every magnitude of the type, before and after the point
+        *(f"{DIGITS[:n]}.{DIGITS}" for n in range(1, 11)),
+        *(f"{10**n}" for n in range(10)),
+        *(f"{10**n}.00000000000001" for n in range(10)),
+        *(f"0.{10**n:014d}" for n in range(14)),
+    ],
 )
 def test_prices_are_exact(parse, price, quotes):
     row = parse(json_line(price=f"{quotes}{price}{quotes}"))[0]
-    assert row["trade_pr"] == Decimal(price)
+    exact = Decimal(price).quantize(Decimal("1e-14"), ROUND_HALF_UP)
+    assert row["trade_pr"] == exact
+
+
+ODD_TEXTS = {"12,5": None, " 12.5 ": "12.5", "1,000.5": None, "+5": "5", "": None, "1_0": None, "1 0": None}
+
+
+@pytest.mark.parametrize("space", ["", " "])
+@pytest.mark.parametrize("text", ODD_TEXTS)
+def test_price_texts(parse, text, space):
+    line = json_line(price=None)[:-1] + f',"price"{space}:{space}"{text}"}}'
+    expected = ODD_TEXTS[text]
+    assert parse(line)[0]["trade_pr"] == (None if expected is None else Decimal(expected))
+    # the last of repeated keys counts
+    twice = json_line(price="1")[:-1] + f',"price":"{text}"}}'
+    assert parse(twice)[0]["trade_pr"] == (None if expected is None else Decimal(expected))
+
+
+def test_a_price_given_twice(parse):
+    for last, expected in (("99999999999", None), ('"1.2.3"', None), ("2.5", Decimal("2.5"))):
+        twice = json_line(price="1")[:-1] + f',"price" : {last}}}'
+        assert parse(twice)[0]["trade_pr"] == expected
+
+
+def test_doubtful_lines_that_are_one_object(parse):
+    extra = [
+        ',"more":{"a":[1,{}]}}',
+        ',"note":"}"}',
+        ',"price":1234567890.12345678901234,"note":"{}"}',
+        ',"note":"price\\":\\"1,5"}',
+    ]
+    rows = parse(*(json_line()[:-1] + end for end in extra))
+    assert [r["partition"] for r in rows] == ["T"] * 4
+    assert rows[2]["trade_pr"] == Decimal("1234567890.12345678901234")
+    assert [r["trade_pr"] for r in rows[:2] + rows[3:]] == [Decimal("78.93")] * 3
+    assert parse(json_line() + "\t")[0]["partition"] == "T"

@@ -27,7 +27,7 @@ def test_parsing_is_one_narrow_stage_in_the_jvm(spark):
 
 def test_a_filter_does_not_parse_every_line_twice(spark):
     plan = physical(tw.split_trades(tw.drop_bad(tw.parse_events(event_lines(spark, SF_DIR)))))
-    assert plan.count("from_json") == 2  # of every line, and of those with very long numbers
+    assert plan.count("from_json") == 2  # of every line, and of the doubtful ones
 
 
 def test_dedupe_reduces_before_its_only_shuffle(spark):
