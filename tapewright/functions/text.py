@@ -13,8 +13,8 @@ DATE_FORMAT = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}\z"
 TIME_FORMAT = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}\.\d{1,6}\z"
 
 PRICE_KEYS = ("price", "bid_pr", "ask_pr")
-# A price given as a text that is empty or more than digits and points, or a price given twice.
-ODD_PRICE = r'(price|bid_pr|ask_pr)"\s*:(?:\s*"(?:[0-9.]*[^0-9."]|")|.*"\1"\s*:)'
+# A comma of a JSON line that no key follows: it may stand in a price given as text.
+INNER_COMMA = r',\s*(?:[^"\s]|"\s*[,}])'
 
 # JSON keys of a line.
 JSON_KEYS = (
@@ -35,13 +35,16 @@ JSON_KEYS = (
 
 # Prices are read as decimals, which takes a number's own digits: as text it would pass through a
 # double. All else is read as text, so that numbers and quoted numbers convert alike.
-_JSON_RECORD = "struct<{}>".format(
-    ",".join(f"{k}:{PRICE.simpleString() if k in PRICE_KEYS else 'string'}" for k in JSON_KEYS)
+# A value that cannot be read leaves the line in _CORRUPT.
+_CORRUPT = "_corrupt_record"
+_JSON_RECORD = "struct<{},{}:string>".format(
+    ",".join(f"{k}:{PRICE.simpleString() if k in PRICE_KEYS else 'string'}" for k in JSON_KEYS),
+    _CORRUPT,
 )
 _JSON_TEXTS = "array<struct<{}>>".format(
     ",".join(f"{k}:string" for k in ("symbol", *PRICE_KEYS))
 )
-_JSON_OPTIONS = {"allowSingleQuotes": "false"}
+_JSON_OPTIONS = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": _CORRUPT}
 
 
 def plain_date(text: Column) -> Column:
@@ -77,14 +80,15 @@ def json_record(line: Column) -> Column:
     return F.from_json(line, _JSON_RECORD, _JSON_OPTIONS)
 
 
-def json_doubtful(line: Column) -> Column:
-    """Whether a JSON line may be more than its first object, or may hold an odd price.
+def json_doubtful(record: Column, line: Column) -> Column:
+    """Whether a JSON line may be more than its first object, or its prices other than they seem.
 
-    A line whose first closing brace is its last character has nothing after its object. This is so
-    for nearly every line; the others take the longer way of :func:`json_texts`.
+    A line whose first closing brace is its last character has nothing after its object, and a
+    decimal read from a text differs from it only by commas, if it can be read at all. Nearly every
+    line is free of doubt; the others take the longer way of :func:`json_texts`.
     """
     alone = F.locate("}", line) == F.length(F.rtrim(line))
-    return ~alone | line.rlike(ODD_PRICE)
+    return record.getField(_CORRUPT).isNotNull() | ~alone | line.rlike(INNER_COMMA)
 
 
 def json_texts(line: Column) -> Column:

@@ -75,16 +75,15 @@ def parse_events(lines: DataFrame, keep_raw: bool = False) -> DataFrame:
     split_up = lines.select(
         "value",
         F.when(json_line, json_record(line)).alias("record"),
-        F.when(json_line & json_doubtful(line), json_texts(line)).alias("texts"),
-        F.when(json_line, json_doubtful(line)).otherwise(False).alias("doubtful"),
         F.when(~json_line, F.split("value", ",")).alias("cells"),
     )
-    whole = ~F.col("doubtful") | is_one_object(F.col("texts"), line)
-    read = split_up.select(
-        "value",
-        F.when(whole, F.col("record")).alias("record"),
-        F.when(F.col("doubtful"), F.get("texts", F.lit(0))).alias("texts"),
-        "cells",
+    doubtful = F.col("record").isNotNull() & json_doubtful(F.col("record"), line)
+    # a struct tells a line that was not looked at again from one that could not be read
+    checked = split_up.select("*", F.when(doubtful, F.struct(json_texts(line).alias("all"))).alias("texts"))
+    texts = F.col("texts").getField("all")
+    whole = F.col("texts").isNull() | is_one_object(texts, line)
+    read = checked.select(
+        "value", F.when(whole, F.col("record")).alias("record"), F.get(texts, F.lit(0)).alias("texts"), "cells"
     )
 
     def text(position: int, key: str) -> Column:
