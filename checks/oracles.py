@@ -279,6 +279,16 @@ def oracle_sql() -> dict[str, str]:
                  AND t.event_tm BETWEEN q.event_tm - INTERVAL 30 MINUTE AND q.event_tm
                GROUP BY q.trade_dt, q.symbol, q.exchange, q.event_tm, q.event_seq_nb""",
         ),
+        "range_join": _with(
+            _LATEST,
+            """SELECT CAST(q.trade_dt AS VARCHAR) AS trade_dt, q.symbol, q.exchange, q.event_tm,
+                 q.event_seq_nb, CAST(q.bid_pr AS DOUBLE) AS bid_pr, t.event_tm AS match_event_tm,
+                 CAST(t.event_seq_nb AS DOUBLE) AS match_event_seq_nb,
+                 CAST(t.trade_pr AS DOUBLE) AS match_trade_pr
+               FROM quotes q LEFT JOIN trades t
+                 ON q.trade_dt = t.trade_dt AND q.symbol = t.symbol AND q.exchange = t.exchange
+                 AND t.event_tm BETWEEN q.event_tm - INTERVAL 30 MINUTE AND q.event_tm""",
+        ),
         "asof_last_trade": asof(
             "", f"{_AT}, {_SIDES}, CAST(last_trade_pr AS DOUBLE) AS last_trade_pr"
         ),
@@ -352,6 +362,7 @@ def oracle_sql() -> dict[str, str]:
     busy = (
         "trailing_avg",
         "leading_avg",
+        "range_join",
         "range_stats",
         "asof_last_trade",
         "asof_last_trade_all_quotes",

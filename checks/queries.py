@@ -238,6 +238,25 @@ def range_stats(spark, sf_dir):
     return _shown_stats(spark, sf_dir)
 
 
+def _shown_pairs(spark, sf_dir, **options):
+    """Each quote with each trade of the thirty minutes up to it."""
+    quotes = quotes_of(spark, sf_dir).select("trade_dt", *SERIES, "event_tm", "event_seq_nb", "bid_pr")
+    trades = trades_of(spark, sf_dir).select("trade_dt", *SERIES, "event_tm", "event_seq_nb", "trade_pr")
+    pairs = shown(tw.range_join(quotes, trades, **options))
+    # null in some rows: shown as doubles, as in shown_events()
+    return pairs.withColumn("match_event_seq_nb", F.col("match_event_seq_nb").cast("double"))
+
+
+@query
+def range_join(spark, sf_dir):
+    return _shown_pairs(spark, sf_dir)
+
+
+@query
+def range_join_busy(spark, sf_dir):
+    return _shown_pairs(spark, sf_dir, split_pairs=2)
+
+
 @query
 def asof_last_trade(spark, sf_dir):
     quotes, trades = quotes_of(spark, sf_dir), trades_of(spark, sf_dir)

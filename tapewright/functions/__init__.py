@@ -12,9 +12,10 @@ from tapewright.functions.text import (
     plain_date,
     whole_number,
 )
-from tapewright.functions.timegrid import SLOT_SECONDS, exact_mean, seconds, time_slot
+from tapewright.functions.timegrid import DAY_SECONDS, SLOT_SECONDS, exact_mean, seconds, time_slot
 
 __all__ = [
+    "DAY_SECONDS",
     "SLOT_SECONDS",
     "clock_time",
     "decimal_price",

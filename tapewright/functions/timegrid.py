@@ -2,9 +2,8 @@
 
 A slot is a fixed stretch of time. Operators that follow a series through time split it into
 slots, so that a series holding a large share of all rows is still spread over many tasks. A slot
-of ten seconds has at most ten million distinct microseconds, and a day at most 8,640 slots: where
-the day is among the keys, both levels of such an operator are bounded whatever the row count. A
-series that is followed for years has three million slots a year, a few rows each, in one task.
+of ten seconds has at most ten million distinct microseconds, and a day has 8,640 slots: both levels
+of such an operator are bounded whatever the row count.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType
 
 SLOT_SECONDS = 10
+DAY_SECONDS = 86_400
 
 # Before every time the feed can hold, so that slots count upward from zero without a sign change.
 _ORIGIN = "TIMESTAMP_NTZ'0001-01-01 00:00:00'"

@@ -4,6 +4,7 @@ from tapewright.operators.asof import asof_last_trade
 from tapewright.operators.closing import closing_price, price_moves
 from tapewright.operators.delivery import latest_delivery
 from tapewright.operators.history import first_status, job_report, recent_status
+from tapewright.operators.pairing import range_join
 from tapewright.operators.parsing import parse_events
 from tapewright.operators.rolling import leading_avg, range_stats, trailing_avg
 from tapewright.operators.selection import (
@@ -34,6 +35,7 @@ __all__ = [
     "previous_day",
     "price_moves",
     "project_trades",
+    "range_join",
     "range_stats",
     "recent_status",
     "split_quotes",

@@ -6,8 +6,10 @@ its own time and left ``m`` minutes later, and one running sum in time order giv
 every row: the cost grows with the rows, not with the pairs.
 
 A busy series is spread over many tasks: there the running sum is taken within a time slot and
-starts from the sum over the slots before it. Its facts at one instant are added up first, before
-the shuffle, so that not even a busy instant ends up in one task.
+starts from the sum over the slots before it. That sum is itself a running one over the slots of a
+day, which starts from what the day before still holds: a series of any length is cut into days,
+and no task follows it further. Facts at one instant are added up first, before the shuffle, so
+that not even a busy instant ends up in one task.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType
 
-from tapewright.functions.timegrid import SLOT_SECONDS, exact_mean, seconds, time_slot
+from tapewright.functions.timegrid import DAY_SECONDS, SLOT_SECONDS, exact_mean, seconds, time_slot
 from tapewright.operators.series import SPLIT_ROWS, Load, with_known
 from tapewright.schema import DAY_SERIES, SERIES
 
@@ -148,43 +150,53 @@ def rolling_instants(
     )
 
     # What the slots before (or, looking ahead, after) hold when a slot begins: the same running
-    # sum once more, over one entering and one leaving row for each slot.
-    def slot_row(slots_on: int, step: int, n: Column, total: Column) -> Column:
+    # sum once more, over one entering and one leaving row for each slot. It runs within a day of
+    # slots. What has entered in one day and leaves in a later one enters again where each of the
+    # days in between, and the last, begins.
+    def day_of(slot: Column) -> Column:
+        return F.floor(slot / F.lit(day_slots)).cast("long")
+
+    def slot_row(slot: Column, step: int, n: Column, total: Column) -> Column:
         return F.struct(
-            (F.col("_slot") + toward * slots_on).alias("_slot"),
-            F.lit(step).alias("_step"),
-            n.alias("_n"),
-            total.alias("_total"),
+            slot.alias("_slot"), F.lit(step).alias("_step"), n.alias("_n"), total.alias("_total")
         )
 
+    day_slots = DAY_SECONDS // width
     slots = slotted.groupBy(*series).agg(
         F.count(value).alias("n"), F.sum(value).alias("total")
     )
     n, total = F.col("n"), F.col("total")
-    moves = [
-        slot_row(1, _BASE, n, total),
-        slot_row(reach + 1, _BASE, -n, -total),
-    ]
+    enters, leaves = F.col("_slot") + toward, F.col("_slot") + toward * (reach + 1)
+    later = F.when(
+        day_of(leaves) != day_of(enters),
+        F.sequence(day_of(enters) + toward, day_of(leaves), F.lit(toward).cast("long")),
+    ).otherwise(F.array().cast("array<bigint>"))
+    begins = 0 if toward > 0 else day_slots - 1
+    moves = F.concat(
+        F.array(slot_row(enters, _BASE, n, total), slot_row(leaves, _BASE, -n, -total)),
+        F.transform(later, lambda day: slot_row(day * day_slots + begins, _BASE, n, total)),
+    )
     if probes is None:
         asking = _ENTER
-        moves.append(slot_row(0, _ASK, F.lit(0).cast("bigint"), F.lit(None).cast(total_type)))
-        slot_rows = slots.select(*keys, F.inline(F.array(*moves)))
+        asks = slot_row(F.col("_slot"), _ASK, F.lit(0).cast("bigint"), F.lit(None).cast(total_type))
+        slot_rows = slots.select(*keys, F.inline(F.concat(moves, F.array(asks))))
     else:
         asking = _ASK
         asked = probes.select(*keys, time_slot(time, width).alias("_slot"), time).distinct()
         rows = rows.unionByName(asked.withColumn("_step", F.lit(_ASK)), allowMissingColumns=True)
-        slot_rows = slots.select(*keys, F.inline(F.array(*moves))).unionByName(
+        slot_rows = slots.select(*keys, F.inline(moves)).unionByName(
             asked.select(*series).distinct().withColumn("_step", F.lit(_ASK)),
             allowMissingColumns=True,
         )
     by_slot = F.desc("_slot") if ahead else F.asc("_slot")
     before = (
-        Window.partitionBy(*keys)
+        Window.partitionBy(*keys, "_day")
         .orderBy(by_slot, "_step")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     base = (
-        slot_rows.select(
+        slot_rows.withColumn("_day", day_of(F.col("_slot")))
+        .select(
             *series,
             "_step",
             F.sum("_n").over(before).alias("_n"),

@@ -180,32 +180,31 @@ def test_other_record_types(spark):
 DIGITS = "12345678901234"
 
 
+PRICES = [
+    "999.12345678901237",
+    "999.00000000000001",
+    "1000",
+    "1234567890.12345678901234",
+    "9999999999.99999999999999",
+    "-9999999999.99999999999999",
+    "-5.5",
+    "0",
+    "1e3",
+    "12.5E-3",
+    "1.234567890123456789e9",
+    # every magnitude of the type, before and after the point
+    *(f"{DIGITS[:n]}.{DIGITS}" for n in range(1, 11)),
+    *(f"{10**n}" for n in range(10)),
+    *(f"{10**n}.00000000000001" for n in range(10)),
+    *(f"0.{10**n:014d}" for n in range(14)),
+]
+
+
 @pytest.mark.parametrize("quotes", ["", '"'], ids=["number", "text"])
-@pytest.mark.parametrize(
-    "price",
-    [
-        "999.12345678901237",
-        "999.00000000000001",
-        "1000",
-        "1234567890.12345678901234",
-        "9999999999.99999999999999",
-        "-9999999999.99999999999999",
-        "-5.5",
-        "0",
-        "1e3",
-        "12.5E-3",
-        "1.234567890123456789e9",
-        # every magnitude of the type, before and after the point
-        *(f"{DIGITS[:n]}.{DIGITS}" for n in range(1, 11)),
-        *(f"{10**n}" for n in range(10)),
-        *(f"{10**n}.00000000000001" for n in range(10)),
-        *(f"0.{10**n:014d}" for n in range(14)),
-    ],
-)
-def test_prices_are_exact(parse, price, quotes):
-    row = parse(json_line(price=f"{quotes}{price}{quotes}"))[0]
-    exact = Decimal(price).quantize(Decimal("1e-14"), ROUND_HALF_UP)
-    assert row["trade_pr"] == exact
+def test_prices_are_exact(parse, quotes):
+    rows = parse(*(json_line(price=f"{quotes}{price}{quotes}") for price in PRICES))
+    exact = [Decimal(price).quantize(Decimal("1e-14"), ROUND_HALF_UP) for price in PRICES]
+    assert [row["trade_pr"] for row in rows] == exact
 
 
 ODD_TEXTS = {"12,5": None, " 12.5 ": "12.5", "1,000.5": None, "+5": "5", "": None, "1_0": None, "1 0": None}

@@ -6,7 +6,7 @@ from frames import make_quotes, make_trades
 import tapewright as tw
 from pyspark.sql.types import StructField, StructType
 from tapewright.operators import series
-from tapewright.schema import DAY_SERIES
+from tapewright.schema import DAY_SERIES, SERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -100,6 +100,24 @@ def test_busy_series_are_spread_by_time_slot(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_no_window_follows_a_series_beyond_a_day_of_slots(spark):
+    """Windows over slots are cut by day, and windows over instants by slot."""
+    trades = make_trades(spark)
+    for result in (
+        tw.leading_avg(trades, split_rows=0),
+        tw.trailing_avg(trades, keys=SERIES, split_rows=0),
+        tw.range_stats(make_quotes(spark), trades, "trade_pr", keys=SERIES, split_rows=0),
+    ):
+        plan = result._jdf.queryExecution().optimizedPlan().toString()
+        windows = [line for line in plan.splitlines() if "+- Window" in line or ":- Window" in line]
+        busy = [line for line in windows if "_slot" in line]
+        assert busy
+        for line in busy:
+            spec = line.split("windowspecdefinition(")[1].split(" ASC")[0].split(" DESC")[0]
+            keys = [part.strip().split("#")[0] for part in spec.split(",")]
+            assert keys[:2] == list(SERIES) and keys[2] in ("_day", "_slot"), line
+
+
 def test_load_brings_one_row_to_the_driver(spark):
     load = series.Load(["symbol"], 3, make_trades(spark), make_quotes(spark))
     assert load._has_busy

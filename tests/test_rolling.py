@@ -1,6 +1,7 @@
 """Rolling statistics against pairing every row with every other."""
 
 import datetime as dt
+import random
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
@@ -97,6 +98,32 @@ def test_range_stats(spark, split_rows):
         assert found[q["event_seq_nb"]] == (len(prices), sum(prices) if prices else None)
 
 
+@pytest.mark.parametrize("minutes", [30, 1441, 4000])
+@pytest.mark.parametrize("ahead", [False, True])
+def test_busy_series_over_many_days(spark, ahead, minutes):
+    """The slots of one day hand over to the next, also where a window spans several days."""
+    rng = random.Random(minutes)
+    start = dt.datetime(2024, 1, 14)
+    rows = []
+    for seq in range(150):
+        at = start + dt.timedelta(days=rng.choice([0, 0, 1, 2, 5, 6]), seconds=rng.randrange(86_400))
+        if rng.random() < 0.4:  # about midnight, and on it
+            at = at.replace(hour=0, minute=0, second=0) + dt.timedelta(seconds=rng.choice([-10, -1, 0, 0, 5, 10]))
+        rows.append(("HOT" if rng.random() < 0.8 else "B", "N", at, seq, Decimal(rng.randrange(1, 999))))
+    trades = spark.createDataFrame(
+        rows,
+        "symbol string, exchange string, event_tm timestamp_ntz, event_seq_nb int, "
+        "trade_pr decimal(24,14)",
+    )
+    span = dt.timedelta(minutes=minutes)
+    low, high = (span * 0, span) if ahead else (-span, span * 0)
+    kept = trades.collect()
+    expected = {r["event_seq_nb"]: mean(in_window(kept, r, SERIES, low, high)) for r in kept}
+    average = leading_avg if ahead else trailing_avg
+    result = average(trades, minutes, keys=SERIES, split_rows=0).collect()
+    assert {r["event_seq_nb"]: r[-1] for r in result} == expected
+
+
 def test_window_ends_are_inclusive(spark):
     trades = spark.createDataFrame(
         [
