@@ -355,6 +355,27 @@ def oracle_sql() -> dict[str, str]:
         "ingest": events,
         "preprocess_trades": trades,
         "preprocess_quotes": quotes,
+        "late_trades": trades,
+        "late_quotes": quotes,
+        "step_counts": _with(
+            enrich_ctes,
+            f"""SELECT step, counted, CAST(n AS BIGINT) AS n FROM (
+                  SELECT 'ingest' AS step, unnest(['lines', 'trades', 'quotes', 'bad']) AS counted,
+                    unnest([COUNT(*), COUNT(*) FILTER (rec_type = 'T'), COUNT(*) FILTER (rec_type = 'Q'),
+                      COUNT(*) FILTER ("partition" = 'B')]) AS n
+                  FROM typed
+                  UNION ALL
+                  SELECT 'preprocess', unnest(['trades_read', 'quotes_read']),
+                    unnest([COUNT(*) FILTER (rec_type = 'T'), COUNT(*) FILTER (rec_type = 'Q')])
+                  FROM typed
+                  UNION ALL
+                  SELECT 'preprocess', unnest(['trades', 'quotes']),
+                    unnest([(SELECT COUNT(*) FROM trades), (SELECT COUNT(*) FROM quotes)])
+                  UNION ALL
+                  SELECT 'enrich', unnest(['enriched', 'with_trade', 'with_close']),
+                    unnest([COUNT(*), COUNT(last_trade_pr), COUNT(bid_pr_mv)])
+                  FROM (SELECT {enriched}))""",
+        ),
         "enrich_quotes": enrich,
         "enrich_quotes_of_day": f"{enrich} WHERE q.trade_dt = CAST('{DATE}' AS DATE)",
     }

@@ -421,6 +421,45 @@ def preprocess_quotes(spark, sf_dir):
     return shown(tw.preprocess(_parsed(spark, sf_dir))[1])
 
 
+def _merged(spark, sf_dir, name):
+    """Two feeds, one after the other: second deliveries come late, into tables already stored."""
+    events = typed_events(spark, sf_dir)
+    is_late = F.col("arrival_tm") > F.col("event_tm") + F.expr("INTERVAL '1' SECOND")
+    feeds = [scratch_path(spark, "events") for _ in range(2)]
+    for path, late in zip(feeds, (False, True)):
+        tw.write_events(events.where(is_late if late else ~is_late), path)
+    target = scratch_path(spark, "tables")
+    tw.run_preprocess(spark, feeds[0], target)
+    tw.run_late_deliveries(spark, feeds[1], target)
+    return f"{target}/{name}"
+
+
+@query
+def late_trades(spark, sf_dir):
+    return shown(tw.read_trades(spark, _merged(spark, sf_dir, "trade")))
+
+
+@query
+def late_quotes(spark, sf_dir):
+    return shown(tw.read_quotes(spark, _merged(spark, sf_dir, "quote")))
+
+
+@query
+def step_counts(spark, sf_dir):
+    """The counts that the steps take while they write."""
+    feed, events, tables, enriched = (
+        scratch_path(spark, name) for name in ("feed", "events", "tables", "enriched")
+    )
+    event_lines(spark, sf_dir).write.text(feed)
+    counts = [
+        ("ingest", tw.run_ingest(spark, feed, events)),
+        ("preprocess", tw.run_preprocess(spark, events, tables)),
+        ("enrich", tw.run_enrich(spark, tables, enriched)),
+    ]
+    rows = [(step, name, n) for step, found in counts for name, n in found.items()]
+    return spark.createDataFrame(rows, "step string, counted string, n long")
+
+
 @query
 def enrich_quotes(spark, sf_dir):
     """Enriched quotes of every day at once, from typed events."""

@@ -2,7 +2,7 @@
 
 from tapewright.plans.enrich import enrich_quotes, run_enrich
 from tapewright.plans.ingest import ingest, run_ingest
-from tapewright.plans.preprocess import preprocess, run_preprocess
+from tapewright.plans.preprocess import preprocess, run_late_deliveries, run_preprocess
 
 __all__ = [
     "enrich_quotes",
@@ -10,5 +10,6 @@ __all__ = [
     "preprocess",
     "run_enrich",
     "run_ingest",
+    "run_late_deliveries",
     "run_preprocess",
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from tapewright.operators.closing import add_moves, closing_price
 from tapewright.operators.rolling import average, entering_and_leaving, rolling_instants
 from tapewright.operators.selection import day_slice, previous_day
 from tapewright.operators.series import SPLIT_ROWS, Load, with_known
+from tapewright.plans.counting import ROWS, Counts
 from tapewright.schema import DAY_SERIES, ENRICHED_SCHEMA, PRICE, QUOTE_VALUES
 from tapewright.sources.tables import read_quotes, read_trades, write_by_day
 
@@ -152,9 +154,23 @@ def run_enrich(
     only_days_present: bool = False,
     minutes: int = 30,
     keep_all_quotes: bool = False,
-) -> None:
-    """Store enriched quotes under ``target`` from the ``trade`` and ``quote`` under ``source``."""
+) -> Mapping[str, int]:
+    """Store enriched quotes under ``target`` from the ``trade`` and ``quote`` under ``source``.
+
+    Returns the number of ``enriched`` quotes, of those ``with_trade`` and of those ``with_close``
+    before them, counted while they are written.
+    """
+    counts = Counts()
     enriched = enrich_quotes(
         read_trades(spark, f"{source}/trade"), read_quotes(spark, f"{source}/quote"), date, minutes, keep_all_quotes
     )
-    write_by_day(enriched, target, files, only_days_present)
+    write_by_day(
+        enriched, target, files, only_days_present,
+        last=lambda df: counts.of(
+            df,
+            enriched=ROWS,
+            with_trade=F.col("last_trade_pr").isNotNull(),
+            with_close=F.col("bid_pr_mv").isNotNull() | F.col("ask_pr_mv").isNotNull(),
+        ),
+    )
+    return counts.taken()
