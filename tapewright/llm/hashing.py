@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-_SEGMENT = 1 << 21
+_SEGMENT = 1 << 17
 _BASE = 0x9E3779B97F4A7C15
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BYTES = np.random.default_rng(20_240).integers(1, 1 << 63, 256, dtype=np.uint64)
