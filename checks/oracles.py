@@ -389,4 +389,9 @@ def oracle_sql() -> dict[str, str]:
         "asof_last_trade_all_quotes",
         "enrich_quotes",
     )
-    return found | {f"{name}_busy": found[name] for name in busy}
+    ranged = ("asof_last_trade", "asof_last_trade_all_quotes", "enrich_quotes")
+    return (
+        found
+        | {f"{name}_busy": found[name] for name in busy}
+        | {f"{name}_ranged": found[name] for name in ranged}
+    )

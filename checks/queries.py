@@ -381,6 +381,27 @@ def enrich_quotes_busy(spark, sf_dir):
     return shown(tw.enrich_quotes(trades, quotes, split_rows=30))
 
 
+# The same through many time ranges, as for tables of any size
+
+
+@query
+def asof_last_trade_ranged(spark, sf_dir):
+    quotes, trades = quotes_of(spark, sf_dir), trades_of(spark, sf_dir)
+    return shown(tw.asof_last_trade(quotes, trades, range_rows=500))
+
+
+@query
+def asof_last_trade_all_quotes_ranged(spark, sf_dir):
+    quotes, trades = quotes_of(spark, sf_dir), trades_of(spark, sf_dir)
+    return shown(tw.asof_last_trade(quotes, trades, keep_all_quotes=True, range_rows=500))
+
+
+@query
+def enrich_quotes_ranged(spark, sf_dir):
+    quotes, trades = quotes_of(spark, sf_dir), trades_of(spark, sf_dir)
+    return shown(tw.enrich_quotes(trades, quotes, range_rows=500))
+
+
 # Job history
 
 

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tapewright.functions.timegrid import micros
+
 _BELOW_INT = 2_147_483_649
 
 
@@ -36,11 +38,15 @@ def sequence_order(values: Sequence[str], sequence: str = "event_seq_nb") -> Col
     return F.shiftleft(number, 30).bitwiseOR(settled)
 
 
+def moment_order(time: str, order: Column) -> Column:
+    """By time, an unknown one first, then by ``order``, a number of :func:`sequence_order`."""
+    at = F.coalesce((micros(time) + 1).cast("decimal(18,0)"), F.lit(0).cast("decimal(18,0)"))
+    later = F.lit(1 << 62).cast("decimal(19,0)")
+    return ((at * later).cast("decimal(37,0)") + order.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def instant_order(time: str, values: Sequence[str], sequence: str = "event_seq_nb") -> Column:
     """By time, an unknown one first, then by sequence number; ties are settled by the values."""
-    micros = F.expr(
-        f"(`{time}` - TIMESTAMP_NTZ'0001-01-01 00:00:00') DIV INTERVAL '0.000001' SECOND"
-    )
-    at = F.coalesce((micros + 1).cast("decimal(18,0)"), F.lit(0).cast("decimal(18,0)"))
+    at = F.coalesce((micros(time) + 1).cast("decimal(18,0)"), F.lit(0).cast("decimal(18,0)"))
     moment = (_shifted(at, 10) + _sequence(sequence)).cast("decimal(28,0)")
     return (_shifted(moment, 10).cast("decimal(38,0)") + _settled(values, 10)).cast("decimal(38,0)")

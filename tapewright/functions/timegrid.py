@@ -28,6 +28,11 @@ def time_slot(time: str, width: int = SLOT_SECONDS) -> Column:
     return F.expr(f"(`{time}` - {_ORIGIN}) DIV INTERVAL '{int(width)}' SECOND")
 
 
+def micros(time: str) -> Column:
+    """``time`` (a column name) in microseconds since the year 1."""
+    return F.expr(f"(`{time}` - {_ORIGIN}) DIV INTERVAL '0.000001' SECOND")
+
+
 def exact_mean(total: Column, count: Column, value_type: DataType) -> Column:
     """Mean with the result type AVG gives for ``value_type``, null where the count is zero."""
     if isinstance(value_type, DecimalType):

@@ -1,8 +1,10 @@
 """As-of join: the last trade strictly before each quote.
 
 Quotes and trades are put in one time order and the last trade seen is carried forward, so there
-is no join and no pair of rows. A busy series is split into time slots; each slot that has quotes
-then starts from the last trade of the slots before it, found over one row per slot.
+is no join and no pair of rows. Time is cut into ranges of about equal numbers of rows; where a
+series has quotes in a range, it starts there from its last trade in the ranges before, found over
+one row for each series and range. Series that are known to be busy can be split into time slots
+in the same way.
 """
 
 from __future__ import annotations
@@ -12,9 +14,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapewright.functions.order import sequence_order
+from tapewright.functions.order import moment_order, sequence_order
 from tapewright.functions.timegrid import time_slot
-from tapewright.operators.series import SPLIT_ROWS, Load, with_known
+from tapewright.operators.ranges import RANGE, RANGE_ROWS, Ranges, openings
+from tapewright.operators.series import Load, with_known
 from tapewright.schema import DAY_SERIES, QUOTE_VALUES
 
 # Order of rows at one instant. A trade at the quote's own instant comes after the quote.
@@ -137,15 +140,24 @@ def carry_last(
     )
 
 
-def _within_series(
+def in_ranges(
     quotes: DataFrame,
     trades: DataFrame,
     keys: Sequence[str],
     values: Mapping[str, str],
     keep_all_quotes: bool,
+    ranges: Ranges,
+    settled_by: Sequence[str] | None = None,
+    opening: DataFrame | None = None,
 ) -> DataFrame:
-    """The same for whole rows, one task per series."""
+    """Quotes plus the values of the last trade strictly before each, one task per cell of ``ranges``.
+
+    Keys are known. ``settled_by`` lists the values that settle trades at one instant and number
+    (default: all). ``opening`` (keys and further columns, one row for each keys) is attached to
+    every quote of the same keys, as if it came first.
+    """
     payload = F.struct(*[F.col(v).alias(out) for v, out in values.items()])
+    attached = [c for c in opening.columns if c not in keys] if opening is not None else []
     carried = [c for c in QUOTE_VALUES if c in quotes.columns]
     asking = quotes.withColumns({"_step": F.lit(QUOTED), "_order": sequence_order(carried)})
     rows = asking.unionByName(
@@ -153,24 +165,50 @@ def _within_series(
             *keys,
             "event_tm",
             F.lit(TRADED).alias("_step"),
-            sequence_order(list(values)).alias("_order"),
+            sequence_order(list(settled_by or values)).alias("_order"),
             payload.alias("_trade"),
         ),
         allowMissingColumns=True,
-    )
-    order = ("_step", "_order")
-    chosen = F.lit(True) if keep_all_quotes else last_of_instant(keys, *order)
+    ).withColumn(RANGE, ranges.of())
+    lasts = ["_trade"]
+    firsts = None
+    if opening is not None:
+        lasts.append("_opening")
+        firsts = opening.select(*keys, F.struct(*attached).alias("_opening"))
+    if ranges.starts:
+        # of a cell: whether there are quotes, and its last trade
+        moment = F.when(F.col("_step") == TRADED, moment_order("event_tm", F.col("_order")))
+        cells = rows.groupBy(*keys, RANGE).agg(
+            F.max(F.col("_step") == QUOTED).alias("asked"),
+            F.count(moment).alias("n"),
+            *[F.max_by(F.col("_trade").getField(x), moment).alias(x) for x in values.values()],
+        )
+        cells = cells.select(
+            *keys, RANGE, "asked", F.when(F.col("n") > 0, F.struct(*values.values())).alias("_trade")
+        )
+        if firsts is not None:
+            before = firsts.withColumns({RANGE: F.lit(-1), "asked": F.lit(False)})
+            cells = cells.unionByName(before, allowMissingColumns=True)
+        opened = openings(cells, keys, lasts=lasts)
+    else:
+        opened = None if firsts is None else firsts.withColumn(RANGE, F.lit(0))
+    if opened is not None:
+        rows = rows.unionByName(opened.withColumn("_step", F.lit(CARRIED)), allowMissingColumns=True)
+    cell, order = [*keys, RANGE], ("_step", "_order")
+    so_far = time_order(cell, *order)
+    chosen = F.lit(True) if keep_all_quotes else last_of_instant(cell, *order)
     return (
         rows.select(
             *quotes.columns,
             "_step",
-            F.last("_trade", ignorenulls=True).over(time_order(keys, *order)).alias("_trade"),
+            *[F.last(c, ignorenulls=True).over(so_far).alias(c) for c in lasts if c in rows.columns],
             chosen.alias("_chosen"),
         )
         .filter((F.col("_step") == QUOTED) & F.col("_chosen"))
         .select(
             *quotes.columns,
             *[F.col("_trade").getField(out).alias(out) for out in values.values()],
+            *[F.col("_opening").getField(c).alias(c) for c in attached],
         )
     )
 
@@ -181,19 +219,23 @@ def asof_last_trade(
     keys: Sequence[str] = DAY_SERIES,
     values: Mapping[str, str] | None = None,
     keep_all_quotes: bool = False,
-    split_rows: int = SPLIT_ROWS,
+    split_rows: int | None = None,
     load: Load | None = None,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """As-of left join of quotes to the last trade strictly before them.
 
     ``values`` maps trade columns to output names; by default the price, and the trailing average
     where the trades have it. Trades at one instant are settled by the greatest sequence number,
-    an unknown one being the smallest, and then by their values. ``load`` (of ``keys``) is measured
-    if it is not given. Quotes without an earlier trade, or with a null key, are kept with nulls.
+    an unknown one being the smallest, and then by their values. Quotes without an earlier trade, or with a null key, are kept with nulls.
 
     Quotes at one instant of a series become one row, the one with the greatest sequence number,
     with its key, time, sequence number, prices and sizes. With ``keep_all_quotes`` every quote
     stays, with all its columns.
+
+    Series are followed through time ranges of about ``range_rows`` rows, so that none is too large
+    for its task. With ``split_rows`` or a ``load`` of ``keys``, the series that are busy by these
+    are worked on in time slots instead, and the others whole.
     """
     if values is None:
         usual = {"trade_pr": "last_trade_pr", "mov_avg_trade_pr": "last_mov_avg_pr"}
@@ -202,12 +244,15 @@ def asof_last_trade(
     if not keep_all_quotes:
         quotes = quotes.select(*keys, "event_tm", "event_seq_nb", *carried)
     trades = with_known(trades, ["event_tm"])
+    ranges = Ranges()
+    if load is None and split_rows is None:
+        ranges, load = Ranges.measured(quotes, trades, rows=range_rows), Load.light(keys)
     load = load or Load(keys, split_rows, quotes, trades)
     at = [*keys, "event_tm"]
     columns = [*quotes.columns, *values.values()]
 
     def ordinary(quotes: DataFrame, trades: DataFrame) -> DataFrame:
-        return _within_series(quotes, trades, keys, values, keep_all_quotes).select(*columns)
+        return in_ranges(quotes, trades, keys, values, keep_all_quotes, ranges).select(*columns)
 
     def busy(quotes: DataFrame, trades: DataFrame) -> DataFrame:
         instants = one_per_instant(trades, keys, list(values))

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType
 
 from tapewright.functions.timegrid import DAY_SECONDS, SLOT_SECONDS, exact_mean, seconds, time_slot
+from tapewright.operators.ranges import RANGE, Ranges, openings
 from tapewright.operators.series import SPLIT_ROWS, Load, with_known
 from tapewright.schema import DAY_SERIES, SERIES
 
@@ -115,6 +116,50 @@ def _within_series(
     ).filter(F.col("_step") == asking)
 
 
+def rolling_in_ranges(
+    facts: DataFrame,
+    value: str,
+    keys: Sequence[str],
+    ranges: Ranges,
+    time: str = "event_tm",
+    minutes: int = 30,
+) -> DataFrame:
+    """The facts plus ``_n`` and ``_total``, one task per cell of ``ranges``; keys are known.
+
+    The running sum of a cell starts from the sum over the ranges before it: all that has entered
+    there and not yet left.
+    """
+    _require_exact(facts, value)
+    known = F.col(time).isNotNull() & F.col(value).isNotNull()
+    rows = entering_and_leaving(
+        facts,
+        F.when(known, 1).otherwise(0),
+        F.when(known, F.col(value)),
+        keys,
+        time,
+        seconds(int(minutes) * 60),
+    ).withColumn(RANGE, ranges.of(time))
+    if ranges.starts:
+        cells = rows.groupBy(*keys, RANGE).agg(
+            F.max(F.col("_step") == _ENTER).alias("asked"),
+            F.sum("_n").alias("_n"),
+            F.sum("_total").cast(rows.schema["_total"].dataType).alias("_total"),
+        )
+        opened = openings(cells, keys, sums=["_n", "_total"])
+        rows = rows.unionByName(opened.withColumn("_step", F.lit(_BASE)), allowMissingColumns=True)
+    so_far = (
+        Window.partitionBy(*keys, RANGE)
+        .orderBy(F.asc_nulls_first(time), "_step")
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return rows.select(
+        *facts.columns,
+        "_step",
+        F.coalesce(F.sum("_n").over(so_far), F.lit(0)).alias("_n"),
+        F.sum("_total").over(so_far).alias("_total"),
+    ).filter(F.col("_step") == _ENTER).drop("_step")
+
+
 def rolling_instants(
     facts: DataFrame,
     value: str,

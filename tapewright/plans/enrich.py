@@ -16,14 +16,21 @@ from tapewright.operators.asof import (
     QUOTED,
     TRADED,
     carry_last,
+    in_ranges,
     last_of_instant,
     one_per_instant,
     time_order,
 )
 from tapewright.operators.closing import add_moves, closing_price
-from tapewright.operators.rolling import average, entering_and_leaving, rolling_instants
+from tapewright.operators.rolling import (
+    average,
+    entering_and_leaving,
+    rolling_in_ranges,
+    rolling_instants,
+)
+from tapewright.operators.ranges import RANGE_ROWS, Ranges
 from tapewright.operators.selection import day_slice, previous_day
-from tapewright.operators.series import SPLIT_ROWS, Load, with_known
+from tapewright.operators.series import Load, with_known
 from tapewright.plans.counting import ROWS, Counts
 from tapewright.schema import DAY_SERIES, ENRICHED_SCHEMA, PRICE, QUOTE_VALUES
 from tapewright.sources.tables import read_quotes, read_trades, write_by_day
@@ -79,6 +86,25 @@ def _ordinary(
     )
 
 
+def _in_ranges(
+    quotes: DataFrame,
+    trades: DataFrame,
+    close: DataFrame,
+    minutes: int,
+    keep_all_quotes: bool,
+    ranges: Ranges,
+) -> DataFrame:
+    """The same by time ranges: averages at the trades first, which the quotes then look up."""
+    own = trades.select(*_AT, "event_seq_nb", "trade_pr")
+    averaged = rolling_in_ranges(own, "trade_pr", DAY_SERIES, ranges, minutes=minutes).withColumn(
+        "mov_avg_trade_pr", average(PRICE)
+    )
+    found = in_ranges(
+        quotes, averaged, DAY_SERIES, _LAST_TRADE, keep_all_quotes, ranges, ["trade_pr"], close
+    )
+    return found.select(*_ENRICHED)
+
+
 def _busy(
     quotes: DataFrame, trades: DataFrame, close: DataFrame, minutes: int, keep_all_quotes: bool
 ) -> DataFrame:
@@ -109,16 +135,19 @@ def enrich_quotes(
     date: str | dt.date | None = None,
     minutes: int = 30,
     keep_all_quotes: bool = False,
-    split_rows: int = SPLIT_ROWS,
+    split_rows: int | None = None,
     load: Load | None = None,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Enriched quotes of ``date``, or of every day at once where no date is given.
 
     Trades and quotes are taken as deduplicated. The last trade and its average never cross
     midnight; the close is that of the calendar day before (also for a quote without a time). Quotes at one instant of a series
-    become one row unless ``keep_all_quotes``. No step joins the quotes of an ordinary series to
-    anything: last trade, average and close are all carried forward in time order. ``load`` (of
-    trading day, symbol and exchange) is measured if it is not given.
+    become one row unless ``keep_all_quotes``. No step joins the quotes to anything: last trade,
+    average and close are all carried forward in time order. Tables of more than ``range_rows`` rows
+    are followed through time ranges of about that many, so that no series is too large for its
+    task. With ``split_rows`` or a ``load`` (of trading day, symbol and exchange), the series that
+    are busy by these are worked on in time slots instead, and the others whole.
     """
     closing_trades = trades
     if date is not None:
@@ -131,6 +160,8 @@ def enrich_quotes(
     quotes = quotes.select(*_AT, "event_seq_nb", *QUOTE_VALUES)
 
     def ordinary(quotes: DataFrame, trades: DataFrame) -> DataFrame:
+        if ranges.starts:
+            return _in_ranges(quotes, trades, close, minutes, keep_all_quotes, ranges)
         return _ordinary(quotes, trades, close, minutes, keep_all_quotes)
 
     def busy(quotes: DataFrame, trades: DataFrame) -> DataFrame:
@@ -140,6 +171,9 @@ def enrich_quotes(
         return quotes if keep_all_quotes else one_per_instant(quotes, DAY_SERIES, QUOTE_VALUES)
 
     trades = with_known(trades, ["event_tm"])
+    ranges = Ranges()
+    if load is None and split_rows is None:
+        ranges, load = Ranges.measured(quotes, trades, rows=range_rows), Load.light(DAY_SERIES)
     load = load or Load(DAY_SERIES, split_rows, quotes, trades)
     joined = load.apply([quotes, trades], ordinary, busy, unknown)
     return add_moves(joined).select(*ENRICHED_SCHEMA.names)

@@ -17,9 +17,15 @@ from tapewright import (
     range_stats,
     trailing_avg,
 )
+from tapewright.functions.timegrid import micros
+from tapewright.operators.ranges import Ranges
 from tapewright.schema import DAY_SERIES, ENRICHED_SCHEMA, QUOTE_SCHEMA, SERIES, TRADE_SCHEMA
 
 
+# Time slots for busy series, or time ranges: many small ones, some, and one.
+WAYS = [*({"split_rows": n} for n in SPLITS), {"range_rows": 1}, {"range_rows": 40}, {}]
+
+
 def last_before(trades, quote, keys=DAY_SERIES):
     earlier = [
         t
@@ -42,14 +48,12 @@ def kept_quotes(quotes, keep_all):
     return list(best.values())
 
 
-@pytest.mark.parametrize("split_rows", SPLITS)
+@pytest.mark.parametrize("way", WAYS, ids=str)
 @pytest.mark.parametrize("keep_all", [False, True])
 @pytest.mark.parametrize("seed", [1, 6])
-def test_asof(spark, seed, keep_all, split_rows):
+def test_asof(spark, seed, keep_all, way):
     quotes, trades = make_quotes(spark, seed), make_trades(spark, seed + 1)
-    result = asof_last_trade(
-        quotes, trades, keep_all_quotes=keep_all, split_rows=split_rows
-    ).collect()
+    result = asof_last_trade(quotes, trades, keep_all_quotes=keep_all, **way).collect()
     rows = trades.collect()
     expected = sorted(
         (q["event_seq_nb"], q["bid_pr"], getattr(last_before(rows, q), "trade_pr", None))
@@ -71,8 +75,8 @@ def test_null_value_of_the_last_trade_is_not_skipped(spark):
         [("A", "N", at(2), 8), ("A", "N", at(3), 9)],
         "symbol string, exchange string, event_tm timestamp_ntz, event_seq_nb int",
     )
-    for split_rows in SPLITS:
-        rows = asof_last_trade(quotes, trades, SERIES, split_rows=split_rows).collect()
+    for way in WAYS:
+        rows = asof_last_trade(quotes, trades, SERIES, **way).collect()
         assert {r["event_seq_nb"]: r["last_trade_pr"] for r in rows} == {8: Decimal(5), 9: None}
 
 
@@ -99,13 +103,11 @@ def brute_enrich(quotes, trades, keep_all):
         )
 
 
-@pytest.mark.parametrize("split_rows", SPLITS)
+@pytest.mark.parametrize("way", WAYS, ids=str)
 @pytest.mark.parametrize("keep_all", [False, True])
-def test_enrich(spark, keep_all, split_rows):
+def test_enrich(spark, keep_all, way):
     quotes, trades = make_quotes(spark, 11), make_trades(spark, 12)
-    result = enrich_quotes(
-        trades, quotes, keep_all_quotes=keep_all, split_rows=split_rows
-    )
+    result = enrich_quotes(trades, quotes, keep_all_quotes=keep_all, **way)
     assert result.schema.simpleString() == ENRICHED_SCHEMA.simpleString()
     columns = (
         "event_seq_nb",
@@ -127,19 +129,49 @@ def test_ordinary_and_busy_series_agree(spark, seed):
     """Null prices, and null and equal sequence numbers, give the same rows on either branch."""
     trades = make_trades(spark, seed, untidy=True)
     quotes = make_quotes(spark, seed + 20, untidy=True)
-    for run in (
-        lambda n: trailing_avg(trades, split_rows=n),
-        lambda n: leading_avg(trades, split_rows=n),
-        lambda n: range_stats(quotes, trades, "trade_pr", split_rows=n),
-        lambda n: asof_last_trade(quotes, trailing_avg(trades), split_rows=n),
-        lambda n: asof_last_trade(quotes, trades, keep_all_quotes=True, split_rows=n),
-        lambda n: enrich_quotes(trades, quotes, split_rows=n),
-        lambda n: enrich_quotes(trades, quotes, keep_all_quotes=True, split_rows=n),
+    slots, ways = WAYS[: len(SPLITS)], WAYS
+    for run, others in (
+        (lambda way: trailing_avg(trades, **way), slots),
+        (lambda way: leading_avg(trades, **way), slots),
+        (lambda way: range_stats(quotes, trades, "trade_pr", **way), slots),
+        (lambda way: asof_last_trade(quotes, trailing_avg(trades), **way), ways),
+        (lambda way: asof_last_trade(quotes, trades, keep_all_quotes=True, **way), ways),
+        (lambda way: enrich_quotes(trades, quotes, **way), ways),
+        (lambda way: enrich_quotes(trades, quotes, keep_all_quotes=True, **way), ways),
     ):
-        ordinary = Counter(run(SPLITS[0]).collect())
+        ordinary = Counter(run(others[0]).collect())
         assert ordinary
-        for split_rows in SPLITS[1:]:
-            assert Counter(run(split_rows).collect()) == ordinary
+        for way in others[1:]:
+            assert Counter(run(way).collect()) == ordinary
+
+
+def test_ranges(spark):
+    quotes, trades = make_quotes(spark, 1), make_trades(spark, 2)
+    ranges = Ranges.measured(quotes, trades, rows=30)
+    assert 3 < len(ranges.starts) < 8
+    known = quotes.dropna(subset=["event_tm"])
+    placed = quotes.select("event_tm", micros("event_tm").alias("at"), ranges.of().alias("range")).collect()
+    for row in placed:
+        expected = 0 if row["at"] is None else sum(start <= row["at"] for start in ranges.starts)
+        assert row["range"] == expected
+    assert Ranges.measured(quotes, trades).starts == []
+    assert Ranges.measured(known.limit(0)).starts == []
+
+
+def test_a_hot_series_is_spread_over_ranges(spark):
+    """No window is partitioned by series keys alone, but that over one row for each cell."""
+    trades, quotes = make_trades(spark, 2), make_quotes(spark, 1)
+    for result in (
+        asof_last_trade(quotes, trades, range_rows=10),
+        enrich_quotes(trades, quotes, range_rows=10),
+    ):
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert "_range" in plan and "Python" not in plan and "Join" not in plan
+        windows = [line for line in plan.splitlines() if "+- Window " in line or ":- Window " in line]
+        for line in windows:
+            spec = line.split("windowspecdefinition(")[1].split(" ASC")[0]
+            keys = [part.strip().split("#")[0] for part in spec.split(",")]
+            assert "_range" in keys, line
 
 
 def test_null_prices_and_sequence_numbers(spark):
@@ -159,8 +191,8 @@ def test_null_prices_and_sequence_numbers(spark):
     quotes = spark.createDataFrame(
         [quote(at + 3 * minute, None, 5, "A"), quote(at + 3 * minute, None, 6, "B")], QUOTE_SCHEMA
     )
-    for split_rows in SPLITS:
-        rows = enrich_quotes(trades, quotes, split_rows=split_rows).collect()
+    for way in WAYS:
+        rows = enrich_quotes(trades, quotes, **way).collect()
         found = {r["symbol"]: (r["bid_pr"], r["last_trade_pr"], r["last_mov_avg_pr"]) for r in rows}
         assert found == {"A": (5, 200, 400), "B": (6, 7, 7)}
 
@@ -199,8 +231,8 @@ def test_rules_of_enrichment(spark):
         ],
         QUOTE_SCHEMA,
     )
-    for split_rows in SPLITS:
-        rows = enrich_quotes(trades, quotes, "2024-01-15", split_rows=split_rows).collect()
+    for way in WAYS:
+        rows = enrich_quotes(trades, quotes, "2024-01-15", **way).collect()
         found = {
             r["event_seq_nb"]: (r["last_trade_pr"], r["last_mov_avg_pr"], r["bid_pr_mv"])
             for r in rows
