@@ -3,15 +3,19 @@
 The model is that of word pairs: at each place of a text, the count of the pair (word before, word)
 in the corpus over that of the word before; where the corpus lacks the pair, BACKOFF times the share
 of the word among all words. A mark stands before the first word. The score of a document is the
-mean logarithm over its words.
-
-Counts are tables spread by a hash: a pair goes to the bucket of the word before, which holds that
-word's count too, and the documents' own pairs come to the same bucket and meet them there. What a
-bucket finds is summed for each document. Words and pairs are known by 64-bit hashes.
-
-Frequent words and pairs would bring a large part of all rows to one bucket. Those with at least one
-in HOT of all places are hot; there are no more than HOT of each. Their counts are broadcast: a hot
-pair is scored where its text is read, and a pair after a hot word is spread by its own hash.
+mean logarithm over its words. Where the documents are the corpus themselves, every text is scored
+by the counts of all others: its own places are taken off each count. A pair that no other text has
+is thus backed off from, however often its own text repeats it.
+
+Counts are tables spread by a hash. The distinct pairs of each text go to the bucket of their hash,
+where the pair's count is known, together with what the score is if the pair is found and if it is
+not. For that the words' own counts must be known: the most frequent KNOWN_WORDS are broadcast, and
+a pair with a rarer word carries the word along; what the bucket then still needs is joined to the
+table of word counts. What is found is summed for each document.
+
+A frequent pair would bring a row of each text to one bucket. Pairs with at least one in HOT of all
+places are hot; there are no more than HOT of them. Their counts are broadcast too, and they are
+scored where their text is read.
 """
 
 from __future__ import annotations
@@ -24,15 +28,18 @@ from pyspark.sql import functions as F
 from tapewright.llm.columns import bounded_batches, col
 from tapewright.llm.decontaminate import words
 from tapewright.llm.hashing import mixed, word_hashes
+from tapewright.session import scratch_path
 
 BACKOFF = 0.4
 UNKNOWN = 0.5  # what a word counts that the corpus does not have
 HOT = 4_000
 # Logarithms are whole numbers of this part, so that sums do not depend on their order.
 UNITS = 1 << 20
-BUCKET_BYTES = 12 << 20  # text whose pairs meet in one bucket, on average
+BUCKET_BYTES = 32 << 20  # text whose pairs meet in one bucket, on average
+SLICES = 8  # of a bucket's pairs, counted one after the other
+KNOWN_WORDS = 1 << 20  # words whose counts are broadcast, at most
 BLOCK_WORDS = 1 << 20
-START, END = np.uint64(0x5157A27), np.uint64(0xE4D)
+START = np.uint64(0x5157A27)
 
 
 def units(counts: np.ndarray) -> np.ndarray:
@@ -114,9 +121,27 @@ def _collected(rows: DataFrame) -> Counts:
     )
 
 
-def hot_counts(corpus: DataFrame, counted: DataFrame, total: int, hot: int):
-    """Hot words (and the mark) and hot pairs with their counts; at most HOT + 1 and HOT rows."""
-    least = max(1, -(-total // hot))
+def known_words(counted: DataFrame, most: int, always: int) -> tuple[Counts, bool]:
+    """The most frequent words, ``most`` at most, and whether these are all.
+
+    The mark and words that occur ``always`` times are among them in any case.
+    """
+    step = F.floor(F.log2(F.col("n").cast("double")) * 16).cast("int")
+    # some hundred rows: how many words there are for each size of count
+    sizes = counted.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()
+    held, least = 0, None
+    for row in sorted(sizes, key=lambda r: -r["step"]):
+        if held + row["n"] > most:
+            break
+        held, least = held + row["n"], row["step"]
+    mark = F.lit(int(START.view(np.int64)))
+    enough = F.lit(False) if least is None else step >= least
+    found = _collected(counted.where(enough | (F.col("n") >= always) | (F.col("h") == mark)))
+    return found, held == sum(r["n"] for r in sizes)
+
+
+def hot_pairs(corpus: DataFrame, counted: DataFrame, least: int) -> Counts:
+    """Pairs that occur ``least`` times, with their counts."""
     mark = F.lit(int(START.view(np.int64)))
     often = _collected(counted.where((F.col("n") >= least) | (F.col("h") == mark)))
     shared = corpus.sparkSession.sparkContext.broadcast(often)
@@ -130,186 +155,207 @@ def hot_counts(corpus: DataFrame, counted: DataFrame, total: int, hot: int):
 
     # a pair is no more frequent than its words, so hot pairs are made of hot words
     pairs = corpus.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    return often, _collected(pairs.where(F.col("n") >= least))
+    return _collected(pairs.where(F.col("n") >= least))
 
 
 _ROWS = (
-    "bucket int, kind int, ids binary, per binary, pairs binary, befores binary, lasts binary, "
-    "n binary"
+    "bucket int, kind int, ids binary, per binary, pairs binary, n binary, value binary, "
+    "befores binary, lasts binary, more binary"
 )
-# kinds of rows: counts of the corpus; pairs of documents; sums that need no bucket
-_CORPUS, _ASK, _DONE = 0, 1, 2
-_FOUND = "doc_id long, n_words long, units long, n_last long, last long"
+# kinds of rows: counts of the corpus; pairs of known words; pairs with a rare word; sums that need
+# no bucket
+_CORPUS, _EASY, _HARD, _DONE = 0, 1, 2, 3
+_FOUND = "doc_id long, n_words long, units long, key long, own long, times long"
+_BACK = int(np.round(np.log(BACKOFF) * UNITS))
+_NEVER = int(np.round(np.log(UNKNOWN) * UNITS))
+
+
+def _units_or_never(counts: np.ndarray) -> np.ndarray:
+    return np.where(counts > 0, units(np.maximum(counts, 1)), _NEVER)
+
+
+def _in_own_text(owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """How often each hash occurs in its own text."""
+    order = np.lexsort((hashes, owner))
+    new = np.ones(len(order), bool)
+    new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (owner[order][1:] != owner[order][:-1])
+    run = np.cumsum(new) - 1
+    out = np.empty(len(order), np.int64)
+    out[order] = np.bincount(run)[run] if len(order) else 0
+    return out
 
 
-def _dealt(docs, asks: bool, counts: bool, often, pairs, buckets: int) -> DataFrame:
-    """What each block of documents sends to each bucket.
+def _dealt(docs: DataFrame, asks: bool, counts: bool, shared, total: int, buckets: int) -> DataFrame:
+    """What each block of texts sends to each bucket.
 
-    With ``asks`` the documents' pairs come to be scored, with ``counts`` they are counted. With
-    both, every pair is known to be found, so what is owed to hot words is settled at once.
+    With ``asks`` the texts' pairs come to be scored, with ``counts`` they are counted; with both,
+    each text's own places are taken off.
     """
     same = asks and counts
-    context = docs.sparkSession.sparkContext
-    shared = context.broadcast((often, pairs))
+    fields = [x.split() for x in _ROWS.split(", ")]
 
     def run(batches):
-        hot_words, hot_pairs = shared.value
-        none = np.zeros(0, np.uint64)
+        known, complete, hot = shared.value
         for ids, sizes, hashes in _text_blocks(batches):
+            rows: list[dict] = []
             before = _before(sizes, hashes)
             owner = np.repeat(np.arange(len(ids)), sizes)
             grams = pair(before, hashes)
-            rows: list[tuple] = []
-
-            def put(bucket, kind, names=(), per=(), grams=none, befores=none, lasts=none, n=(), rows=rows):
-                rows.append(
-                    (
-                        bucket,
-                        kind,
-                        np.asarray(names, np.int64).tobytes(),
-                        np.asarray(per, np.int64).tobytes(),
-                        grams.tobytes(),
-                        befores.tobytes(),
-                        lasts.tobytes(),
-                        np.asarray(n, np.int32).tobytes(),
-                    )
-                )
-
-            of_before = hot_words.of(before)
-            of_pair = hot_pairs.of(grams)
-            is_hot = of_pair > 0
-            cold = of_before == 0
-            route = np.where(cold, mixed(before), grams)
-            bucket = ((route >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             named = np.array([i is not None for i in ids], bool)
             names = np.array([i if i is not None else 0 for i in ids], np.int64)
+            # distinct pairs of each text, with their number
+            order = np.lexsort((grams, owner))
+            new = np.ones(len(order), bool)
+            new[1:] = (grams[order][1:] != grams[order][:-1]) | (owner[order][1:] != owner[order][:-1])
+            times = np.diff(np.append(np.flatnonzero(new), len(order)))
+            order = order[new]
+            g, who = grams[order], owner[order]
+            bucket = ((g >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            of_pair = hot.of(g)
+
+            def deal(kind, some, columns, g=g, who=who, times=times, bucket=bucket, rows=rows, names=names):
+                """The pairs ``some``, by bucket and then text, with ``columns`` beside them."""
+                at = some[np.argsort(bucket[some], kind="stable")]
+                edges = np.searchsorted(bucket[at], np.arange(buckets + 1))
+                for b in np.flatnonzero(np.diff(edges)).tolist():
+                    own = at[edges[b] : edges[b + 1]]
+                    row = {"bucket": b, "kind": kind, "pairs": g[own], "n": times[own].astype(np.int32)}
+                    if kind != _CORPUS:
+                        per = np.bincount(who[own])
+                        texts = np.flatnonzero(per)
+                        row |= {"ids": names[texts], "per": per[texts].astype(np.int32)}
+                    rows.append(row | {name: x[own] for name, x in columns.items()})
+
             if counts:
-                ends = (np.cumsum(sizes) - 1)[sizes > 0]
-                last = hashes[ends]
-                last = last[hot_words.of(last) == 0]
-                rest = ~is_hot if not same else ~is_hot & ~named[owner]
-                g = np.concatenate([grams[rest], pair(last, np.full_like(last, END))])
-                w = np.concatenate([before[rest], last])
-                if len(g):
-                    g, first, n = np.unique(g, return_index=True, return_counts=True)
-                    w = w[first]
-                    at = np.where(hot_words.of(w) == 0, mixed(w), g)
-                    at = ((at >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-                    order = np.argsort(at, kind="stable")
-                    edges = np.searchsorted(at[order], np.arange(buckets + 1))
-                    for b in np.flatnonzero(np.diff(edges)).tolist():
-                        own = order[edges[b] : edges[b + 1]]
-                        put(b, _CORPUS, grams=g[own], befores=w[own], n=n[own])
+                silent = (of_pair == 0) & ~named[who] if same else of_pair == 0
+                deal(_CORPUS, np.flatnonzero(silent), {})
             if asks:
+                of_word = known.of(hashes)
+                own_word = _in_own_text(owner, hashes) if same else np.zeros(len(hashes), np.int64)
+                firsts = (np.cumsum(sizes) - sizes)[sizes > 0]
+                of_before, own_before = np.empty_like(of_word), np.empty_like(own_word)
+                of_before[1:], own_before[1:] = of_word[:-1], own_word[:-1]
+                of_before[firsts] = known.of(np.array([START]))[0]
+                own_before[firsts] = int(same)
+                rest = np.maximum(total - (sizes if same else np.zeros_like(sizes)), 1)
+                # of the distinct pairs: the score if the pair is found, without its own count, and
+                # if it is not; without the parts of words that are not known here
+                w_known = (of_word[order] > 0) | complete
+                v_known = (of_before[order] > 0) | complete
+                left = of_before[order] - own_before[order]
+                base = np.where(v_known & (left > 0), -units(np.maximum(left, 1)), 0)
+                fall = _BACK - units(rest)[who]
+                fall += np.where(w_known, _units_or_never(of_word[order] - own_word[order]), 0)
                 sums = np.zeros(len(ids), np.int64)
-                now = is_hot
-                np.add.at(sums, owner[now], units(of_pair[now]) - units(of_before[now]))
-                if same:
-                    now = ~is_hot & ~cold
-                    np.subtract.at(sums, owner[now], units(of_before[now]))
-                who = np.flatnonzero(named)
-                put(int(names[0] % buckets), _DONE, names[who], sizes[who], n=(), lasts=sums[who].view(np.uint64))
-                for is_cold in (True, False):
-                    mine = np.flatnonzero(~is_hot & (cold == is_cold) & named[owner])
-                    if not len(mine):
-                        continue
-                    # by bucket, then document, then pair: equal ones become one with a number
-                    order = mine[np.lexsort((grams[mine], owner[mine], bucket[mine]))]
-                    new = np.ones(len(order), bool)
-                    new[1:] = (grams[order][1:] != grams[order][:-1]) | (
-                        owner[order][1:] != owner[order][:-1]
+                is_hot = of_pair > 0
+                others = of_pair - (times if same else 0)
+                settled = np.where(others > 0, base + units(np.maximum(others, 1)), fall)
+                np.add.at(sums, who[is_hot], (times * settled)[is_hot])
+                asked = ~is_hot & named[who]
+                easy = asked & w_known & v_known
+                # as if not found; the bucket adds the difference where it is
+                np.add.at(sums, who[easy], (times * fall)[easy])
+                deal(_EASY, np.flatnonzero(easy), {"value": (base - fall).astype(np.int32)})
+                zero = np.uint64(0)
+                deal(
+                    _HARD,
+                    np.flatnonzero(asked & ~easy),
+                    {
+                        "value": np.stack([base, fall], axis=1).astype(np.int32),
+                        "befores": np.where(v_known, zero, before[order]),
+                        "lasts": np.where(w_known, zero, hashes[order]),
+                        "more": np.stack([own_before[order], own_word[order]], axis=1).astype(np.int32),
+                    },
+                )
+                texts = np.flatnonzero(named)
+                if len(texts):
+                    rows.append(
+                        {
+                            "bucket": int(names[texts[0]] % buckets),
+                            "kind": _DONE,
+                            "ids": names[texts],
+                            "per": sizes[texts].astype(np.int32),
+                            "pairs": sums[texts],
+                        }
                     )
-                    n = np.diff(np.append(np.flatnonzero(new), len(order)))
-                    order = order[new]
-                    edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                    for b in np.flatnonzero(np.diff(edges)).tolist():
-                        own = order[edges[b] : edges[b + 1]]
-                        per = np.bincount(owner[own], minlength=len(ids))
-                        who = np.flatnonzero(per)
-                        put(
-                            b,
-                            _ASK,
-                            names[who],
-                            per[who],
-                            grams[own],
-                            before[own] if is_cold or not same else none,
-                            hashes[own] if not same else none,
-                            n[edges[b] : edges[b + 1]],
-                        )
-            fields = [x.split() for x in _ROWS.split(", ")]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(x, pa.int32() if kind == "int" else pa.binary())
-                    for x, (_, kind) in zip(zip(*rows, strict=True), fields, strict=True)
-                ]
-                if rows
-                else [pa.array([], pa.int32() if kind == "int" else pa.binary()) for _, kind in fields],
+                    pa.array(
+                        [r[name] if kind == "int" else r[name].tobytes() if name in r else b"" for r in rows],
+                        pa.int32() if kind == "int" else pa.binary(),
+                    )
+                    for name, kind in fields
+                ],
                 [name for name, _ in fields],
             )
 
     return docs.mapInArrow(run, _ROWS)
 
 
-def _scored(same: bool, shared):
-    """The work of one bucket: its count table, met by the documents' pairs."""
+def _scored(same: bool):
+    """The work of one bucket: its count table, met by the texts' pairs."""
 
     def compute(table: pa.Table) -> pa.Table:
-        hot_words = shared.value
         kinds = table["kind"].to_numpy()
 
-        def all_of(name: str, kind: str, which: np.ndarray) -> np.ndarray:
+        def all_of(name: str, kind: str, which: int) -> np.ndarray:
             values = table[name]
-            parts = [np.frombuffer(values[int(i)].as_py(), kind) for i in which]
+            parts = [np.frombuffer(values[int(i)].as_py(), kind) for i in np.flatnonzero(kinds == which)]
             return np.concatenate(parts) if parts else np.zeros(0, kind)
 
-        of_corpus = np.flatnonzero(kinds == _CORPUS)
-        asks = np.flatnonzero(kinds == _ASK)
-        grams, n = all_of("pairs", "<u8", of_corpus), all_of("n", "<i4", of_corpus)
-        befores = all_of("befores", "<u8", of_corpus)
-        with_before = np.array([len(table["befores"][int(i)].as_py()) > 0 for i in asks], bool)
-        # documents whose word before is told, then the others
-        asks = np.concatenate([asks[with_before], asks[~with_before]])
-        ask, ask_n = all_of("pairs", "<u8", asks), all_of("n", "<i4", asks)
-        ask_before = all_of("befores", "<u8", asks)
-        told = len(ask_before)
-        ids, per = all_of("ids", "<i8", asks), all_of("per", "<i8", asks)
-        owner = np.repeat(np.arange(len(ids)), per)
-        if same:
-            grams, n = np.concatenate([grams, ask]), np.concatenate([n, ask_n])
-            befores = np.concatenate([befores, ask_before])
-            before_n = np.concatenate([n[: len(n) - len(ask)], ask_n[:told]])
-        else:
-            before_n = n
-        known = Counts(*_summed(grams, n))
-        words_here = Counts(*_summed(befores, before_n))
-        count = known.of(ask)
-        of_before = np.ones(len(ask), np.int64)
-        if told:
-            hot = hot_words.of(ask_before)
-            of_before[:told] = np.where(hot > 0, hot, words_here.of(ask_before))
-        hit = count > 0
-        value = np.zeros(len(ask), np.int64)
-        value[hit] = ask_n[hit] * (units(count[hit]) - units(of_before[hit]))
+        ids = [all_of("ids", "<i8", k) for k in (_EASY, _HARD)]
+        per = [all_of("per", "<i4", k) for k in (_EASY, _HARD)]
+        # texts of easy pairs, then those of hard ones
+        owners = np.repeat(np.arange(sum(map(len, ids)), dtype=np.int32), np.concatenate(per))
+        ids = np.concatenate(ids)
         sums = np.zeros(len(ids), np.int64)
-        np.add.at(sums, owner[hit], value[hit])
-        done = np.flatnonzero(kinds == _DONE)
-        miss = np.flatnonzero(~hit)
-        names = [ids, all_of("ids", "<i8", done), ids[owner[miss]]]
-        sizes = [len(x) for x in names]
-        lasts = all_of("lasts", "<u8", asks)
-        zero = [np.zeros(k, np.int64) for k in sizes]
-        last = np.concatenate([zero[0], zero[1], lasts[miss].view(np.int64)])
-        missed = np.repeat([False, False, True], sizes)
-        return pa.Table.from_arrays(
-            [
-                pa.array(np.concatenate(names)),
-                pa.array(np.concatenate([zero[0], all_of("per", "<i8", done), zero[2]])),
-                pa.array(np.concatenate([sums, all_of("lasts", "<i8", done), zero[2]])),
-                pa.array(np.concatenate([zero[0], zero[1], ask_n[miss].astype(np.int64)])),
-                pa.array(last, mask=~missed),
-            ],
-            [x.split()[0] for x in _FOUND.split(", ")],
-        )
+        grams = [all_of("pairs", "<u8", k) for k in (_CORPUS, _EASY, _HARD)]
+        n_easy, n_hard = len(grams[1]), len(grams[2])
+        n = np.concatenate([all_of("n", "<i4", k) for k in (_CORPUS, _EASY, _HARD)])
+        n_corpus = len(grams[0])
+        grams = np.concatenate(grams)
+        gain = all_of("value", "<i4", _EASY)
+        found = np.zeros(n_hard, np.int64)
+        part = (grams & np.uint64(SLICES - 1)).astype(np.uint8)
+        for k in range(SLICES):
+            own = np.flatnonzero(part == k)
+            if not len(own):
+                continue
+            _, at = np.unique(grams[own], return_inverse=True)
+            counted = n[own].astype(np.int64)
+            if not same:
+                counted = np.where(own < n_corpus, counted, 0)
+            others = np.bincount(at, weights=counted).astype(np.int64)[at]
+            if same:
+                others -= n[own]
+            hit = (others > 0) & (own >= n_corpus)
+            own, others = own[hit], others[hit]
+            easy = own < n_corpus + n_easy
+            mine = own[easy] - n_corpus
+            np.add.at(sums, owners[mine], n[own[easy]] * (units(others[easy]) + gain[mine]))
+            found[own[~easy] - n_corpus - n_easy] = others[~easy]
+        # pairs with rare words: what is known of them, and one word that is still to be looked up
+        n, owner = n[n_corpus + n_easy :].astype(np.int64), owners[n_easy:]
+        base, fall = all_of("value", "<i4", _HARD).reshape(-1, 2).T
+        own_before, own_word = all_of("more", "<i4", _HARD).reshape(-1, 2).T
+        hit = found > 0
+        value = np.where(hit, base + units(np.maximum(found, 1)), fall)
+        np.add.at(sums, owner, n * value)
+        key = np.where(hit, all_of("befores", "<u8", _HARD), all_of("lasts", "<u8", _HARD))
+        open_ = np.flatnonzero(key)
+        done_ids, done = all_of("ids", "<i8", _DONE), all_of("pairs", "<i8", _DONE)
+        names = np.concatenate([ids, done_ids, ids[owner[open_]]])
+        zero = [np.zeros(len(x), np.int64) for x in (ids, done_ids, open_)]
+        looked_up = np.arange(len(names)) >= len(ids) + len(done_ids)
+        arrays = [
+            pa.array(names),
+            pa.array(np.concatenate([zero[0], all_of("per", "<i4", _DONE).astype(np.int64), zero[2]])),
+            pa.array(np.concatenate([sums, done, zero[2]])),
+            pa.array(np.concatenate([zero[0], zero[1], key[open_].view(np.int64)]), mask=~looked_up),
+            pa.array(np.concatenate([zero[0], zero[1], np.where(hit, own_before, own_word)[open_].astype(np.int64)])),
+            pa.array(np.concatenate([zero[0], zero[1], np.where(hit, -n, n)[open_]])),
+        ]
+        return pa.Table.from_arrays(arrays, [x.split()[0] for x in _FOUND.split(", ")])
 
     return compute
 
@@ -321,14 +367,16 @@ def score(
     text: str = "text",
     hot: int = HOT,
     bucket_bytes: int = BUCKET_BYTES,
+    known: int = KNOWN_WORDS,
 ) -> DataFrame:
     """``doc_id``, ``n_words`` and ``score`` of each id, by the pairs of ``corpus``.
 
-    Without a corpus the documents themselves are it. Words are runs of ASCII letters (A-Z
-    lower-cased), digits and characters beyond ASCII. ``score`` is the mean natural logarithm over
-    the words, null for a document without words (null, empty or blank text). Rows that repeat an
-    id are scored together as one document; rows without an id count in the corpus but have no
-    score. An empty corpus knows no word. Other columns are left out; join them by id.
+    Without a corpus the documents themselves are it, each text being scored by all others. Words
+    are runs of ASCII letters (A-Z lower-cased), digits and characters beyond ASCII. ``score`` is
+    the mean natural logarithm over the words, null for a document without words (null, empty or
+    blank text). Rows that repeat an id are texts of their own, whose words count together in the
+    id's mean. Rows without an id count in the corpus but have no score. An empty corpus knows no
+    word. Other columns are left out; join them by id.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -336,28 +384,30 @@ def score(
     same = corpus is None
     asked = docs.select(*fields)
     base = asked if same else corpus.select(*fields)
-    counted = word_counts(base)
+    path = scratch_path(spark, "words")
+    word_counts(base).write.parquet(path)
+    counted = spark.read.parquet(path)
     mark = F.lit(int(START.view(np.int64)))
     total = counted.where(F.col("h") != mark).agg(F.sum("n")).collect()[0][0] or 0
-    often, pairs = hot_counts(base, counted, total, hot)
     size = base.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0
     buckets = int(max(16, min(60_000, -(-size // bucket_bytes))))
+    least = max(1, -(-total // hot))
+    tables = (*known_words(counted, known, least), hot_pairs(base, counted, least))
+    shared = spark.sparkContext.broadcast(tables)
     if same:
-        rows = _dealt(asked, True, True, often, pairs, buckets)
+        rows = _dealt(asked, True, True, shared, total, buckets)
     else:
-        rows = _dealt(base, False, True, often, pairs, buckets).unionByName(
-            _dealt(asked, True, False, often, pairs, buckets)
-        )
-    shared = spark.sparkContext.broadcast(often)
-    found = rows.groupBy("bucket").applyInArrow(_scored(same, shared), _FOUND)
-    if not same:
-        # pairs that the corpus lacks: the word alone, at a discount
-        word = counted.where(F.col("h") != mark).select(F.col("h").alias("last"), F.col("n").alias("c"))
-        part = F.coalesce(F.col("c").cast("double"), F.lit(UNKNOWN)) * BACKOFF / max(total, 1)
-        alone = F.round(F.log(part) * UNITS).cast("long") * F.col("n_last")
-        found = found.join(word, "last", "left").withColumn(
-            "units", F.when(F.col("last").isNull(), F.col("units")).otherwise(alone)
+        rows = _dealt(base, False, True, shared, total, buckets).unionByName(
+            _dealt(asked, True, False, shared, total, buckets)
         )
+    found = rows.groupBy("bucket").applyInArrow(_scored(same), _FOUND)
+    # rare words that are still to be looked up; no row of them is frequent
+    word = counted.where(F.col("h") != mark).select(F.col("h").alias("key"), "n")
+    others = F.coalesce(F.col("n"), F.lit(0)) - F.col("own")
+    value = F.when(others > 0, F.round(F.log(others.cast("double")) * UNITS).cast("long")).otherwise(_NEVER)
+    found = found.join(word, "key", "left").withColumn(
+        "units", F.when(F.col("key").isNull(), F.col("units")).otherwise(F.col("times") * value)
+    )
     return (
         found.groupBy("doc_id")
         .agg(F.sum("n_words").alias("n_words"), F.sum("units").alias("units"))

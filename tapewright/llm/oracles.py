@@ -9,27 +9,43 @@ WORDS = (
     + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []::VARCHAR[])"
 )
 
+def _units(x: str) -> str:
+    return f"CAST(round(ln({x}) * 1048576) AS BIGINT)"
+
+
 LM_SCORES = f"""
 WITH doc AS (
-    SELECT doc_id, {WORDS.format("text")} AS ws FROM documents
-), word AS (
-    SELECT doc_id, unnest(ws) AS w FROM doc
+    SELECT row_number() OVER () AS text_id, doc_id, {WORDS.format("text")} AS ws FROM documents
 ), place AS (
-    SELECT doc_id, CASE WHEN i = 1 THEN '' ELSE ws[i - 1] END AS v, ws[i] AS w
-    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM doc)
-), pairs AS (
-    SELECT v, w, count(*) AS n FROM place GROUP BY v, w
-), befores AS (
-    SELECT w AS v, count(*) AS n FROM word GROUP BY w
-    UNION ALL SELECT '', count(*) FROM doc WHERE len(ws) > 0
+    SELECT text_id, CASE WHEN i = 1 THEN '' ELSE ws[i - 1] END AS v, ws[i] AS w
+    FROM (SELECT text_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM doc)
+), own_pair AS (
+    SELECT text_id, v, w, count(*) AS n FROM place GROUP BY ALL
+), own_word AS (
+    SELECT text_id, w, count(*) AS n FROM place GROUP BY ALL
+    UNION ALL SELECT text_id, '', 1 FROM doc WHERE len(ws) > 0
+), all_pair AS (
+    SELECT v, w, sum(n) AS n FROM own_pair GROUP BY ALL
+), all_word AS (
+    SELECT w, sum(n) AS n FROM own_word GROUP BY ALL
 ), scored AS (
-    SELECT doc_id, sum(CAST(round(ln(pairs.n) * 1048576) AS BIGINT)
-                       - CAST(round(ln(befores.n) * 1048576) AS BIGINT)) AS units
-    FROM place JOIN pairs USING (v, w) JOIN befores USING (v) GROUP BY doc_id
+    SELECT text_id, sum(p.n * CASE
+        WHEN ap.n > p.n THEN {_units("ap.n - p.n")} - {_units("av.n - ov.n")}
+        ELSE {_units("0.4")} - {_units("greatest((SELECT count(*) FROM place) - len(doc.ws), 1)")}
+             + CASE WHEN aw.n > ow.n THEN {_units("aw.n - ow.n")} ELSE {_units("0.5")} END
+        END) AS units
+    FROM own_pair AS p JOIN doc USING (text_id)
+    JOIN all_pair AS ap ON ap.v = p.v AND ap.w = p.w
+    JOIN all_word AS av ON av.w = p.v
+    JOIN own_word AS ov ON ov.text_id = p.text_id AND ov.w = p.v
+    JOIN all_word AS aw ON aw.w = p.w
+    JOIN own_word AS ow ON ow.text_id = p.text_id AND ow.w = p.w
+    GROUP BY text_id
 )
-SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
-       CASE WHEN len(ws) > 0 THEN CAST(units AS DOUBLE) / (1048576.0::DOUBLE * len(ws)) END AS score
-FROM doc LEFT JOIN scored USING (doc_id)
+SELECT doc_id, CAST(sum(len(ws)) AS BIGINT) AS n_words,
+       CASE WHEN sum(len(ws)) > 0
+            THEN CAST(sum(units) AS DOUBLE) / (1048576.0::DOUBLE * sum(len(ws))) END AS score
+FROM doc LEFT JOIN scored USING (text_id) WHERE doc_id IS NOT NULL GROUP BY doc_id
 """
 
 DECONTAMINATION = f"""

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -105,60 +106,74 @@ def test_components_of_a_chain(spark):
 # --- language model ---------------------------------------------------------------------------
 
 
-def backoff(docs, corpus):
-    """Mean logarithm by the written rule; texts as lists of words."""
-    word, pair, before = {}, {}, {}
-    for ws in corpus:
-        for v, w in zip(["", *ws], ws, strict=False):
-            pair[v, w] = pair.get((v, w), 0) + 1
-            word[w] = word.get(w, 0) + 1
-        if ws:
-            before[""] = before.get("", 0) + 1
-    total = sum(word.values())
-    out = {}
+def counted(texts):
+    pair, word = Counter(), Counter()
+    for ws in texts:
+        pair.update(zip(["", *ws], ws, strict=False))
+        word.update(ws)
+        word[""] += bool(ws)
+    return pair, word
+
+
+def backoff(docs, corpus, without_own):
+    """Mean logarithm by the written rule; texts as lists of words. Also how each place was scored."""
+    pair, word = counted(corpus)
+    total = sum(map(len, corpus))
+    out, ways = {}, Counter()
     for key, texts in docs.items():
-        logs = [
-            math.log(pair[v, w] / (before[v] if v == "" else word[v]))
-            if (v, w) in pair
-            else math.log(ngrams.BACKOFF * word.get(w, ngrams.UNKNOWN) / max(total, 1))
-            for ws in texts
-            for v, w in zip(["", *ws], ws, strict=False)
-        ]
+        logs = []
+        for ws in texts:
+            own_pair, own_word = counted([ws] if without_own else [])
+            left = max(total - (len(ws) if without_own else 0), 1)
+            for v, w in zip(["", *ws], ws, strict=False):
+                others = pair[v, w] - own_pair[v, w]
+                alone = word[w] - own_word[w]
+                if others > 0:
+                    logs.append(math.log(others / (word[v] - own_word[v])))
+                else:
+                    logs.append(math.log(ngrams.BACKOFF * (alone if alone > 0 else ngrams.UNKNOWN) / left))
+                ways["pair" if others > 0 else "word" if alone > 0 else "never"] += 1
         out[key] = (len(logs), sum(logs) / len(logs) if logs else None)
-    return out
+    return out, ways
 
 
 def split(text):
     return [w.decode() for w in ngrams.words(text)]
 
 
-@pytest.mark.parametrize("hot, block", [(4_000, 1 << 21), (12, 40), (1, 40)])
-def test_scores_follow_the_rule(spark, monkeypatch, hot, block):
+@pytest.mark.parametrize(
+    "hot, block, known", [(4_000, 1 << 21, 1 << 20), (12, 40, 3), (1, 40, 0), (4_000, 40, 9), (30, 1 << 21, 4)]
+)
+def test_scores_follow_the_rule(spark, monkeypatch, hot, block, known):
     monkeypatch.setattr(ngrams, "BLOCK_WORDS", block)
     texts = sentences(120, 1) + [None, "", "...", "rare words only", "a " * 30_000]
+    texts += ["words of their own twice", "words of their own twice", "x y x y x y", "only rare words"]
     other = sentences(60, 2) + ["unknown things", "a zz a", None, ""]
     rows = [(i, t, "x") for i, t in enumerate(texts)]
     rows += [(3, texts[3], "x"), (None, "a b a b", "x"), (-5, "b c", "x")]
     frame = spark.createDataFrame(rows, DOC)
     corpus = [split(t) for _, t, _ in rows]
 
-    def check(found, docs, against):
+    options = {"hot": hot, "known": known}
+
+    def check(found, docs, against, without_own):
         grouped = {}
         for i, t, _ in docs:
             if i is not None:
                 grouped.setdefault(i, []).append(split(t))
-        expected = backoff(grouped, against)
+        expected, ways = backoff(grouped, against, without_own)
+        assert not against or min(ways[x] for x in ("pair", "word", "never")) > 0
         got = {r.doc_id: (r.n_words, r.score) for r in found.collect()}
         assert got.keys() == expected.keys()
         for k, (n, s) in expected.items():
             assert got[k][0] == n
             assert got[k][1] is None if s is None else got[k][1] == pytest.approx(s, abs=1e-5)
 
-    check(ngrams.score(frame, hot=hot), rows, corpus)
+    check(ngrams.score(frame, **options), rows, corpus, True)
     asked = [(i, t, "x") for i, t in enumerate(other)]
     asked_frame = spark.createDataFrame(asked, DOC)
-    check(ngrams.score(asked_frame, frame, hot=hot), asked, corpus)
-    check(ngrams.score(asked_frame, frame.limit(0), hot=hot), asked, [])
+    check(ngrams.score(asked_frame, frame, **options), asked, corpus, False)
+    check(ngrams.score(asked_frame, frame.limit(0), **options), asked, [], False)
 
 
 def test_no_documents_no_scores(spark):
