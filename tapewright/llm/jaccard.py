@@ -31,8 +31,8 @@ WORDS = 5
 LEAST = Fraction(3, 4)
 # The first fragment has so many eighths of the order: enough to rule out an unrelated document.
 FIRST_EIGHTHS = 3
-BUCKET_BYTES = 12 << 20  # text of the documents whose shingles meet in one bucket, on average
-BLOCK_SHINGLES = 1 << 19
+BUCKET_BYTES = 4 << 20  # text of the documents whose shingles meet in one bucket, on average
+BLOCK_SHINGLES = 1 << 18
 # Documents of a block that share a shingle: from so many on, they are counted and not listed.
 FREQUENT = 64
 PARTS = 8  # fragments in which overlaps are counted
