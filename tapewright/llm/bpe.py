@@ -10,6 +10,7 @@ of some text that holds both; if no window agrees, the last one is the two parts
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -53,6 +54,43 @@ _SPLIT = re.compile(
 )
 
 
+# The normaliser and the splitting that PieceEncoder spells out, as the library names
+# them. Vocabularies with any other are left to the library.
+_SPELLED_OUT = [
+    {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+]
+
+
+def splits_as_spelled_out(tok) -> bool:
+    parts = (tok.normalizer, tok.pre_tokenizer)
+    return [json.loads(p.__getstate__()) if p is not None else None for p in parts] == _SPELLED_OUT
+
+
+def whole_text_encoder(path: str):
+    """Ids of whole texts by the library itself, for any vocabulary."""
+    tok = tokenizer(path)
+    return lambda text: np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def _byte_letters() -> list[str]:
     """The letter that stands for each byte: itself if it is visible, else one beyond 255."""
     visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -63,8 +101,8 @@ def _byte_letters() -> list[str]:
 class PieceEncoder:
     """Ids of whole texts from the ids of their pieces, each distinct piece encoded once.
 
-    For vocabularies that split text as ``word_bpe_49k.json`` does: tokens hold no white space, and
-    the splitting never looks across it. Latin text is split into the vocabulary's own pre-tokens,
+    For vocabularies that :func:`splits_as_spelled_out`: tokens hold no white space, and the
+    splitting never looks across it. Latin text is split into the vocabulary's own pre-tokens,
     any other text at space, tab, line feed and carriage return, and the library does the rest.
     """
 
@@ -264,8 +302,9 @@ def encode(
     size = F.coalesce(F.length(col(text)), F.lit(0))
 
     def start():
-        encoder = PieceEncoder(path)
-        return lambda texts: [[encoder.encode(t) if t else b"" for t in texts.to_pylist()]]
+        spelled_out = splits_as_spelled_out(tokenizer(path))
+        ids_of = PieceEncoder(path).encode if spelled_out else whole_text_encoder(path)
+        return lambda texts: [[ids_of(t) if t else b"" for t in texts.to_pylist()]]
 
     short = add_columns(docs.where(size <= part_chars), [text], "ids binary", start, kept)
     long = docs.where(size > part_chars)

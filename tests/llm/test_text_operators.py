@@ -349,10 +349,23 @@ HARD = [
 ]
 
 
+@pytest.fixture(scope="module")
+def byte_level():
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return path, bpe.tokenizer(path)
+
+
+def test_other_vocabularies_are_left_to_the_library(words, byte_level):
+    assert bpe.splits_as_spelled_out(words[1]) and not bpe.splits_as_spelled_out(byte_level[1])
+
+
+@pytest.mark.parametrize("vocabulary", ["words", "byte_level"])
 @pytest.mark.parametrize("size", [37, 256, 1_000])
 @pytest.mark.parametrize("text", HARD, ids=range(len(HARD)))
-def test_joined_parts_are_the_whole(words, text, size):
-    _, tok = words
+def test_joined_parts_are_the_whole(request, vocabulary, text, size):
+    _, tok = request.getfixturevalue(vocabulary)
     parts = bpe.cut(text, size)
     assert "".join(parts) == text and max(map(len, parts)) <= size
     at = [sum(map(len, parts[:i])) for i in range(len(parts))]
@@ -360,9 +373,10 @@ def test_joined_parts_are_the_whole(words, text, size):
     assert found.tolist() == tok.encode(text, add_special_tokens=False).ids
 
 
-def test_long_texts_through_spark(spark, words):
-    path, tok = words
-    texts = [None, "", *HARD, HARD[0]]
+@pytest.mark.parametrize("vocabulary", ["words", "byte_level"])
+def test_long_texts_through_spark(spark, request, vocabulary):
+    path, tok = request.getfixturevalue(vocabulary)
+    texts = [None, "", *HARD, HARD[0], "The 3 Cats' hats,\tall of THEM!"]
     frame = docs(spark, [(i, t, "x") for i, t in enumerate(texts)]).withColumnRenamed("lang", "ids")
     ids = bpe.encode(frame, path, part_chars=500)
     found = bpe.decode(ids, path).collect()
