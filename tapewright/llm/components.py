@@ -27,6 +27,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         "x IS NOT NULL AND y IS NOT NULL AND x <> y"
     )
     both = written(ends.union(ends.select("y", "x")).distinct(), "links")
+    if not both.limit(1).count():
+        return both.select(F.col("x").alias("node"), F.col("y").alias("component"))
     labels = written(
         both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.min("x")).alias("label")),
         "labels",

@@ -401,18 +401,22 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
         .withColumnRenamed("doc_id", "rep")
         .select("rep", "size", "tokens")
     )
-    links = _class_links(reps)
-    edges = links.unionByName(
-        members.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    )
-    found = components(edges)
+    # The smallest id of the copies of a set stands for them, so the components of these give every
+    # document's, and no set is a hub of its copies.
+    if members.limit(1).count():
+        linked = components(_class_links(reps)).withColumnRenamed("node", "rep")
+        found = members.join(linked, "rep", "left").select(
+            "doc_id", F.coalesce("component", "rep").alias("component")
+        )
+    else:
+        found = members.withColumnRenamed("rep", "component")
     sizes = first.select("doc_id", F.col("largest").alias("n_shingles"))
     exact = sets.select("doc_id", F.col("size").alias("exact"))
     return (
         rows.select("doc_id")
         .join(sizes, "doc_id", "left")
         .join(exact, "doc_id", "left")
-        .join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        .join(found, "doc_id", "left")
         .select(
             "doc_id",
             F.when(
@@ -489,6 +493,8 @@ def _class_links(reps: DataFrame) -> DataFrame:
         .distinct()
     )
     pairs = _written(pairs, "pairs")
+    if not pairs.limit(1).count():  # no two sets meet
+        return pairs.select("a", "b")
     stars = _written(_linked(pairs, sets), "stars")
     group = components(stars).withColumnRenamed("node", "rep")
     met = met.join(group, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
@@ -518,4 +524,6 @@ def _class_links(reps: DataFrame) -> DataFrame:
         .join(pairs.select("a", "b"), ["a", "b"], "left_anti")
     )
     rest = _written(rest, "pairs")
+    if not rest.limit(1).count():
+        return stars
     return stars.unionByName(_linked(rest, sets))
