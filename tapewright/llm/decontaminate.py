@@ -8,16 +8,22 @@ document is scanned once; offsets are carried back to its words and to the origi
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapewright.llm.columns import add_columns, col
+from tapewright.session import scratch_path
 
 WINDOW = 13
 SHARE = 20  # contaminated: at least one word in so many is hit
 # Pattern text of one automaton; more benchmark text is scanned for in further passes.
-AUTOMATON_BYTES = 64 << 20
+AUTOMATON_BYTES = 32 << 20
+PATTERN_BYTES = 48  # what a pattern takes besides its text, about
 
 _WORD_BYTES = bytes(
     c + 32
@@ -46,15 +52,14 @@ def windows(item_words: list[bytes], size: int = WINDOW) -> list[bytes]:
 class Automaton:
     """Finds the words of a text inside windows, and whose windows they are."""
 
-    def __init__(self, items: list[tuple[str | None, list[bytes]]], size: int = WINDOW):
+    def __init__(self, patterns: list[tuple[bytes, str | None]]):
         import ahocorasick
 
         owners: dict[bytes, set[str]] = {}
-        for item_id, item_words in items:
-            for window in windows(item_words, size):
-                ids = owners.setdefault(window, set())
-                if item_id is not None:
-                    ids.add(item_id)
+        for window, item_id in patterns:
+            ids = owners.setdefault(window, set())
+            if item_id is not None:
+                ids.add(item_id)
         self.search = ahocorasick.Automaton()
         for window, ids in owners.items():
             n = window.count(b" ") + 1
@@ -106,21 +111,49 @@ def merged(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int
     return out
 
 
-def _shards(benchmark: DataFrame, item_id: str, text: str, limit: int) -> list[list]:
-    """The items as (id, words), in groups whose patterns take about ``limit`` bytes at most."""
-    items = benchmark.select(
-        col(item_id).cast("string").alias("id"), col(text).alias("text")
-    ).where("text IS NOT NULL")
-    shards, size = [[]], 0
-    for row in items.distinct().orderBy("id", "text").toLocalIterator():
-        item = (row["id"], words(row["text"]))
-        cost = WINDOW * (len(row["text"]) + 1)
-        if shards[-1] and size + cost > limit:
-            shards.append([])
-            size = 0
-        shards[-1].append(item)
-        size += cost
-    return shards
+def _patterns(benchmark: DataFrame, item_id: str, text: str, size: int, limit: int):
+    """A written table of the distinct (``window``, ``id``), and its number of shards.
+
+    Windows are made and told apart in tasks. A shard takes about ``limit`` bytes, as a hash deals
+    windows and ids together: not even a window of very many items is larger.
+    """
+    spark = benchmark.sparkSession
+    items = benchmark.select(col(item_id).cast("string").alias("id"), col(text).alias("text"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own_id, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                made = sorted(set(windows(words(value), size)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(made, pa.binary()), pa.array([own_id] * len(made), pa.string())],
+                    ["window", "id"],
+                )
+
+    made = items.where("text IS NOT NULL").mapInArrow(cut, "window binary, id string").distinct()
+    path = scratch_path(spark, "windows")
+    made.write.parquet(path)
+    made = spark.read.parquet(path)
+    cost = F.octet_length("window") + F.coalesce(F.octet_length("id"), F.lit(0)) + PATTERN_BYTES
+    total = made.agg(F.sum(cost)).collect()[0][0] or 0
+    n = max(1, -(-total // limit))
+    if n == 1:
+        return made.withColumn("shard", F.lit(0)), 1
+    path = scratch_path(spark, "shards")
+    shard = F.pmod(F.xxhash64("window", "id"), F.lit(n)).cast("int")
+    dealt = made.withColumn("shard", shard).repartition(min(n, 1_000), "shard")
+    dealt.write.partitionBy("shard").parquet(path)
+    return spark.read.parquet(path), n
+
+
+_built: dict[str, Automaton] = {}
+
+
+def _automaton(name: str, patterns: list[tuple[bytes, str | None]]) -> Automaton:
+    """One for each worker at a time: that of the shard it worked on last."""
+    if name not in _built:
+        _built.clear()
+        _built[name] = Automaton(patterns)
+    return _built[name]
 
 
 def find(
@@ -140,21 +173,27 @@ def find(
     sorted ids (as strings) of the items with such windows; with ``spans`` there are also
     ``hit_spans``, their code point offsets in the text. A null or empty text has no words. Items
     without words have no window; an item whose id is null hits words but is not listed. Rows of
-    the benchmark that repeat count once. If its patterns exceed ``automaton_bytes``, documents
-    pass several automata one after the other, without a shuffle. Columns already named like the
+    the benchmark that repeat count once; an empty one hits nothing. Documents that repeat stay, each
+    with its own result, and texts of any length are scanned whole. Columns already named like the
     new ones are replaced.
+
+    Patterns of more than ``automaton_bytes`` are dealt to several shards, and documents pass one
+    automaton after the other, from one written table to the next. Only one shard at a time, of
+    about that size, comes to the driver and is sent to the tasks.
     """
     kept = list(docs.columns if keep is None else keep)
-    context = docs.sparkSession.sparkContext
-    shards = _shards(benchmark, item_id, item_text, automaton_bytes)
+    spark = docs.sparkSession
+    patterns, n = _patterns(benchmark, item_id, item_text, size, automaton_bytes)
     fields = FIELDS + (", hit_spans array<struct<start:int,end:int>>" if spans else "")
     out = docs
-    for i, shard in enumerate(shards):
-        last = i == len(shards) - 1
-        shared = context.broadcast(shard)
+    for i in range(n):
+        last = i == n - 1
+        shard = patterns.where(F.col("shard") == i).select("window", "id").toArrow()
+        own = list(zip(*(c.to_pylist() for c in shard.columns), strict=True))
+        shared = spark.sparkContext.broadcast(own)
 
-        def start(shared=shared, first=i == 0, last=last):
-            automaton = Automaton(shared.value, size)
+        def start(shared=shared, name=uuid.uuid4().hex, first=i == 0, last=last):
+            automaton = _automaton(name, shared.value)
 
             def compute(texts, ranges=None, ids=None):
                 rows = texts.to_pylist()
@@ -186,6 +225,11 @@ def find(
         passed = kept if last else [*dict.fromkeys([*kept, text])]
         inputs = [text] if i == 0 else [text, "hit_words", "hit_items"]
         out = add_columns(out, inputs, fields, start, passed)
+        if not last:
+            path = scratch_path(spark, "passed")
+            out.write.parquet(path)
+            out = spark.read.parquet(path)
+            shared.destroy()
     return out
 
 

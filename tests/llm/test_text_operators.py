@@ -55,8 +55,9 @@ TEXTS = [
 ]
 
 
-@pytest.mark.parametrize("automaton_bytes", [1 << 20, 60])
+@pytest.mark.parametrize("automaton_bytes", [1 << 20, 500])
 def test_windows_are_found(spark, automaton_bytes):
+    """By one automaton, and by one after the other."""
     frame = docs(spark, [(i, t, "x") for i, t in enumerate(TEXTS)] * 2)
     frame = frame.withColumnRenamed("lang", "n_words")
     benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
@@ -76,6 +77,22 @@ def test_windows_are_found(spark, automaton_bytes):
     assert [TEXTS[6][s["start"] : s["end"]] for s in spans] == ["short-answer\none, short answer one"]
 
 
+def test_shards_of_the_benchmark_are_bounded(spark):
+    """Also where a third of all items are the same and one window has many items."""
+    items = [(i, "the same words in every one of these items") for i in range(150)]
+    items += [(1_000 + i, f"another item with words of its own {i}") for i in range(300)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    limit = 4_000
+    made, n = decontaminate._patterns(benchmark, "item_id", "text", 13, limit)
+    sizes = {}
+    for r in made.collect():
+        cost = len(r["window"]) + len(r["id"]) + decontaminate.PATTERN_BYTES
+        sizes[r["shard"]] = sizes.get(r["shard"], 0) + cost
+    assert n == len(sizes) == -(-sum(sizes.values()) // limit) > 5
+    assert max(sizes.values()) < 2 * limit
+    assert made.count() == 450
+
+
 def test_no_benchmark_and_no_documents(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     found = decontaminate.judge(decontaminate.find(docs(spark, [(1, "a b", None)]), none)).collect()
