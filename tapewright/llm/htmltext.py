@@ -59,19 +59,28 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
-_INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_SHOWN_BY = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 # Lists and tables inside so many others are laid out as plain blocks.
 MAX_NESTING = 60
-_MAYBE_HIDDEN = re.compile(r"hidden|style|colspan|rowspan|start|type", re.I)
+_OF_USE = re.compile(r"hidden|style|colspan|rowspan|start|type|value|reversed|open|placeholder", re.I)
+# Shown only while open; of a closed <details> its summary is shown.
+OPENED = frozenset(["details", "dialog"])
+# Inputs that show no text; all others show their value, or what stands in for it.
+SILENT_INPUTS = frozenset("hidden password checkbox radio file color range image".split())
+BUTTONS = frozenset("submit reset button".split())
+MOST_COLUMNS, MOST_ROWS = 1_000, 65_534  # that a cell may span; more count as so many
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "hidden", "block")
+    """An element. One that is ``hidden`` is not there for the reader, with all it holds; text of one
+    that is ``unseen`` is left blank, but elements in it may be visible again."""
 
-    def __init__(self, tag: str, attrs: dict[str, str] | None = None, hidden: bool = False):
+    __slots__ = ("tag", "attrs", "children", "hidden", "unseen", "block")
+
+    def __init__(self, tag: str, attrs: dict[str, str] | None = None, hidden=False, unseen=False):
         self.tag, self.attrs, self.children, self.hidden = tag, attrs or {}, [], hidden
-        self.block = tag in BLOCK
+        self.unseen, self.block = unseen, tag in BLOCK
 
 
 def _attrs(text: str) -> dict[str, str]:
@@ -83,8 +92,45 @@ def _attrs(text: str) -> dict[str, str]:
     return found
 
 
-def _invisible(attrs: dict[str, str]) -> bool:
-    return "hidden" in attrs or bool(_INVISIBLE.search(attrs.get("style", "")))
+def _visibility(name: str, attrs: dict[str, str], unseen: bool) -> tuple[bool, bool]:
+    """Whether an element is hidden, and whether its text is unseen, in one that is ``unseen``."""
+    # of repeated declarations the last one holds
+    shown_by = {k.lower(): v.lower() for k, v in _SHOWN_BY.findall(attrs.get("style", ""))}
+    hidden = "hidden" in attrs or shown_by.get("display") == "none"
+    if name == "dialog" and "open" not in attrs:
+        hidden = True
+    kind = shown_by.get("visibility", "inherit")
+    if kind in ("hidden", "collapse", "visible"):
+        unseen = kind != "visible"
+    return hidden, unseen
+
+
+def _whole(text: str, otherwise: int, most: int) -> int:
+    """A number as HTML reads it: what follows the digits is passed over, and more than ``most`` is that."""
+    m = re.match(r"[ \t\n\f\r]*\+?([0-9]+)", text)
+    return min(int(m[1][-18:]) if len(m[1].lstrip("0")) < 10 else most, most) if m else otherwise
+
+
+def _signed(text: str) -> int | None:
+    return int(text) if re.fullmatch(r"\s*[-+]?[0-9]{1,9}\s*", text) else None
+
+
+def _shown(node: Node) -> list:
+    """What an element shows of its children."""
+    if node.tag == "details" and "open" not in node.attrs:
+        return [x for x in node.children if isinstance(x, Node) and x.tag == "summary"][:1]
+    return node.children
+
+
+def _input_text(node: Node) -> str:
+    """The text in an input, or on a button, as source text."""
+    kind = node.attrs.get("type", "text").strip().lower()
+    if kind in SILENT_INPUTS:
+        return ""
+    text = node.attrs.get("value", "")
+    if not text and kind not in BUTTONS:
+        text = node.attrs.get("placeholder", "")
+    return f" {html.escape(text)} " if text.strip() else ""
 
 
 def parse(source: str) -> Node:
@@ -114,7 +160,7 @@ def parse(source: str) -> Node:
     def add_text(text: str) -> None:
         if not in_body and stack[-1].tag in BEFORE_BODY and text.strip(" \t\n\r\f"):
             begin_body()
-        stack[-1].children.append(text)
+        stack[-1].children.append(" " if stack[-1].unseen else text)
 
     for m in _TOKEN.finditer(source):
         if m.start() < at:
@@ -151,7 +197,7 @@ def parse(source: str) -> Node:
                 begin_body()
             elif stack[-1].tag == "head":
                 continue
-        attrs = _attrs(rest) if rest and (name in CHOICE or _MAYBE_HIDDEN.search(rest)) else {}
+        attrs = _attrs(rest) if rest and (name in CHOICE or _OF_USE.search(rest)) else {}
         if name in ("select", "input", "textarea", "optgroup") and depth_of.get("select"):
             at_select = max(i for i, x in enumerate(stack) if x.tag == "select")
             pop_to(at_select + (name == "optgroup"))
@@ -174,7 +220,12 @@ def parse(source: str) -> Node:
                     if stack[i].tag in limit:
                         break
         inside = drawn[-1]
-        node = Node(name, attrs, name in HIDDEN or bool(attrs) and _invisible(attrs))
+        node = Node(name, attrs, name in HIDDEN, stack[-1].unseen)
+        if attrs or name in OPENED:
+            hidden, node.unseen = _visibility(name, attrs, node.unseen)
+            node.hidden = node.hidden or hidden
+        if node.unseen and name in ("input", "select", "textarea"):
+            node.hidden = True
         if inside:
             node.hidden = node.hidden or name in HIDDEN_IN[inside]
             node.block = node.block or name in ("text", "mtr")
@@ -327,13 +378,15 @@ def _lines(children: list, nested: int = 0) -> list[str]:
         elif tag == "select":
             ends.append(None)
             todo.append(iter(_choice(item)))
+        elif tag == "input":
+            out.add(_input_text(item))
         else:
             if item.block:
                 out.space() if tag in SPACED else out.end_line()
                 ends.append(out.space if tag in SPACED else out.end_line)
             else:
                 ends.append(None)
-            inner = item.children
+            inner = _shown(item)
             if tag in SPREAD:
                 inner = [y for x in inner for y in (x, " ")]
             todo.append(iter(inner))
@@ -353,15 +406,20 @@ def _raw_text(node: Node) -> list[str]:
             if item.tag == "textarea":
                 out.append(html.escape(_typed(item)))
             else:
-                inner = _choice(item) if item.tag == "select" else item.children
+                inner = _choice(item) if item.tag == "select" else _shown(item)
+                if item.tag == "input":
+                    inner = [_input_text(item)]
                 todo.extend(reversed(inner))
     return out
 
 
 def _list(node: Node, nested: int) -> list[str]:
     out: list[str] = []
-    start = node.attrs.get("start", "1")
-    number = int(start) if re.fullmatch(r"-?[0-9]{1,9}", start) else 1
+    items = [x for x in node.children if isinstance(x, Node) and x.tag == "li" and not x.hidden]
+    down = node.tag == "ol" and "reversed" in node.attrs
+    number = _signed(node.attrs.get("start", ""))
+    if number is None:
+        number = len(items) if down else 1
     loose: list = []
 
     def flush() -> None:
@@ -375,8 +433,12 @@ def _list(node: Node, nested: int) -> list[str]:
         flush()
         if child.hidden:
             continue
+        own = _signed(child.attrs.get("value", ""))
+        number = number if own is None else own
         mark = f"{number}. " if node.tag == "ol" else "- "
-        number += 1
+        number += -1 if down else 1
+        if child.unseen:
+            mark = " " * len(mark)
         lines = [x for x in _lines(child.children, nested) if x]
         if lines:
             out.append(mark + lines[0])
@@ -416,11 +478,9 @@ def _table(node: Node, nested: int) -> list[str]:
                         cells.append("")
                     at = len(cells)
                     cells.append(" ".join(x for x in _lines(cell.children, nested) if x))
-                    span = cell.attrs.get("colspan", "1")
-                    extra = int(span) - 1 if re.fullmatch(r"[0-9]{1,3}", span) else 0
+                    extra = _whole(cell.attrs.get("colspan", ""), 1, MOST_COLUMNS) - 1
                     cells.extend([""] * max(0, extra))
-                    span = cell.attrs.get("rowspan", "1")
-                    more = int(span) - 1 if re.fullmatch(r"[0-9]{1,5}", span) else 0
+                    more = _whole(cell.attrs.get("rowspan", ""), 1, MOST_ROWS) - 1
                     if more:  # 0 means to the end of the group
                         begun |= dict.fromkeys(range(at, len(cells)), more if more > 0 else 1 << 30)
                 elif not cell.hidden:
@@ -457,9 +517,14 @@ def extract(pages: DataFrame, html_column: str = "html", keep=None) -> DataFrame
 
     What a browser does not render gives nothing: scripts, styles, the head, templates, fallback
     content, titles and descriptions of drawings, elements hidden by ``hidden`` or their own style,
-    and the options of a drop-down list that are not chosen. Attributes are not text, but for the
-    labels of options. Null and empty pages give an empty
-    text. A column already called ``text`` is replaced. Each page is rendered whole, by itself.
+    closed dialogs, what a closed <details> holds besides its summary, and the options of a
+    drop-down list that are not chosen. Text that is invisible by an inherited ``visibility`` is left
+    blank, and elements in it that are visible again are shown. Attributes are not text, but for the
+    labels of options and what stands in inputs and on buttons. Lists and tables inside more than
+    ``MAX_NESTING`` others are laid out as plain blocks.
+
+    Null and empty pages give an empty text. Pages of any length are rendered whole, each by itself;
+    repeated ones keep their own rows. A column already called ``text`` is replaced.
     """
 
     def start():

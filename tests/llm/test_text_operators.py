@@ -287,6 +287,51 @@ def test_what_a_browser_shows(page, text):
     assert htmltext.visible_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # visibility is inherited and can be taken back
+        ("a<div style='visibility:hidden'>no<b style='visibility: visible'>b<i>c</i></b>no</div>d", "a\nbc\nd"),
+        ("<p style='visibility:hidden'>no<span>no</span><p>a", "a"),
+        ("<div style='visibility:hidden'><span style='display:none; visibility:visible'>no</span></div>a", "a"),
+        ("<div style='display:none; display:block'>a</div>", "a"),
+        ("<i style='visibility:visible; visibility:collapse'>no</i>a", "a"),
+        ("<ol><li>a<li style='visibility:hidden'>no<li>b</ol>", "1. a\n3. b"),
+        ("<ol><li>a<li style='display:none'>no<li>b</ol>", "1. a\n2. b"),
+        ("<table><tr><td>a<td style='visibility:hidden'>no<td>b</table>", "a    b"),
+        ("<div style='visibility:hidden'>x <textarea>no</textarea><input value=no></div>a", "a"),
+        # what opens
+        ("<details><summary>a</summary><p>no<ul><li>no</ul></details>b", "a\nb"),
+        ("<details open><summary>a</summary>b</details>", "a\nb"),
+        ("<details>no<summary>a</summary><summary>no</summary></details>", "a"),
+        ("<dialog>no</dialog>a<dialog open>b</dialog>", "a\nb"),
+        ("<pre>a<details>no<summary>b</summary></details></pre>", "ab"),
+        # inputs and buttons
+        ("a <input type=submit value='Send &amp; go'> b", "a Send & go b"),
+        ("<input type='BUTTON' value=x><input type=reset value=y><button>z</button>", "x y z"),
+        ("<input type=hidden value=no><input type=checkbox value=no><input type=password value=no>a", "a"),
+        ("<input value='typed &lt;b&gt;'><input placeholder=hint><input type=submit placeholder=no>", "typed <b> hint"),
+        # numbers of lists
+        ("<ol><li>a<li value=7>b<li>c</ol>", "1. a\n7. b\n8. c"),
+        ("<ol reversed><li>a<li>b<li value=9>c<li>d</ol>", "4. a\n3. b\n9. c\n8. d"),
+        ("<ol reversed start=2><li>a<li hidden>no<li>b<li>c</ol>", "2. a\n1. b\n0. c"),
+        ("<ol start=-1><li>a<li value=x>b</ol><ul><li value=3>c</ul>", "-1. a\n0. b\n\n- c"),
+        # spans as HTML reads them
+        ("<table><tr><td colspan=' 2x'>a<td>b<tr><td>c<td>d<td>e</table>", "a     b\nc  d  e"),
+        ("<table><tr><td colspan=0 rowspan=-1>a<td>b<tr><td>c<td>d</table>", "a  b\nc  d"),
+    ],
+)
+def test_what_a_browser_leaves_out(page, text):
+    assert htmltext.visible_text(page) == text
+
+
+@pytest.mark.parametrize("given, columns", [("999", 999), ("1000", 1_000), ("1001", 1_000), ("9" * 30, 1_000)])
+def test_wide_cells(given, columns):
+    row = f"<table><tr><td colspan={given}>a<td>b<tr>" + "<td>c" * 1_001 + "</table>"
+    first = htmltext.visible_text(row).split("\n")[0]
+    assert first == "a" + " " * (3 * columns - 1) + "b"
+
+
 def test_deep_nesting_keeps_all_text():
     deep = "<ul><li>" * 3_000 + "x" + "<table><tr><td>" * 500 + "y" + "<div>" * 20_000 + "z"
     assert re.sub(r"[\s-]", "", htmltext.visible_text(deep)) == "xyz"
