@@ -111,10 +111,16 @@ def train(
     If there are more than ``max_rows`` of them, the rows are sampled by a hash of ``sample_by``
     (default: the text) at the rate that gives about ``max_rows``; this bounds the cost of
     fitting. No labelled row gives a model without languages, which predicts ``und`` everywhere.
-    More than MAX_LANGUAGES languages are an error, as the model would not be small any more.
+    Of more than MAX_LANGUAGES languages those with the most rows are learnt, ties going to the name
+    that sorts first, as the model would not be small any more. Empty texts and texts without a
+    letter count for their language's prior only; rows that repeat count each.
     """
     bounded_batches(docs.sparkSession)
     known = docs.where(col(lang).isNotNull() & col(text).isNotNull())
+    sizes = known.groupBy(col(lang).alias("lang")).count().orderBy(F.desc("count"), "lang")
+    names = [r["lang"] for r in sizes.limit(MAX_LANGUAGES + 1).collect()]
+    if len(names) > MAX_LANGUAGES:
+        known = known.where(col(lang).isin(names[:MAX_LANGUAGES]))
     total = known.count()
     if total > max_rows:
         hashed = F.xxhash64(sample_by if sample_by is not None else col(text))
@@ -156,8 +162,6 @@ def train(
 
 def _fitted(rows: pd.DataFrame) -> Model:
     languages = sorted(rows["lang"].unique())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; at most {MAX_LANGUAGES} fit the model")
     counts = np.zeros((BUCKETS, len(languages)))
     docs_of = np.zeros(len(languages))
     at = rows["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy(int)

@@ -524,7 +524,8 @@ def find(
     Offsets are code points, ends exclusive; spans are in the order of KINDS, then of place. With
     ``redact`` the text column comes back with its spans replaced, null where it was null. A null
     or empty text has no spans. Without a tagger (no labelled span anywhere) only exact matches are
-    found. A column already called ``pii`` is replaced. Each row is judged by itself.
+    found. A column already called ``pii`` is replaced. Each row is judged by itself, repeated ones
+    too, and a text of any length is searched whole, window by window; an empty table gives no row.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tagger)
 

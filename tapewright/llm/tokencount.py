@@ -131,8 +131,9 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", keep=None) -> D
 
     Counts are those of the tokenizers library with the vocabulary at ``path``, without special
     tokens added; strings of special tokens inside a text are one token each, as is its default.
-    A null text counts 0. A column already called ``n_tokens`` is replaced. Equal rows each keep
-    theirs.
+    A null or empty text counts 0, and texts of any length are counted whole, each in the task that
+    reads it. A column already called ``n_tokens`` is replaced. Equal rows each keep theirs, and an
+    empty table gives no row.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, path, text))
 

@@ -114,7 +114,10 @@ def judge(
     ``default``. Of equally long rules the one with the longer host wins, then block over allow.
     A rule with an empty host fits no url. Equal rules count once. Rules come as a list; each
     trie holds at most ``trie_rules`` of them, and further ones are matched in further passes over
-    the rows, without a shuffle. Columns already named like the new ones are replaced.
+    the rows, without a shuffle. A null url, one without ``://`` and one without a host have an empty
+    host, no rule and the default verdict. Urls of any length are read whole. Every row stays,
+    repeated ones too; an empty table gives no row. Columns already named like the new ones are
+    replaced.
     """
     rules = [r for r in dict.fromkeys(rules) if r.host]
     kept = list(pages.columns if keep is None else keep)

@@ -1,8 +1,12 @@
 """Row-wise operators: brute force and the edges (nulls, empty, long, repeated, empty tables)."""
 
+import itertools
+import math
 import random
 import re
+from collections import Counter
 
+import numpy as np
 import pytest
 
 from tapewright.llm import bpe, decontaminate, htmltext, language, pii, tokencount, urlfilter
@@ -159,6 +163,14 @@ def test_longest_rule_wins(spark, trie_rules):
         assert (r.host, r.path, r.rule, r.verdict) == by_hand(URLS[r.page_id], rules)
 
 
+def test_url_rows(spark):
+    frame = spark.createDataFrame([(1, "http://x.org/", "v")] * 3 + [(None, None, "v")], "page_id long, url string, verdict string")
+    found = urlfilter.judge(frame, RULES).collect()
+    assert sorted((r.page_id is None, r.host, r.verdict) for r in found) == [(False, "x.org", "allow")] * 3 + [(True, "", "allow")]
+    assert urlfilter.judge(frame.limit(0), RULES).count() == 0
+    assert urlfilter.judge(frame, []).count() == 4
+
+
 def test_url_parts():
     assert urlfilter.split_url("HTTP://A.Bc:80/P/q?r#s") == ("a.bc:80", "/P/q")
     assert urlfilter.split_url("x://h#f/g") == ("h", "")
@@ -367,6 +379,21 @@ def test_counts_of_odd_texts():
     assert small.count("the the cat sat on the mat the") == 8
 
 
+def test_token_counts_through_spark(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    texts = [None, "", "a b", "a b", "word " * 60_000, "x" * 20_000, "<|endoftext|> odd\ud7ff"]
+    rows = [(i, t, "n") for i, t in enumerate(texts)] + [(None, "no id", "n"), (2, "a b", "n")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
+    found = tokencount.count_tokens(frame, path).collect()
+    expected = Counter((i, len(tok.encode(t or "", add_special_tokens=False).ids)) for i, t, _ in rows)
+    assert Counter((r.doc_id, r.n_tokens) for r in found) == expected
+    assert tokencount.count_tokens(frame.limit(0), path).count() == 0
+
+
 def test_frequent_pieces_of_the_whole_corpus(spark):
     import public_tokenizers
 
@@ -480,8 +507,113 @@ def test_features_do_not_depend_on_neighbours():
     assert sorted(together.tolist()) == sorted(x for a in alone for x in a.tolist())
 
 
+def plain_grams(text):
+    """Buckets of the n-grams of a text, one at a time."""
+    words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+    if not words:
+        return []
+    shown, top = f" {' '.join(words)} ", (1 << 64) - 1
+    out = []
+    for i in range(len(shown)):
+        h = 0
+        for n in range(1, 4):
+            if i + n > len(shown):
+                break
+            c = ord(shown[i + n - 1])
+            h = (h * 0x9E3779B97F4A7C15 & top) ^ ((c + n) * 0xC2B2AE3D27D4EB4F & top)
+            if n > 1 or c != 32:
+                mixed = (h ^ (h >> 29)) * 0xBF58476D1CE4E5B9 & top
+                out.append((mixed >> 40) % language.BUCKETS)
+    return out
+
+
+class PlainBayes:
+    """Multinomial naive Bayes, by the book."""
+
+    def __init__(self, pairs):
+        self.counts, self.rows = {}, Counter()
+        for text, lang in pairs:
+            if text is not None and lang is not None:
+                self.rows[lang] += 1
+                self.counts.setdefault(lang, Counter()).update(plain_grams(text))
+
+    def predict(self, text):
+        grams = plain_grams(text)
+        if not grams:
+            return "und", 0.0
+        logs = {}
+        for lang, counts in self.counts.items():
+            below = counts.total() + language.SMOOTHING * language.BUCKETS
+            logs[lang] = math.log(self.rows[lang] / self.rows.total()) + sum(
+                math.log((counts[g] + language.SMOOTHING) / below) for g in grams
+            )
+        best = max(sorted(logs), key=logs.get)
+        return best, 1 / sum(math.exp(x - logs[best]) for x in logs.values())
+
+
+def test_language_is_that_of_plain_naive_bayes(spark):
+    import pyarrow.parquet as pq
+
+    from tapewright.llm.queries import language_id
+
+    sf_dir = "/root/testdata/sf0.001"
+    table = pq.read_table(f"{sf_dir}/documents.parquet").to_pylist()
+    found = {r.doc_id: r for r in language_id(spark, sf_dir).collect()}
+    plain = PlainBayes((d["text"], d["lang"]) for d in table if not found[d["doc_id"]].held_out)
+    assert len(found) == len(table)
+    for d in table:
+        if len(d["text"] or "") < 20_000:
+            lang, score = plain.predict(d["text"])
+            got = found[d["doc_id"]]
+            assert got.lang_pred == lang and got.score == pytest.approx(score, abs=1e-3)
+
+
+def test_only_the_commonest_languages_are_learnt(spark, monkeypatch):
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 2)
+    rows = [(i, f"text {i}", lang) for i, lang in enumerate(["c", "b", "a", "b", "c", "d", None])]
+    assert language.train(docs(spark, rows)).languages == ("b", "c")
+    rows.append((9, "more", "a"))
+    assert language.train(docs(spark, rows)).languages == ("a", "b")
+
+
 # --- personal data ----------------------------------------------------------------------------
 
+
+@pytest.mark.parametrize("seed", range(6))
+def test_decoding_finds_the_best_of_all_paths(seed):
+    r = np.random.default_rng(seed)
+    tagger = pii.Tagger.fresh(seed)
+    tagger.p["trans"] = r.normal(size=tagger.p["trans"].shape)
+    steps, n = 4, 3
+    score, trans = r.normal(size=(steps, n, pii.TAGS)), tagger.transitions()
+    found = tagger.decode(score)
+
+    def worth(path, k):
+        start = score[0, k, path[0]] + (-1e4 if path[0] and path[0] % 2 == 0 else 0)
+        return start + sum(trans[a, b] + score[t, k, b] for t, (a, b) in enumerate(zip(path, path[1:]), 1))
+
+    for k in range(n):
+        best = max(itertools.product(range(pii.TAGS), repeat=steps), key=lambda p: worth(p, k))
+        assert tuple(found[:, k]) == best
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_spans_of_windows_are_reconciled_best(seed):
+    r = random.Random(seed)
+    spans = []
+    for _ in range(r.randint(0, 9)):
+        a = r.randrange(20)
+        spans.append((r.choice(["email", "ip"]), a, a + r.randint(1, 8), r.randint(1, 99) / 100))
+    apart = [
+        some
+        for n in range(len(spans) + 1)
+        for some in itertools.combinations(spans, n)
+        if all(x[2] <= y[1] or y[2] <= x[1] for x, y in itertools.combinations(some, 2))
+    ]
+    chosen = pii._reconcile(spans)
+    assert sum(s for *_, s in chosen) == pytest.approx(max(sum(s for *_, s in some) for some in apart))
+    assert all(x[2] <= y[1] for x, y in zip(chosen, chosen[1:]))
+
 PII = [
     "",
     "mail a.b+c@x-y.example.com, again a@b@c.de. x@y no @z.com",
