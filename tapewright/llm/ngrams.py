@@ -9,9 +9,10 @@ is thus backed off from, however often its own text repeats it.
 
 Counts are tables spread by a hash. The distinct pairs of each text go to the bucket of their hash,
 where the pair's count is known, together with what the score is if the pair is found and if it is
-not. For that the words' own counts must be known: the most frequent KNOWN_WORDS are broadcast, and
-a pair with a rarer word carries the word along; what the bucket then still needs is joined to the
-table of word counts. What is found is summed for each document.
+not. For that the words' own counts must be known: the most frequent KNOWN_WORDS are broadcast. A
+pair with a rarer word goes to the bucket of that word, which is counted there too; where the word
+before a found pair is rarer, it is joined to the table of word counts. What is found is summed for
+each document.
 
 A frequent pair would bring a row of each text to one bucket. Pairs with at least one in HOT of all
 places are hot; there are no more than HOT of them. Their counts are broadcast too, and they are
@@ -210,7 +211,12 @@ def _dealt(docs: DataFrame, asks: bool, counts: bool, shared, total: int, bucket
             times = np.diff(np.append(np.flatnonzero(new), len(order)))
             order = order[new]
             g, who = grams[order], owner[order]
-            bucket = ((g >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            of_word = known.of(hashes)
+            w_known = (of_word[order] > 0) | complete
+            rare = np.where(w_known, np.uint64(0), hashes[order])
+            # all places of a rare word come to one bucket, where it is counted too
+            route = np.where(w_known, g, mixed(rare))
+            bucket = ((route >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             of_pair = hot.of(g)
 
             def deal(kind, some, columns, g=g, who=who, times=times, bucket=bucket, rows=rows, names=names):
@@ -228,9 +234,8 @@ def _dealt(docs: DataFrame, asks: bool, counts: bool, shared, total: int, bucket
 
             if counts:
                 silent = (of_pair == 0) & ~named[who] if same else of_pair == 0
-                deal(_CORPUS, np.flatnonzero(silent), {})
+                deal(_CORPUS, np.flatnonzero(silent), {"lasts": rare})
             if asks:
-                of_word = known.of(hashes)
                 own_word = _in_own_text(owner, hashes) if same else np.zeros(len(hashes), np.int64)
                 firsts = (np.cumsum(sizes) - sizes)[sizes > 0]
                 of_before, own_before = np.empty_like(of_word), np.empty_like(own_word)
@@ -240,7 +245,6 @@ def _dealt(docs: DataFrame, asks: bool, counts: bool, shared, total: int, bucket
                 rest = np.maximum(total - (sizes if same else np.zeros_like(sizes)), 1)
                 # of the distinct pairs: the score if the pair is found, without its own count, and
                 # if it is not; without the parts of words that are not known here
-                w_known = (of_word[order] > 0) | complete
                 v_known = (of_before[order] > 0) | complete
                 left = of_before[order] - own_before[order]
                 base = np.where(v_known & (left > 0), -units(np.maximum(left, 1)), 0)
@@ -263,7 +267,7 @@ def _dealt(docs: DataFrame, asks: bool, counts: bool, shared, total: int, bucket
                     {
                         "value": np.stack([base, fall], axis=1).astype(np.int32),
                         "befores": np.where(v_known, zero, before[order]),
-                        "lasts": np.where(w_known, zero, hashes[order]),
+                        "lasts": rare,
                         "more": np.stack([own_before[order], own_word[order]], axis=1).astype(np.int32),
                     },
                 )
@@ -334,14 +338,19 @@ def _scored(same: bool):
             mine = own[easy] - n_corpus
             np.add.at(sums, owners[mine], n[own[easy]] * (units(others[easy]) + gain[mine]))
             found[own[~easy] - n_corpus - n_easy] = others[~easy]
-        # pairs with rare words: what is known of them, and one word that is still to be looked up
+        # pairs with rare words: a rare word is counted here, a rare word before is to be looked up
+        own_before, own_word = all_of("more", "<i4", _HARD).reshape(-1, 2).T
+        lasts = all_of("lasts", "<u8", _HARD)
+        counted = np.concatenate([n[:n_corpus], n[n_corpus + n_easy :] if same else n[:0]])
+        places = np.concatenate([all_of("lasts", "<u8", _CORPUS), lasts if same else lasts[:0]])
+        of_last = Counts(*_summed(places, counted)).of(lasts)
         n, owner = n[n_corpus + n_easy :].astype(np.int64), owners[n_easy:]
         base, fall = all_of("value", "<i4", _HARD).reshape(-1, 2).T
-        own_before, own_word = all_of("more", "<i4", _HARD).reshape(-1, 2).T
+        fall = fall + np.where(lasts != 0, _units_or_never(of_last - own_word), 0)
         hit = found > 0
         value = np.where(hit, base + units(np.maximum(found, 1)), fall)
         np.add.at(sums, owner, n * value)
-        key = np.where(hit, all_of("befores", "<u8", _HARD), all_of("lasts", "<u8", _HARD))
+        key = np.where(hit, all_of("befores", "<u8", _HARD), np.uint64(0))
         open_ = np.flatnonzero(key)
         done_ids, done = all_of("ids", "<i8", _DONE), all_of("pairs", "<i8", _DONE)
         names = np.concatenate([ids, done_ids, ids[owner[open_]]])
@@ -352,8 +361,8 @@ def _scored(same: bool):
             pa.array(np.concatenate([zero[0], all_of("per", "<i4", _DONE).astype(np.int64), zero[2]])),
             pa.array(np.concatenate([sums, done, zero[2]])),
             pa.array(np.concatenate([zero[0], zero[1], key[open_].view(np.int64)]), mask=~looked_up),
-            pa.array(np.concatenate([zero[0], zero[1], np.where(hit, own_before, own_word)[open_].astype(np.int64)])),
-            pa.array(np.concatenate([zero[0], zero[1], np.where(hit, -n, n)[open_]])),
+            pa.array(np.concatenate([zero[0], zero[1], own_before[open_].astype(np.int64)])),
+            pa.array(np.concatenate([zero[0], zero[1], -n[open_]])),
         ]
         return pa.Table.from_arrays(arrays, [x.split()[0] for x in _FOUND.split(", ")])
 
@@ -401,10 +410,10 @@ def score(
             _dealt(asked, True, False, shared, total, buckets)
         )
     found = rows.groupBy("bucket").applyInArrow(_scored(same), _FOUND)
-    # rare words that are still to be looked up; no row of them is frequent
+    # rare words before a found pair, which are still to be looked up; none of them is frequent
     word = counted.where(F.col("h") != mark).select(F.col("h").alias("key"), "n")
     others = F.coalesce(F.col("n"), F.lit(0)) - F.col("own")
-    value = F.when(others > 0, F.round(F.log(others.cast("double")) * UNITS).cast("long")).otherwise(_NEVER)
+    value = F.round(F.log(others.cast("double")) * UNITS).cast("long")
     found = found.join(word, "key", "left").withColumn(
         "units", F.when(F.col("key").isNull(), F.col("units")).otherwise(F.col("times") * value)
     )
