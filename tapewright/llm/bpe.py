@@ -26,7 +26,8 @@ from tapewright.llm.columns import add_columns, bounded_batches, col
 PART_CHARS = 1 << 15
 WINDOW_CHARS = 64
 AGREE = 4  # tokens in a row that must be the same
-CACHE_ENTRIES = 300_000
+# Pieces remembered by a worker, half of them from before: what is met again stays.
+CACHE_ENTRIES = 160_000
 CACHED_CHARS = 64
 
 # ids, start and end of each token, as code points of the text
@@ -111,6 +112,7 @@ class PieceEncoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def _pre_token(self, piece: str) -> bytes:
         if not piece.isascii():
@@ -130,10 +132,15 @@ class PieceEncoder:
         new = {p for p in pieces if p not in known}
         extra = {}
         if new:
-            if len(known) + len(new) > CACHE_ENTRIES:
-                known.clear()
-                new = set(pieces)
-            order = list(new)
+            if len(known) + len(new) > CACHE_ENTRIES // 2:
+                self.before, known = known, {}
+                self.known, new = known, set(pieces)
+            before, order = self.before, []
+            for p in new:
+                if p in before:
+                    known[p] = before[p]
+                else:
+                    order.append(p)
             if latin:
                 encoded = map(self._pre_token, order)
             else:
