@@ -80,8 +80,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``ids`` (token ids as little-endian 32-bit numbers), ``n_tokens``, ``decoded``."""
     path = public_tokenizers.path(queries.WORD_BPE)
-    ids = bpe.encode(docs.select("doc_id", "text"), path, keep=["doc_id"])
-    return bpe.decode(ids, path).select(
+    own = docs.select("doc_id", "text")
+    return bpe.encode(own, path, keep=["doc_id"], into="decoded").select(
         "doc_id", "ids", (F.length("ids") / 4).cast("long").alias("n_tokens"), "decoded"
     )
 

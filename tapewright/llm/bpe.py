@@ -295,15 +295,24 @@ def _encode_long(docs: DataFrame, path: str, text: str, part_chars: int) -> Data
 
 
 def encode(
-    docs: DataFrame, path: str, text: str = "text", keep=None, part_chars: int = PART_CHARS
+    docs: DataFrame,
+    path: str,
+    text: str = "text",
+    keep=None,
+    part_chars: int = PART_CHARS,
+    into: str | None = None,
 ) -> DataFrame:
     """The kept columns (default: all) with ``ids``: token ids as little-endian 32-bit numbers.
 
+    With ``into`` there is also that column, with what :func:`decode` makes of the ids, in the same
+    pass over the texts.
+
     Ids are those of the tokenizers library with the vocabulary at ``path``, without special tokens
     added; special tokens written out in a text are taken as its default does. Texts over
     ``part_chars`` characters are encoded in parts, equal ones once. A null or empty text has no
-    ids. Rows that repeat keep their own results. A column already called ``ids`` is replaced.
+    ids. Rows that repeat keep their own results. Columns already called like a new one are replaced.
     """
+    added = {"ids", *([into.lower()] if into else [])}
     kept = list(docs.columns if keep is None else keep)
     bounded_batches(docs.sparkSession)
     size = F.coalesce(F.length(col(text)), F.lit(0))
@@ -311,17 +320,41 @@ def encode(
     def start():
         spelled_out = splits_as_spelled_out(tokenizer(path))
         ids_of = PieceEncoder(path).encode if spelled_out else whole_text_encoder(path)
-        return lambda texts: [[ids_of(t) if t else b"" for t in texts.to_pylist()]]
+        text_of = decoder(path) if into else None
+
+        def compute(texts):
+            ids = [ids_of(t) if t else b"" for t in texts.to_pylist()]
+            return [ids, [text_of(x) for x in ids]] if into else [ids]
+
+        return compute
 
-    short = add_columns(docs.where(size <= part_chars), [text], "ids binary", start, kept)
+    fields = "ids binary" + (f", `{into}` string" if into else "")
+    short = add_columns(docs.where(size <= part_chars), [text], fields, start, kept)
     long = docs.where(size > part_chars)
-    kept = [c for c in kept if c.lower() != "ids"]
+    kept = [c for c in kept if c.lower() not in added]
     mark = F.sha2(col(text), 256)
     rows = long.select(*(col(c).alias(f"keep_{i}") for i, c in enumerate(kept)), mark.alias("mark"))
     whole = rows.join(
         _encode_long(long, path, text, part_chars), F.col("mark") == F.col("digest")
     ).select(*(F.col(f"keep_{i}").alias(c) for i, c in enumerate(kept)), "ids")
-    return short.unionByName(whole)
+    return short.unionByName(decode(whole, path, into=into) if into else whole)
+
+
+def decoder(path: str):
+    """From the bytes of ids to their text, as the library decodes them."""
+    tok = tokenizer(path)
+    plain = tok.decoder is None
+    vocabulary = {i: s for s, i in tok.get_vocab(with_added_tokens=True).items()}
+    names = [vocabulary.get(i) for i in range(max(vocabulary, default=-1) + 1)]
+    whole = None not in names
+
+    def text(raw: bytes | None) -> str:
+        numbers = np.frombuffer(raw or b"", "<u4").tolist()
+        if plain and whole:  # without a decoder the library puts a space between tokens
+            return " ".join(map(names.__getitem__, numbers))
+        return tok.decode(numbers, skip_special_tokens=False)
+
+    return text
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", into: str = "decoded", keep=None):
@@ -332,18 +365,7 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", into: str = "decoded",
     """
 
     def start():
-        tok = tokenizer(path)
-        plain = tok.decoder is None
-        vocabulary = {i: s for s, i in tok.get_vocab(with_added_tokens=True).items()}
-        names = [vocabulary.get(i) for i in range(max(vocabulary, default=-1) + 1)]
-        whole = None not in names
-
-        def text(raw: bytes | None) -> str:
-            numbers = np.frombuffer(raw or b"", "<u4").tolist()
-            if plain and whole:  # without a decoder the library puts a space between tokens
-                return " ".join(map(names.__getitem__, numbers))
-            return tok.decode(numbers, skip_special_tokens=False)
-
+        text = decoder(path)
         return lambda ids: [[text(x) for x in ids.to_pylist()]]
 
     kept = docs.columns if keep is None else keep

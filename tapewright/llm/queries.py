@@ -105,8 +105,8 @@ def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(WORD_BPE)
-    ids = bpe.encode(read(spark, sf_dir, "documents"), path, keep=["doc_id"])
-    return bpe.decode(ids, path).select(
+    docs = read(spark, sf_dir, "documents")
+    return bpe.encode(docs, path, keep=["doc_id"], into="decoded").select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -474,6 +474,11 @@ def test_long_texts_through_spark(spark, request, vocabulary):
         expected = tok.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
         assert bpe.np.frombuffer(bytes(r.ids), "<u4").tolist() == expected
         assert r.decoded == tok.decode(expected, skip_special_tokens=False)
+    both = bpe.encode(frame.withColumnRenamed("text", "Decoded"), path, text="Decoded", part_chars=500, into="decoded")
+    assert both.columns == ["doc_id", "ids", "decoded"]
+    assert sorted(map(str, both.select("doc_id", "ids", "decoded").collect())) == sorted(
+        str(r) for r in bpe.decode(ids, path).select("doc_id", "ids", "decoded").collect()
+    )
     assert bpe.encode(frame.limit(0), path).count() == 0
 
 
