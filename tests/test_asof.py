@@ -129,7 +129,7 @@ def test_ordinary_and_busy_series_agree(spark, seed):
     """Null prices, and null and equal sequence numbers, give the same rows on either branch."""
     trades = make_trades(spark, seed, untidy=True)
     quotes = make_quotes(spark, seed + 20, untidy=True)
-    slots, ways = WAYS[: len(SPLITS)], WAYS
+    slots, ways = WAYS[: len(SPLITS)], [WAYS[0], *WAYS[2:5]]
     for run, others in (
         (lambda way: trailing_avg(trades, **way), slots),
         (lambda way: leading_avg(trades, **way), slots),
