@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapewright.llm.columns import add_columns, bounded_batches, col
+from tapewright.llm.columns import add_columns, bounded_batches, col, tidy
 
 PART_CHARS = 1 << 15
 WINDOW_CHARS = 64
@@ -252,7 +252,7 @@ def _encode_long(docs: DataFrame, path: str, text: str, part_chars: int) -> Data
                     ["digest", "at", "part"],
                 )
 
-    parts = texts.mapInArrow(cut_all, "digest string, at long, part string").dropDuplicates(
+    parts = texts.mapInArrow(tidy(cut_all), "digest string, at long, part string").dropDuplicates(
         ["digest", "at"]
     )
 

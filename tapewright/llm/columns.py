@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -29,6 +30,26 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
 
 
+def give_back() -> None:
+    """Return memory that Arrow and the allocator keep after use; an idle worker needs none of it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """The work of a task, which gives its memory back when it is done."""
+
+    def done(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return done
+
+
 def add_columns(
     df: DataFrame,
     inputs: Iterable[str | Column],
@@ -71,4 +92,4 @@ def add_columns(
             ]
             yield pa.RecordBatch.from_arrays(arrays, [*kept, *arrow_schema.names])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapewright.llm.columns import add_columns, bounded_batches, col
+from tapewright.llm.columns import add_columns, bounded_batches, col, give_back, tidy
 from tapewright.llm.components import components
 from tapewright.llm.hashing import mixed, word_hashes
 from tapewright.session import scratch_path
@@ -180,7 +180,7 @@ def _blocks(docs: DataFrame, eighths: tuple[int, int], buckets: int, size: int)
                 {k: pa.array(v, types.get(k, pa.binary())) for k, v in rows.items()}
             )
 
-    return docs.mapInArrow(run, _BLOCKS)
+    return docs.mapInArrow(tidy(run), _BLOCKS)
 
 
 def _counted(table: pa.Table) -> pa.Table:
@@ -253,6 +253,8 @@ def _counted(table: pa.Table) -> pa.Table:
                 ["doc_id", "n", "single", "hashes"],
             )
         )
+    del hashes, owner, order, ordered, first, group, shared
+    give_back()
     return pa.Table.from_batches(out)
 
 
@@ -316,7 +318,7 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 list(out),
             )
 
-    parts = sets.select("rep", "tokens").mapInArrow(cut, "rep long, part int, tokens binary")
+    parts = sets.select("rep", "tokens").mapInArrow(tidy(cut), "rep long, part int, tokens binary")
     ours = parts.select(F.col("rep").alias("b"), "part", F.col("tokens").alias("of_b"))
     theirs = parts.select(F.col("rep").alias("a"), "part", F.col("tokens").alias("of_a"))
     met = pairs.select("a", "b").join(ours, "b").join(theirs, ["a", "part"])

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapewright.llm.columns import add_columns, bounded_batches, col
+from tapewright.llm.columns import add_columns, bounded_batches, col, tidy
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15
@@ -153,7 +153,7 @@ def train(
 
     # a row for each language and bucket at most, however many rows there are
     rows = (
-        pairs.mapInArrow(count, "lang string, bucket int, n long")
+        pairs.mapInArrow(tidy(count), "lang string, bucket int, n long")
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
     )

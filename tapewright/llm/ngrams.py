@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapewright.llm.columns import bounded_batches, col
+from tapewright.llm.columns import bounded_batches, col, give_back, tidy
 from tapewright.llm.decontaminate import words
 from tapewright.llm.hashing import mixed, word_hashes
 from tapewright.session import scratch_path
@@ -39,7 +39,7 @@ UNITS = 1 << 20
 BUCKET_BYTES = 32 << 20  # text whose pairs meet in one bucket, on average
 SLICES = 8  # of a bucket's pairs, counted one after the other
 KNOWN_WORDS = 1 << 20  # words whose counts are broadcast, at most
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 19
 START = np.uint64(0x5157A27)
 
 
@@ -112,7 +112,7 @@ def word_counts(corpus: DataFrame) -> DataFrame:
                 np.append(found, START), np.append(n, np.count_nonzero(sizes)).astype(np.int64)
             )
 
-    return corpus.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    return corpus.mapInArrow(tidy(run), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
 
 def _collected(rows: DataFrame) -> Counts:
@@ -155,7 +155,7 @@ def hot_pairs(corpus: DataFrame, counted: DataFrame, least: int) -> Counts:
             yield _count_rows(*_summed(pair(before[both], hashes[both])))
 
     # a pair is no more frequent than its words, so hot pairs are made of hot words
-    pairs = corpus.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    pairs = corpus.mapInArrow(tidy(run), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     return _collected(pairs.where(F.col("n") >= least))
 
 
@@ -293,7 +293,7 @@ def _dealt(docs: DataFrame, asks: bool, counts: bool, shared, total: int, bucket
                 [name for name, _ in fields],
             )
 
-    return docs.mapInArrow(run, _ROWS)
+    return docs.mapInArrow(tidy(run), _ROWS)
 
 
 def _scored(same: bool):
@@ -364,6 +364,8 @@ def _scored(same: bool):
             pa.array(np.concatenate([zero[0], zero[1], own_before[open_].astype(np.int64)])),
             pa.array(np.concatenate([zero[0], zero[1], -n[open_]])),
         ]
+        del grams, n, owner, owners, part, gain, found
+        give_back()
         return pa.Table.from_arrays(arrays, [x.split()[0] for x in _FOUND.split(", ")])
 
     return compute
