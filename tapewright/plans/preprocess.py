@@ -52,7 +52,7 @@ def run_preprocess(
 def run_late_deliveries(
     spark: SparkSession, source: str, target: str, files: int | None = None
 ) -> Mapping[str, int]:
-    """Bring the events under ``source``, which arrived later, into the tables under ``target``.
+    """Bring the events under ``source``, which arrived later, into the tables stored under ``target``.
 
     Only the days that the new events belong to are read and written: their stored rows are ranked
     again together with the new ones, and each of those days is replaced by the result. Other days
