@@ -27,7 +27,7 @@ PART_CHARS = 1 << 15
 WINDOW_CHARS = 64
 AGREE = 4  # tokens in a row that must be the same
 # Pieces remembered by a worker, half of them from before: what is met again stays.
-CACHE_ENTRIES = 160_000
+CACHE_ENTRIES = 100_000
 CACHED_CHARS = 64
 
 # ids, start and end of each token, as code points of the text
