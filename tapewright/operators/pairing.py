@@ -4,8 +4,10 @@ Both sides are dealt to time buckets as wide as the range. A right row is found
 and from the next one, so it is sent to both; keys and bucket then make an equi join, after which
 the exact range is checked. Sending a right row to two buckets is all that is sent twice, unless a
 bucket would give more than ``SPLIT_PAIRS`` pairs. The left rows of such a bucket are salted, and
-its right rows sent to every salt: a salt has as many pairs as one task may make, or one left row,
-so that no more is sent than pairs are asked for.
+its right rows sent to every salt: a salt has as many pairs as one task may make, or one left row.
+
+Where fewer pairs are asked for, a bucket has no more salts than ``COPIES`` times its rows are sent
+for, or than keep a salt at ``SPLIT_PAIRS``: what is sent grows with the rows, and not with the pairs.
 """
 
 from __future__ import annotations
@@ -21,13 +23,16 @@ from tapewright.schema import DAY_SERIES
 
 # Pairs of one bucket (those before the exact range is checked) from which its left rows are salted.
 SPLIT_PAIRS = 20_000_000
+# Rows that salting may send for each row of a bucket with no more pairs than ``SPLIT_PAIRS``.
+COPIES = 2
 # Hot buckets that are brought to the driver and sent to every task; more stay a table.
 HOT_BUCKETS = 10_000
 _BUCKET, _SALT, _SALTS = "_bucket", "_salt", "_salts"
 
 
 def _hot_buckets(left: DataFrame, right: DataFrame, at: Sequence[str], split_pairs: int) -> DataFrame | None:
-    """``at`` and ``_salts`` of the buckets with more pairs than ``split_pairs``; None without any.
+    """``at`` and ``_salts`` of the buckets to be split, as they have more pairs than ``split_pairs``;
+    None without any.
 
     Counts are taken within tasks first, over the key and time columns alone.
     """
@@ -35,8 +40,10 @@ def _hot_buckets(left: DataFrame, right: DataFrame, at: Sequence[str], split_pai
         side.groupBy(*at).agg(F.count(F.lit(1)).alias(n)) for side, n in ((left, "l"), (right, "r"))
     ]
     pairs = F.col("l").cast("double") * F.col("r")
-    salts = F.least(F.col("l"), F.ceil(pairs / split_pairs)).cast("int").alias(_SALTS)
-    hot = counts[0].join(counts[1], list(at)).where(pairs > split_pairs).select(*at, salts)
+    cheap = F.floor((F.col("l") + F.col("r")) * F.lit(float(COPIES)) / F.col("r"))
+    most = F.greatest(cheap, F.ceil(pairs / SPLIT_PAIRS))
+    salts = F.least(F.col("l"), F.ceil(pairs / split_pairs), most).cast("int").alias(_SALTS)
+    hot = counts[0].join(counts[1], list(at)).select(*at, salts).where(F.col(_SALTS) > 1)
     first = hot.limit(HOT_BUCKETS + 1).collect()
     if not first:
         return None

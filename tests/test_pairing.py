@@ -95,6 +95,18 @@ def test_a_hot_bucket_is_split_and_rows_are_linear_in_pairs(spark, monkeypatch):
     assert pairs == 3 * 500 and sent <= 3 + 4 * 500
 
 
+def test_what_is_sent_grows_with_rows_where_few_pairs_are_asked_for(spark, monkeypatch):
+    for n in (100, 400):
+        sent, pairs = sent_rows(spark, monkeypatch, *hot(spark, n, n), split_pairs=2)
+        assert pairs == n * n
+        assert 4 * n <= sent <= 3 * n + 2 * 2 * n  # salted still
+    # a bucket too large for one task is split all the same
+    monkeypatch.setattr(pairing, "SPLIT_PAIRS", 1_000)
+    left, right = hot(spark, 100, 100)
+    sent, pairs = sent_rows(spark, monkeypatch, left, right, split_pairs=2)
+    assert pairs == 100 * 100 and sent == 100 + 100 + 100 * 10
+
+
 def test_plan(spark):
     quotes, trades = make_quotes(spark), make_trades(spark)
     for split_pairs in SPLITS:
