@@ -240,11 +240,13 @@ def range_stats(spark, sf_dir):
 
 def _shown_pairs(spark, sf_dir, **options):
     """Each quote with each trade of the thirty minutes up to it."""
-    quotes = quotes_of(spark, sf_dir).select("trade_dt", *SERIES, "event_tm", "event_seq_nb", "bid_pr")
-    trades = trades_of(spark, sf_dir).select("trade_dt", *SERIES, "event_tm", "event_seq_nb", "trade_pr")
-    pairs = shown(tw.range_join(quotes, trades, **options))
+    columns = ("trade_dt", *SERIES, "event_tm", "event_seq_nb")
+    # shown before they are paired, once for each row and not for each pair
+    quotes = shown(quotes_of(spark, sf_dir).select(*columns, "bid_pr"))
+    trades = shown(trades_of(spark, sf_dir).select(*columns, "trade_pr"))
     # null in some rows: shown as doubles, as in shown_events()
-    return pairs.withColumn("match_event_seq_nb", F.col("match_event_seq_nb").cast("double"))
+    trades = trades.withColumn("event_seq_nb", F.col("event_seq_nb").cast("double"))
+    return tw.range_join(quotes, trades, **options)
 
 
 @query

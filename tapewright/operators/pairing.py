@@ -8,10 +8,14 @@ its right rows sent to every salt: a salt has as many pairs as one task may make
 
 Where fewer pairs are asked for, a bucket has no more salts than ``COPIES`` times its rows are sent
 for, or than keep a salt at ``SPLIT_PAIRS``: what is sent grows with the rows, and not with the pairs.
+
+Pairs may be many more than rows, so the tasks of the join are as many as the pairs need, whatever
+the size of what is sent.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -27,29 +31,46 @@ SPLIT_PAIRS = 20_000_000
 COPIES = 2
 # Hot buckets that are brought to the driver and sent to every task; more stay a table.
 HOT_BUCKETS = 10_000
-_BUCKET, _SALT, _SALTS = "_bucket", "_salt", "_salts"
+# Pairs for one task of the join, and the most tasks it is given.
+TASK_PAIRS = 20_000_000
+MAX_TASKS = 20_000
+_BUCKET, _SALT, _SALTS, _SINCE = "_bucket", "_salt", "_salts", "_since"
 
 
-def _hot_buckets(left: DataFrame, right: DataFrame, at: Sequence[str], split_pairs: int) -> DataFrame | None:
-    """``at`` and ``_salts`` of the buckets to be split, as they have more pairs than ``split_pairs``;
-    None without any.
+def _bucket_pairs(left: DataFrame, right: DataFrame, at: Sequence[str], split_pairs: int) -> DataFrame:
+    """``at``, ``pairs`` and ``_salts`` of the buckets with left rows, one pair at least for each.
 
     Counts are taken within tasks first, over the key and time columns alone.
     """
     counts = [
         side.groupBy(*at).agg(F.count(F.lit(1)).alias(n)) for side, n in ((left, "l"), (right, "r"))
     ]
+    both = counts[0].join(counts[1], list(at), "left").withColumn("r", F.coalesce("r", F.lit(1)))
     pairs = F.col("l").cast("double") * F.col("r")
     cheap = F.floor((F.col("l") + F.col("r")) * F.lit(float(COPIES)) / F.col("r"))
     most = F.greatest(cheap, F.ceil(pairs / SPLIT_PAIRS))
     salts = F.least(F.col("l"), F.ceil(pairs / split_pairs), most).cast("int").alias(_SALTS)
-    hot = counts[0].join(counts[1], list(at)).select(*at, salts).where(F.col(_SALTS) > 1)
-    first = hot.limit(HOT_BUCKETS + 1).collect()
-    if not first:
-        return None
-    if len(first) > HOT_BUCKETS:
-        return hot
-    return F.broadcast(left.sparkSession.createDataFrame(first, hot.schema))
+    return both.select(*at, pairs.alias("pairs"), salts)
+
+
+def _measured(
+    left: DataFrame, right: DataFrame, at: Sequence[str], split_pairs: int
+) -> tuple[DataFrame | None, float]:
+    """``at`` and ``_salts`` of the buckets to be split, as they have more pairs than ``split_pairs``
+    (None without any), and the pairs of all buckets."""
+    buckets = _bucket_pairs(left, right, at, split_pairs)
+    split = F.col(_SALTS) > 1
+    total = buckets.agg(F.sum("pairs").alias("pairs"), F.count(F.when(split, 1)).alias("hot")).first()
+    hot = buckets.where(split).select(*at, _SALTS)
+    if not total["hot"]:
+        hot = None
+    elif total["hot"] <= HOT_BUCKETS:
+        hot = F.broadcast(left.sparkSession.createDataFrame(hot.collect(), hot.schema))
+    return hot, total["pairs"] or 0.0
+
+
+def _hot_buckets(left: DataFrame, right: DataFrame, at: Sequence[str], split_pairs: int) -> DataFrame | None:
+    return _measured(left, right, at, split_pairs)[0]
 
 
 def range_join(
@@ -69,7 +90,8 @@ def range_join(
     their names. A left row without a match, or with a null key or time, is kept once with nulls;
     with ``how="inner"`` it is left out. Rows that repeat pair up each for itself.
 
-    One job measures the buckets (see above). Identical left rows share a salt.
+    One job measures the buckets (see above); where up to ``HOT_BUCKETS`` are to be split, a second
+    one fetches them. Identical left rows share a salt.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how is left or inner, not {how}")
@@ -78,13 +100,14 @@ def range_join(
     at = [*keys, _BUCKET]
     others = [c for c in right.columns if c not in keys]
     bucket = time_slot(time, width)
-    asking = with_known(left, known).withColumn(_BUCKET, bucket)
+    since = F.col(time) - seconds(width)
+    asking = with_known(left, known).withColumn(_BUCKET, bucket).withColumn(_SINCE, since)
     found = with_known(right, known).select(
         *keys, *[F.col(c).alias(prefix + c) for c in others], F.lit(0).alias(_SALT), bucket.alias("_own")
     )
     found = found.withColumn(_BUCKET, F.explode(F.array("_own", F.col("_own") + 1))).drop("_own")
 
-    hot = _hot_buckets(asking, found, at, split_pairs)
+    hot, n_pairs = _measured(asking, found, at, split_pairs)
     on = list(at)
     if hot is None:
         found = found.drop(_SALT)
@@ -95,10 +118,18 @@ def range_join(
         asking = asking.join(hot, at, "left").withColumn(_SALT, own).drop(_SALTS)
         found = found.join(hot, at, "left").withColumn(_SALT, F.explode(every)).drop(_SALTS)
 
+    if n_pairs > TASK_PAIRS:
+        # left to Spark, the tasks would be as many as the bytes need that are sent
+        tasks = max(
+            int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+            min(MAX_TASKS, math.ceil(n_pairs / TASK_PAIRS)),
+        )
+        asking, found = asking.repartition(tasks, *on), found.repartition(tasks, *on)
+
     asking, found = asking.alias("l"), found.alias("r")
     then = F.col(f"r.{prefix}{time}")
     met = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in on]
-    met.append(then.between(F.col(f"l.{time}") - seconds(width), F.col(f"l.{time}")))
+    met.append(then.between(F.col(f"l.{_SINCE}"), F.col(f"l.{time}")))
     columns = [*[F.col(f"l.{c}") for c in left.columns], *[F.col(f"r.{prefix}{c}") for c in others]]
     pairs = asking.join(found, met, how).select(*columns)
     if how == "inner":

@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 from frames import START, make_quotes, make_trades
+from pyspark.sql import functions as F
 
 from tapewright import range_join
 from tapewright.operators import pairing
@@ -107,6 +108,23 @@ def test_what_is_sent_grows_with_rows_where_few_pairs_are_asked_for(spark, monke
     assert pairs == 100 * 100 and sent == 100 + 100 + 100 * 10
 
 
+def test_tasks_are_as_many_as_the_pairs_need(spark, monkeypatch):
+    monkeypatch.setattr(pairing, "TASK_PAIRS", 100, raising=False)
+    series = "concat('S', id % 40) AS symbol", "concat('X', id % 3) AS exchange"
+    left, right = [
+        spark.range(1_200).selectExpr(*series, f"TIMESTAMP_NTZ'{at}' + id % 2 * INTERVAL '1' DAY AS event_tm", "id")
+        for at in (START + dt.timedelta(minutes=29), START)
+    ]
+    for split_pairs in (pairing.SPLIT_PAIRS, 10):
+        pairs = range_join(left, right, SERIES, split_pairs=split_pairs)
+        tasks = pairs.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(t["count"] for t in tasks) == 120 * 10 * 10
+        assert len(tasks) > 30  # of 120
+    untidy = [make_quotes(spark, 3, 90, untidy=True), make_trades(spark, 4, 90, untidy=True)]
+    found = range_join(*untidy, SERIES, minutes=90)
+    assert Counter(map(tuple, found.collect())) == plain(*untidy, SERIES, 90, "left")
+
+
 def test_plan(spark):
     quotes, trades = make_quotes(spark), make_trades(spark)
     for split_pairs in SPLITS:
