@@ -64,14 +64,18 @@ def quotes_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stored_lines(spark: SparkSession, sf_dir: str) -> str:
     """A feed folder: text files in two nested folders, and the same lines where they must not
-    be read (another suffix, another prefix)."""
+    be read (another suffix, another prefix).
+
+    The lines are made once: one write deals them to the two folders, from which the others are
+    copied. Lines that are null go to a folder of their own, which nothing reads.
+    """
     root = scratch_path(spark, "feed")
-    lines = event_lines(spark, sf_dir)
     json = F.col("value").startswith("{")
-    lines.filter(json).write.text(f"{root}/data/json/part=1")
-    lines.filter(~json).write.text(f"{root}/data-csv")
-    lines.filter(json).write.csv(f"{root}/data/decoy")
-    lines.filter(~json).write.text(f"{root}/other")
+    at = F.when(json, "data-json").when(~json, "data-csv").alias("at")
+    lines = event_lines(spark, sf_dir).select("value", at, F.lit(1).alias("part"))
+    lines.write.partitionBy("at", "part").text(root)
+    tw.read_raw_lines(spark, f"{root}/at=data-json").write.csv(f"{root}/at=data-decoy")
+    tw.read_raw_lines(spark, f"{root}/at=data-csv").write.text(f"{root}/at=other")
     return root
 
 
@@ -84,13 +88,13 @@ def read_raw_lines(spark, sf_dir):
 
 @query
 def read_lines_by_prefix_and_suffix(spark, sf_dir):
-    return tw.read_raw_lines(spark, f"{_stored_lines(spark, sf_dir)}/data*", glob="*.txt")
+    return tw.read_raw_lines(spark, f"{_stored_lines(spark, sf_dir)}/at=data*", glob="*.txt")
 
 
 @query
 def read_lines_of_part_files(spark, sf_dir):
     root = _stored_lines(spark, sf_dir)
-    return tw.read_raw_lines(spark, [f"{root}/data/json", f"{root}/data-csv"], glob="part-*")
+    return tw.read_raw_lines(spark, [f"{root}/at=data-json", f"{root}/at=data-csv"], glob="part-*")
 
 
 def _stored_events(spark: SparkSession, sf_dir: str) -> str:

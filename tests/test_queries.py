@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry_module
+import tapewright as tw
+from checks import queries as catalogue
 from checks.compare import differences, duckdb_over
 from checks.oracles import oracle_sql
 from checks.queries import queries
@@ -35,3 +37,19 @@ def test_entry(spark):
     result = entry_module.entry(spark)
     assert result.count() > 0
     assert "last_mov_avg_pr" in result.columns
+
+
+def test_feed_lines_are_made_once(spark, monkeypatch):
+    """Lines that come out anew at each evaluation are the same in all folders."""
+    made = spark.range(50).selectExpr(
+        "CASE WHEN id % 5 = 0 THEN NULL WHEN id % 5 < 3 THEN concat('{', uuid()) ELSE uuid() END AS value"
+    )
+    monkeypatch.setattr(catalogue, "event_lines", lambda *_: made)
+    root = catalogue._stored_lines(spark, "")
+    texts = tw.read_raw_lines(spark, root, "*.txt").where("value <> ''")
+    decoys = tw.read_raw_lines(spark, root, "*.csv")
+    assert (texts.count(), decoys.count()) == (60, 20)
+    assert texts.union(decoys).distinct().count() == 40
+    for name in ("read_lines_by_prefix_and_suffix", "read_lines_of_part_files"):
+        found = catalogue.queries()[name](spark, "")
+        assert found.count() == found.where("value <> ''").count() == 40
